@@ -1230,7 +1230,7 @@ def ml_class_weights(t):
 
 def scored(t: Tables, model: str) -> DataFrame:
     train, test = learning.prepared(t, "late_delivery")
-    return learning.score(learning.fit(train.cache(), model), test)
+    return learning.score(learning.fit(train, model), test)
 
 
 @query
@@ -1240,11 +1240,10 @@ def ml_scored(t):
 
 @query
 def ml_metrics(t):
-    return learning.metrics(scored(t, "logistic_regression").cache())
+    return learning.metrics(scored(t, "logistic_regression"))
 
 
 @query
 def ml_importances(t):
     train, _ = learning.prepared(t, "late_delivery")
-    train = train.cache()
     return learning.importances(learning.fit(train, "random_forest", {"numTrees": 10, "maxDepth": 4}), train)

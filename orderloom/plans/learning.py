@@ -19,6 +19,7 @@ from orderloom.operators.joins import lookup, with_scalar
 from orderloom.plans.business import product_volume
 from orderloom.plans.orders import order_base, person_sizes, with_person_history
 from orderloom.plans.star import clean_items, product_attributes
+from orderloom.session import cut_lineage
 
 # Features, and columns that must never become one.
 NUMERIC = (
@@ -255,13 +256,16 @@ def importances(model: PipelineModel, df: DataFrame, top: int = 20) -> DataFrame
 
 
 def prepared(tables, target: str) -> tuple[DataFrame, DataFrame]:
-    """Balanced train and plain test frames with rare levels folded by the training rows."""
+    """Balanced train and plain test frames with rare levels folded by the training rows.
+
+    The feature rows are computed once and stored: fitting reads them many times.
+    """
     sizes = person_sizes(tables["orders"], tables["customers"])
-    rows = features_only(engineer(label(ml_base(tables), target, sizes)))
+    rows = cut_lineage(features_only(engineer(label(ml_base(tables), target, sizes))))
     train, test = split(rows)
     levels = {c: common_levels(train, c) for c in CATEGORICAL}
     modes = training_modes(train)
-    return balance(fold_rare(train, levels, modes)), fold_rare(test, levels, modes)
+    return cut_lineage(balance(fold_rare(train, levels, modes))), cut_lineage(fold_rare(test, levels, modes))
 
 
 def save(model: PipelineModel, path: str) -> None:
