@@ -1174,9 +1174,7 @@ def words_by_band(t):
 @query
 def relabelled_words(t):
     """Word counts under language labels: words map to the language that uses them most."""
-    by_lang = words._counted(
-        read(t, "documents").select("lang", F.explode(words.tokens("text")).alias("term")), ["lang"], None
-    )
+    by_lang = words.token_counts(read(t, "documents"), "text", ["lang"])
     best = F.max(F.struct("n", "lang"))["lang"].alias("label")
     mapping = by_lang.groupBy("term").agg(best)
     return words.relabel(words.term_freq(read(t, "documents"), "text"), mapping)

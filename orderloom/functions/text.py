@@ -42,20 +42,28 @@ def strip_accents(c: Column | str) -> Column:
     return F.translate(col(c), ACCENTED, PLAIN)
 
 
+def raw_words(c: Column | str) -> Column:
+    """Lower-case words of at least three letters, accents kept, stop words included."""
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(TOKEN_PATTERN), F.lit(0))
+
+
 def tokens(c: Column | str, stop: Iterable[str] = STOP_WORDS) -> Column:
     """Lower-case words of at least three letters, accents removed, stop words dropped."""
-    words = F.transform(F.regexp_extract_all(F.lower(col(c)), F.lit(TOKEN_PATTERN), F.lit(0)), strip_accents)
+    words = F.transform(raw_words(c), strip_accents)
     stop = list(stop)
     if not stop:
         return words
     return F.filter(words, lambda w: ~w.isin(stop))
 
 
-def bigrams(words: Column | str) -> Column:
-    """Neighbouring token pairs ``"a b"``; empty for fewer than two tokens."""
-    words = col(words)
-    firsts = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.transform(firsts, lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+def bigrams(words: str) -> Column:
+    """Neighbouring pairs ``"a b"`` of a token array column; empty for fewer than two tokens.
+
+    Takes a column name, not an expression: the array is read several times.
+    """
+    w = F.col(words)
+    pairs = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.zip_with(F.slice(w, F.lit(1), pairs), F.slice(w, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def review_field(title: Column | str, message: Column | str, which: str = "both") -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions.clean import blank_to_null
 from orderloom.functions.dates import month_start
-from orderloom.functions.text import STOP_WORDS, bigrams, review_field, tokens
+from orderloom.functions.text import STOP_WORDS, bigrams, raw_words, review_field, strip_accents, tokens
 from orderloom.operators.aggregates import histogram
 from orderloom.operators.joins import lookup
 from orderloom.plans.stage import latest_reviews
@@ -26,19 +26,30 @@ def review_texts(reviews: DataFrame, field: str = "both") -> DataFrame:
     )
 
 
-def _counted(terms: DataFrame, keys: list[str], n: int | None) -> DataFrame:
-    counts = terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+def _top(counts: DataFrame, n: int | None) -> DataFrame:
     return counts if n is None else counts.orderBy(F.col("n").desc(), "term").limit(n)
 
 
+def token_counts(df: DataFrame, col: str, keys: Sequence[str] = (), stop: Iterable[str] = STOP_WORDS) -> DataFrame:
+    """keys, term, n over whole texts.
+
+    Raw words are counted first, so accents and stop words are dealt with once per distinct word
+    and the shuffle carries counts instead of words.
+    """
+    raw = df.select(*keys, F.explode(raw_words(col)).alias("_raw")).groupBy(*keys, "_raw").agg(F.count(F.lit(1)).alias("_n"))
+    plain = raw.select(*keys, strip_accents("_raw").alias("term"), "_n").filter(~F.col("term").isin(list(stop)))
+    return plain.groupBy(*keys, "term").agg(F.sum("_n").alias("n"))
+
+
 def term_freq(df: DataFrame, col: str, n: int | None = None, stop: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """term, n over whole texts; ``n`` gives the top-n report, ties by term."""
-    return _counted(df.select(F.explode(tokens(col, stop)).alias("term")), [], n)
+    """term, n; ``n`` gives the top-n report, ties by term."""
+    return _top(token_counts(df, col, (), stop), n)
 
 
 def bigram_freq(df: DataFrame, col: str, n: int | None = None, stop: Iterable[str] = STOP_WORDS) -> DataFrame:
     """Neighbouring pairs after stop-word removal; pairs never span two texts."""
-    return _counted(df.select(F.explode(bigrams(tokens(col, stop))).alias("term")), [], n)
+    pairs = df.select(tokens(col, stop).alias("_words")).select(F.explode(bigrams("_words")).alias("term"))
+    return _top(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n")), n)
 
 
 def score_band(score: Column) -> Column:
@@ -47,12 +58,9 @@ def score_band(score: Column) -> Column:
 
 def vocabulary_by_band(df: DataFrame, col: str, score: str, n: int = 20, stop: Iterable[str] = STOP_WORDS) -> DataFrame:
     """Top-n words of low-score and of high-score texts."""
-    words = df.select(score_band(F.col(score)).alias("band"), F.explode(tokens(col, stop)).alias("term"))
-    counts = words.filter(F.col("band").isNotNull()).groupBy("band", "term").agg(F.count(F.lit(1)).alias("n"))
-    low, high = (
-        counts.filter(F.col("band") == b).orderBy(F.col("n").desc(), "term").limit(n) for b in ("low", "high")
-    )
-    return low.unionByName(high)
+    banded = df.withColumn("band", score_band(F.col(score))).filter(F.col("band").isNotNull())
+    counts = token_counts(banded, col, ["band"], stop)
+    return _top(counts.filter(F.col("band") == "low"), n).unionByName(_top(counts.filter(F.col("band") == "high"), n))
 
 
 def relabel(freq: DataFrame, mapping: DataFrame) -> DataFrame:
