@@ -26,6 +26,20 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, out: str | N
     )
 
 
+def modes_per_group(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Most frequent value of several text columns per key, from one pass over the rows."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    counts = (
+        df.select(key, F.explode(pairs).alias("p")).select(key, "p.c", "p.v").filter(F.col("v").isNotNull())
+        .groupBy(key, "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    )
+    best = [
+        F.min(F.when(F.col("c") == i, F.struct((-F.col("n")).alias("n"), F.col("v")))).alias(f"_{i}")
+        for i in range(len(columns))
+    ]
+    return counts.groupBy(key).agg(*best).select(key, *[F.col(f"_{i}.v").alias(c) for i, c in enumerate(columns)])
+
+
 def value_counts(df: DataFrame, column: str, normalise: bool = True) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return share_of_total(counts, "n") if normalise else counts

@@ -29,6 +29,18 @@ def safe_lookup(
     return lookup(fact, reduce(many), on)
 
 
+def keep_all(heads: DataFrame, lines: DataFrame, on: str) -> DataFrame:
+    """Left join of heads (one row per key) to lines, safe for a key that owns most lines.
+
+    A skewed right side of an outer join cannot be split at run time, both sides of an inner join
+    can. So heads with lines come from an inner join, the others from an anti-join against the
+    distinct line keys, which are reduced before they are shuffled.
+    """
+    met = heads.join(lines, on)
+    alone = heads.join(lines.select(on).distinct(), on, "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True)
+
+
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of an un-grouped aggregate (exactly one row) to every row."""
     return df.crossJoin(F.broadcast(one_row))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.functions.clean import ratio, total
 from orderloom.functions.dates import elapsed_days
-from orderloom.operators.aggregates import mode_per_group
+from orderloom.operators.aggregates import mode_per_group, modes_per_group
 from orderloom.operators.joins import lookup, with_scalar
 from orderloom.plans.business import product_volume
 from orderloom.plans.orders import order_base, person_sizes, with_person_history
@@ -50,11 +50,8 @@ def ml_base(tables) -> DataFrame:
         F.sum("n").alias("item_count"), F.count("seller_id").alias("seller_count"),
         F.sum("weight").alias("total_weight_g"), F.max("volume").alias("max_volume_cm3"),
     )
-    modes = [mode_per_group(items, ["order_id"], c).drop(f"{c}_count") for c in ("product_category", "seller_state")]
-    df = order_base(tables, ("customers",))
-    for side in (sums, *modes):
-        df = lookup(df, side, "order_id")
-    return df
+    df = lookup(order_base(tables, ("customers",)), sums, "order_id")
+    return lookup(df, modes_per_group(items, "order_id", ("product_category", "seller_state")), "order_id")
 
 
 def label(df: DataFrame, target: str, sizes: DataFrame | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from orderloom.functions.clean import total
 from orderloom.functions.dates import days_between, month_start, months_between_starts
 from orderloom.functions.labels import delivery_bucket, review_bucket
-from orderloom.operators.joins import lookup
+from orderloom.operators.joins import keep_all, lookup
 from orderloom.operators.ranking import HOT_ROWS, hot_groups, sequence_in_group
 from orderloom.plans.stage import latest_reviews
 from orderloom.plans.star import clean_items, clean_orders, order_payments
@@ -57,18 +57,19 @@ def order_base(tables, parts=PARTS) -> DataFrame:
 
 
 def order_base_from_fact(fact: DataFrame, customers: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The same base from the stored item-grain fact."""
-    per_order = fact.filter(F.col("order_purchase_timestamp").isNotNull()).groupBy(F.col("id").alias("order_id")).agg(
-        F.min("customer_id").alias("customer_id"),
-        F.min("order_status").alias("order_status"),
-        F.min("order_purchase_timestamp").alias("purchase_ts"),
-        F.min("order_delivered_customer_date").alias("delivered_ts"),
-        F.min("order_estimated_delivery_date").alias("estimated_ts"),
-        total("price").alias("gmv"),
-        total("freight_value").alias("freight"),
-        F.count(F.lit(1)).alias("n_items"),
-        F.min("payment_type").alias("payment_type"),
-        F.max("payment_installments").alias("payment_installments"),
+    """The same base from the stored item-grain fact.
+
+    Order columns are constant within an order, so they are grouping keys: aggregates over text
+    would force a sort of the whole fact.
+    """
+    per_order = fact.filter(F.col("order_purchase_timestamp").isNotNull()).groupBy(
+        F.col("id").alias("order_id"), "customer_id", "order_status",
+        F.col("order_purchase_timestamp").alias("purchase_ts"),
+        F.col("order_delivered_customer_date").alias("delivered_ts"),
+        F.col("order_estimated_delivery_date").alias("estimated_ts"),
+        "payment_type", "payment_installments",
+    ).agg(
+        total("price").alias("gmv"), total("freight_value").alias("freight"), F.count(F.lit(1)).alias("n_items"),
     )
     df = per_order.withColumns({
         "order_month": month_start("purchase_ts"),
@@ -172,8 +173,8 @@ def category_sales(tables) -> DataFrame:
     products = lookup(
         tables["products"].select("product_id", "product_category_name"), english, "product_category_name"
     ).select("product_id", "product_category_name_english")
-    df = lookup(orders.join(fact, "order_id", "left"), products, "product_id")
-    df = lookup(df, tables["customers"].select("customer_id", "customer_state"), "customer_id")
+    heads = lookup(orders, tables["customers"].select("customer_id", "customer_state"), "customer_id")
+    df = lookup(keep_all(heads, fact, "order_id"), products, "product_id")
     return df.groupBy(
         "order_month", "customer_state",
         F.coalesce("product_category_name_english", F.lit("unknown")).alias("product_category"),

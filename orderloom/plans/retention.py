@@ -75,12 +75,17 @@ def orders_per_customer(orders: DataFrame, cap: int = 5) -> DataFrame:
 def customer_view(orders: DataFrame) -> DataFrame:
     """One row per person: frequency, monetary, recency against the newest order, cohort, segment."""
     snapshot = orders.agg(F.max("purchase_ts").alias("_snapshot"))
-    people = orders.groupBy("customer_unique_id").agg(
+    # the state joins the first key: a MIN over text would make Spark sort all orders
+    by_state = orders.groupBy("customer_unique_id", "customer_state").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("gmv").alias("gmv"),
+        F.min("purchase_ts").alias("_first"), F.max("purchase_ts").alias("_last"),
+    )
+    people = by_state.groupBy("customer_unique_id").agg(
         F.min("customer_state").alias("customer_state"),
-        F.count(F.lit(1)).alias("frequency"),
+        F.sum("n").alias("frequency"),
         F.round(F.sum("gmv"), 2).alias("monetary"),
-        F.min("purchase_ts").alias("_first"),
-        F.max("purchase_ts").alias("_last"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
     )
     recency = days_between("_snapshot", "_last")
     df = with_scalar(people, snapshot).withColumn("recency_days", recency)
@@ -192,10 +197,14 @@ def first_order_return(orders: DataFrame, by: str = "delivery") -> DataFrame:
 
 def revenue_at_risk(orders: DataFrame) -> DataFrame:
     """GMV of persons whose last order drew 1-2 stars, so nothing followed the bad experience."""
-    gone = orders.filter((F.col("review_score") <= 2) & ~F.col("has_subsequent_order"))
-    lost = gone.select("customer_unique_id").distinct()
-    at_risk = orders.join(lost, "customer_unique_id", "left_semi").agg(
-        F.round(F.coalesce(F.sum("gmv"), F.lit(0.0)), 2).alias("gmv_at_risk"), F.count(F.lit(1)).alias("orders_at_risk")
+    lost = F.coalesce((F.col("review_score") <= 2) & ~F.col("has_subsequent_order"), F.lit(False))
+    people = orders.groupBy("customer_unique_id").agg(
+        F.sum("gmv").alias("gmv"), F.count(F.lit(1)).alias("orders"), F.bool_or(lost).alias("lost")
+    )
+    gone = F.col("lost") & F.col("customer_unique_id").isNotNull()
+    sums = people.agg(
+        F.round(F.coalesce(F.sum(F.when(gone, F.col("gmv"))), F.lit(0.0)), 2).alias("gmv_at_risk"),
+        F.coalesce(F.sum(F.when(gone, F.col("orders"))), F.lit(0)).cast("bigint").alias("orders_at_risk"),
+        F.round(F.sum("gmv"), 2).alias("total_gmv"),
     )
-    everything = orders.agg(F.round(F.sum("gmv"), 2).alias("total_gmv"))
-    return with_scalar(at_risk, everything).withColumn("share_at_risk", ratio(F.col("gmv_at_risk"), F.col("total_gmv")))
+    return sums.withColumn("share_at_risk", ratio(F.col("gmv_at_risk"), F.col("total_gmv")))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from orderloom.functions.clean import clamp_null, require, total
 from orderloom.functions.dates import date_key, date_spine, days_between, is_weekend, sunday_week
 from orderloom.operators.aggregates import geo_rollup, payments_rollup, reviews_rollup
-from orderloom.operators.joins import lookup
+from orderloom.operators.joins import keep_all, lookup
 from orderloom.plans.stage import last_payments, typed_reviews
 
 # What counts as dear and as slow.
@@ -69,7 +69,8 @@ def fact_orders(
 ) -> DataFrame:
     """One row per order item; orders without items stay once with a NULL item.
 
-    Payments are one row per order before the join, so nothing fans out and no repair is needed.
+    Payments are one row per order and meet the order first, so nothing fans out and the only join
+    that sees item skew is the last one.
     """
     o = clean_orders(orders).select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -78,13 +79,17 @@ def fact_orders(
     i = clean_items(items).select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"
     )
-    joined = lookup(o.join(i, "order_id", "left"), order_payments(payments, payment_policy), "order_id")
+    heads = lookup(o, order_payments(payments, payment_policy), "order_id")
+    joined = keep_all(heads, i, "order_id")
     joined = joined.withColumn("payment_type", F.lower(F.coalesce("payment_type", F.lit("not_defined"))))
     return joined.withColumns(quality_flags(as_of, high_value)).withColumnRenamed("order_id", "id")
 
 
 def fact_sales(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per sold item; the order's payments are shared out by line amount."""
+    """One row per sold item; the order's payments are shared out by line amount.
+
+    Totals, payments and reviews meet the order first, one row each; the items come last.
+    """
     lines = clean_items(items).withColumn(
         "total_sale_amount", F.coalesce("price", F.lit(0)) + F.coalesce("freight_value", F.lit(0))
     )
@@ -93,9 +98,10 @@ def fact_sales(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews
     bought, delivered, due = (
         F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     )
-    joined = lines.join(o, "order_id")
+    heads = o
     for side in (per_order, payments_rollup(payments), reviews_rollup(typed_reviews(reviews))):
-        joined = lookup(joined, side, "order_id")
+        heads = lookup(heads, side, "order_id")
+    joined = lines.join(heads, "order_id")
     line = F.col("total_sale_amount").cast("double")
     return joined.select(
         F.md5(F.concat_ws("-", F.col("order_id").cast("string"), F.col("order_item_id").cast("string"))).alias("sales_key"),
