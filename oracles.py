@@ -257,6 +257,11 @@ O["stream_upsert"] = """SELECT user_id, event_id, event_type, ts AS updated_at F
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1"""
 O["stream_append"] = "SELECT event_type, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY 1"
 
+O["layer_rebuild"] = sql("f c s o pr", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {x}" for n, x in (
+        ("fact_orders", "f"), ("dim_customers", "c"), ("dim_sellers", "s"), ("dim_products", "pr"), ("orders_enriched", "o")))
+    + " UNION ALL SELECT 'dim_date', date_diff('day', min(purchase_ts), max(estimated_ts)) + 1 FROM o")
+
 # Cleaning
 O["clean_columns"] = """
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, lower(p_type) AS type, upper(p_name) AS name,

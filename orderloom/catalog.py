@@ -8,11 +8,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom import schemas
-from orderloom.bindings import Tables
+from orderloom.bindings import RAW, Tables
 from orderloom.functions import clean, dates, labels
 from orderloom.operators import aggregates as agg, dedup, history, impute, joins, quality, ranking
 from orderloom.plans import (
-    audits, business, cleaning, delivery, kpis, learning, orders as base, retention, semantic, stage, star, words,
+    audits, business, cleaning, delivery, kpis, layers, learning, orders as base, retention, semantic, stage, star, words,
 )
 from orderloom.session import apply_settings, scratch_path
 from orderloom.sources import files, tables as store
@@ -162,6 +162,15 @@ def stored_result(t):
     return store.cached_result(t.spark, path, build, max_age_seconds=3600)
 
 
+@query
+def layer_rebuild(t):
+    """All layers from raw tables to checks below a fresh folder; rows of each gold table."""
+    tables = {n: raw(t)[n] for n in RAW}
+    out = layers.run(t.spark, tables, scratch_path(t.spark, "warehouse"), AS_OF)
+    names = ("fact_orders", "dim_customers", "dim_sellers", "dim_date", "dim_products", "orders_enriched")
+    return store.table_counts({n: out[n] for n in names})
+
+
 def event_files(t: Tables) -> tuple[str, DataFrame]:
     """Events as change files of several days, the form a stream picks up."""
     path = scratch_path(t.spark, "events-in")

@@ -67,11 +67,11 @@ def running_total(df: DataFrame, order: Sequence[Column], measure: str, out: str
 
 def hot_groups(sizes: DataFrame, keys: Sequence[str], size: str, hot_rows: int) -> DataFrame | None:
     """Keys of the groups above ``hot_rows`` rows, or None; ready to be joined."""
-    hot = cut_lineage(sizes.filter(F.col(size) > hot_rows).select(*keys))
-    n = hot.count()
-    if n == 0:
+    hot = sizes.filter(F.col(size) > hot_rows).select(*keys)
+    if hot.isEmpty():
         return None
-    return F.broadcast(hot) if n <= BROADCAST_GROUPS else hot
+    hot = cut_lineage(hot)
+    return F.broadcast(hot) if hot.count() <= BROADCAST_GROUPS else hot
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
