@@ -1154,7 +1154,9 @@ def stage_checks(t):
 
 @query
 def gold_checks(t):
-    return audits.gold_summary(fact(t), t, ts(AS_OF))
+    """Checks read the stored fact, as they do after a layer run: each scans only its columns."""
+    stored = store.cached_result(t.spark, scratch_path(t.spark, "fact"), lambda: fact(t))
+    return audits.gold_summary(stored, t, ts(AS_OF))
 
 
 # Text -----------------------------------------------------------------------------------------------------

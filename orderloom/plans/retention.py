@@ -13,6 +13,7 @@ from orderloom.functions.labels import (
 )
 from orderloom.operators.joins import share_of_total, with_scalar
 from orderloom.operators.ranking import quantile_bucket
+from orderloom.session import cut_lineage
 
 
 def person_months(orders: DataFrame) -> DataFrame:
@@ -129,8 +130,12 @@ def rfm_base(orders: DataFrame) -> DataFrame:
 
 
 def rfm_scores(base: DataFrame, q: int) -> DataFrame:
-    """r_score (recent is high; equal days share a score), f_score, m_score (ties by person id)."""
+    """r_score (recent is high; equal days share a score), f_score, m_score (ties by person id).
+
+    The one row per person is read by every ranking step, so it is stored once.
+    """
     tie = ["customer_unique_id"]
+    base = cut_lineage(base)
     df = quantile_bucket(base, "recency", q, "r_score", ties="share", reverse=True)
     df = quantile_bucket(df, "frequency", q, "f_score", tiebreak=tie)
     return quantile_bucket(df, "monetary", q, "m_score", tiebreak=tie)
