@@ -566,6 +566,12 @@ O["chart_rfm_segments"] = sql("vs", "SELECT segment, count(customer_unique_id) A
 O["chart_cohort_heatmap"] = sql("cl", "SELECT cohort_month, months_since, avg(retention) AS avg_retention FROM cl GROUP BY 1, 2")
 O["chart_top_categories"] = sql("cat", "SELECT product_category, round(sum(gmv), 2) AS gmv_total FROM cat GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 12")
 
+O["chart_repeat_share_trend"] = sql("h", f"SELECT order_month, {rate('is_repeat_order')} AS repeat_order_share FROM h GROUP BY 1")
+O["chart_orders_per_customer"] = sql("vs", "SELECT orders_placed_bucket, count(customer_unique_id) AS customer_count FROM vs GROUP BY 1")
+O["chart_reorder_by_review"] = sql("h", f"SELECT review_bucket, {rate('has_subsequent_order')} AS reorder_rate FROM h GROUP BY 1")
+O["chart_late_rate_trend"] = sql("e", f"SELECT order_month, {rate('days_vs_estimate > 0')} AS late_rate FROM e GROUP BY 1")
+O["chart_reorder_by_delivery"] = sql("h", f"SELECT delivery_bucket, {rate('has_subsequent_order')} AS reorder_rate FROM h GROUP BY 1")
+
 # Retention
 O["cohort_long"] = sql("cl", "SELECT * FROM cl")
 O["cohort_wide"] = sql("cl", "SELECT cohort_month, " + ", ".join(f"max(retention) FILTER (months_since = {m}) AS m{m}" for m in range(13)) + " FROM cl GROUP BY 1")

@@ -862,6 +862,32 @@ def chart_top_categories(t):
     return semantic.chart("top_categories", {semantic.CATEGORIES: base.category_sales(t)})
 
 
+@query
+def chart_repeat_share_trend(t):
+    return semantic.chart("repeat_share_trend", {semantic.ORDERS: base.enriched_orders(t, ("customers",))})
+
+
+@query
+def chart_orders_per_customer(t):
+    view = retention.customer_view(base.enriched_orders(t, ("items", "customers"), history=False))
+    return semantic.chart("orders_per_customer", {semantic.CUSTOMERS: view})
+
+
+@query
+def chart_reorder_by_review(t):
+    return semantic.chart("reorder_by_review", {semantic.ORDERS: base.enriched_orders(t, ("customers", "reviews"))})
+
+
+@query
+def chart_late_rate_trend(t):
+    return semantic.chart("late_rate_trend", {semantic.ORDERS: base.enriched_orders(t, (), history=False)})
+
+
+@query
+def chart_reorder_by_delivery(t):
+    return semantic.chart("reorder_by_delivery", {semantic.ORDERS: base.enriched_orders(t, ("customers",))})
+
+
 # Retention and segments -------------------------------------------------------------------------------
 
 
