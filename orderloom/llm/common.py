@@ -52,3 +52,12 @@ def arrow_rows(batch: pa.RecordBatch, name: str) -> list:
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def sample_bound(df: DataFrame, key: Column, n: int) -> int | None:
+    """The ``n``-th smallest distinct key (None without rows): ``key <= bound`` picks a sample of ``n`` keys.
+
+    Only the keys are sorted, so that a sample of long rows costs one narrow scan and one filter.
+    """
+    keys = df.select(key.alias("_key")).where("_key is not null").distinct().orderBy("_key").limit(n)
+    return keys.agg(F.max("_key")).first()[0]

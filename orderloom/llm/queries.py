@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe
+from . import bpe, language, secrets
+from .common import fold
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
@@ -23,8 +24,33 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secrets.find(docs, secrets.fit(docs))
+
+    def joined(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, secrets.KINDS),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "crf")), 256).alias("base_sha256"),
+        joined("spans").alias("spans"))
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold("doc_id", 4) == 2
+    parser = language.fit(docs.where(~held_out))
+    return language.predict(docs, parser).withColumn("held_out", held_out)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_secrets": op6_secrets,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_language": op10_language,
 }
 
 LLM_ORACLES: dict[str, str] = {}
