@@ -25,7 +25,7 @@ import regex
 from .common import arrow_rows, record_batch
 
 # Encodings of pieces kept by a worker, and the longest piece kept; beyond that the store starts anew.
-KEPT_PIECES, KEPT_LENGTH = 800_000, 40
+KEPT_PIECES, KEPT_LENGTH = 250_000, 40
 
 _encoders: dict[tuple[bytes, str], "Encoder"] = {}
 
@@ -35,13 +35,11 @@ class Encoder(dict):
 
     def __init__(self, rank_file: bytes, pattern: str):
         super().__init__()
-        pairs = (line.split() for line in rank_file.splitlines() if line)
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.bytes_of = token_bytes(rank_file)
+        self.ranks = {token: rank for rank, token in enumerate(self.bytes_of) if token}
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
-        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         self.automaton = ahocorasick.Automaton()
-        for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
+        for token in self.ranks:
             self.automaton.add_word(token.decode("latin-1"), len(token))
         self.widest = max(map(len, self.ranks))
         self.split = regex.compile(pattern).findall
@@ -52,9 +50,6 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.split(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
         ids = self.packed.get(raw) or b"".join(map(self.packed.__getitem__, self.tokens(raw)))
@@ -164,7 +159,16 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def token_bytes(rank_file: bytes) -> list[bytes]:
+    """The bytes of each id."""
+    pairs = [line.split() for line in rank_file.splitlines() if line]
+    out = [b""] * (max(int(rank) for _, rank in pairs) + 1)
+    for token, rank in pairs:
+        out[int(rank)] = base64.b64decode(token)
+    return out
+
+
+def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """Adds ``decoded``, the bytes that ``ids`` stand for, to the columns ``doc_id``, ``n_tokens``, ``ids``."""
     with open(ranks, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
@@ -172,9 +176,9 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
+        of = token_bytes(shared.value).__getitem__
         for batch in batches:
-            texts = [encoder.decode(ids or b"") for ids in arrow_rows(batch, "ids")]
+            texts = [b"".join(map(of, np.frombuffer(ids or b"", "<u4").tolist())) for ids in arrow_rows(batch, "ids")]
             schema = pa.schema([*batch.schema, ("decoded", pa.binary())])
             yield record_batch(schema, [*batch.columns, texts])
 

@@ -20,7 +20,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, folder, "documents"), ranks, pattern)
-    return bpe.decode(encoded, ranks, pattern).select(
+    return bpe.decode(encoded, ranks).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
