@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, secrets
+from . import bpe, language, secrets, suffix_tree
 from .common import fold
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -24,6 +24,10 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score_held_out(table(spark, folder, "documents"))
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = secrets.find(docs, secrets.fit(docs))
@@ -48,6 +52,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_model": op3_language_model,
     "op6_secrets": op6_secrets,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_language": op10_language,
