@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+import os
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import pyarrow as pa
 
 # Texts handed to one vectorised step together: at most so many characters, or one text.
@@ -61,3 +63,12 @@ def sample_bound(df: DataFrame, key: Column, n: int) -> int | None:
     """
     keys = df.select(key.alias("_key")).where("_key is not null").distinct().orderBy("_key").limit(n)
     return keys.agg(F.max("_key")).first()[0]
+
+
+def let_workers_import(spark: SparkSession) -> SparkSession:
+    """Lets Python workers find this package at the path it has here, where nobody has shipped or installed it."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return spark

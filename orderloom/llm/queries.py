@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, secrets, suffix_tree
-from .common import fold
+from . import bpe, language, line_chunks, secrets, suffix_tree
+from .common import fold, let_workers_import
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return let_workers_import(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,6 +44,14 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
         joined("spans").alias("spans"))
 
 
+def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_chunks.drop_repeated(table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_chunks").alias("n_chunks"),
+        F.col("_lines_gone").alias("n_lines_removed"), F.length("text").cast("long").alias("n_chars_kept"),
+        F.md5("text").alias("text_md5"))
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -55,7 +63,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_model": op3_language_model,
     "op6_secrets": op6_secrets,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_line_chunks": op9_line_chunks,
     "op10_language": op10_language,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op9_line_chunks": line_chunks.oracle(),
+}
