@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, line_chunks, secrets, suffix_tree
+from . import bpe, language, line_chunks, mixing, secrets, suffix_tree
 from .common import fold, let_workers_import
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return let_workers_import(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", *(F.col(f"_{c}").alias(c) for c in ("block", "place", "slot")))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, folder, "documents"), ranks, pattern)
@@ -62,11 +67,13 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_model": op3_language_model,
     "op6_secrets": op6_secrets,
+    "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_chunks": op9_line_chunks,
     "op10_language": op10_language,
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op7_mixing": mixing.oracle(),
     "op9_line_chunks": line_chunks.oracle(),
 }
