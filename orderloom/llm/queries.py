@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, line_chunks, mixing, secrets, suffix_tree
+from . import bpe, language, line_chunks, mixing, secrets, suffix_tree, url_lists
 from .common import fold, let_workers_import
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -29,6 +29,13 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    log = url_lists.report_log(pages, table(spark, folder, "events"))
+    judged = url_lists.judge(url_lists.page_captures(pages), log)
+    return judged.withColumn("fetched", F.col("fetched").cast("string")).withColumnsRenamed({"_verdict": "verdict", "_pattern": "pattern", "_n_active": "n_active"})
+
+
 def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score_held_out(table(spark, folder, "documents"))
 
@@ -65,6 +72,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op3_language_model": op3_language_model,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
@@ -74,6 +82,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op1_url_filters": url_lists.oracle(),
     "op7_mixing": mixing.oracle(),
     "op9_line_chunks": line_chunks.oracle(),
 }
