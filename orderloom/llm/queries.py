@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, line_chunks, mixing, secrets, suffix_tree, url_lists
+from . import bpe, language, line_chunks, mixing, pivots, posting_lists, secrets, suffix_tree, url_lists
 from .common import fold, let_workers_import
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -36,10 +36,18 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.withColumn("fetched", F.col("fetched").cast("string")).withColumnsRenamed({"_verdict": "verdict", "_pattern": "pattern", "_n_active": "n_active"})
 
 
+def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.search(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score_held_out(table(spark, folder, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return posting_lists.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = secrets.find(docs, secrets.fit(docs))
@@ -73,7 +81,9 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_exact_topk": op2_exact_topk,
     "op3_language_model": op3_language_model,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
