@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, line_chunks, mixing, pivots, posting_lists, secrets, suffix_tree, url_lists
+from . import bpe, language, line_chunks, mixing, order_minhash, pivots, posting_lists, secrets, suffix_tree, url_lists
 from .common import fold, let_workers_import
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -48,6 +48,10 @@ def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return posting_lists.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "n_class")
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = secrets.find(docs, secrets.fit(docs))
@@ -84,6 +88,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_topk": op2_exact_topk,
     "op3_language_model": op3_language_model,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
