@@ -1,27 +1,66 @@
-"""Corpus pipeline: the stages in order, each written as Parquet and read again by the next."""
+"""Corpus pipeline: five stages over the documents, each written as Parquet and read again by the next.
+
+A stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept. All but the last return the columns
+of ``docs``; the last returns the token ids. Extra columns of ``docs`` pass through, empty tables stay empty.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from orderloom.llm import bpe
+from orderloom.llm import bpe, language, line_chunks, mixing, order_minhash
+from orderloom.llm.common import fold
 from orderloom.llm.queries import BYTE_BPE, table
 from orderloom.session import scratch_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a language (null texts, texts without a letter); all others stay as they are.
+
+    The automata learn from the labelled documents whose crc32(doc_id) modulo 4 is not 2.
+    """
+    parser = language.fit(docs.where(fold("doc_id", 4) != 2))
+    known = language.predict(docs, parser, keep=True)
+    return known.where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated chunks of lines out of the texts; documents of which nothing is left go. ``n_chars`` follows the text."""
+    kept = line_chunks.drop_repeated(docs).where(~F.col("_emptied"))
+    columns = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return kept.select(*docs.columns).withColumns(columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each class of near-duplicates."""
+    return order_minhash.keep_one(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts the documents in the order of the Pfair schedule; every document stays."""
+    mixed = mixing.mix(docs)
+    return mixed.orderBy("_slot", "_place").select(*docs.columns)
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, packed as little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    """``doc_id``, ``n_tokens``, ``ids`` (packed little-endian unsigned 32-bit), and the decoded bytes' SHA-256."""
+    ranks = public_tokenizers.path(BYTE_BPE)
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("source_mix", source_mix),
     ("byte_bpe", byte_bpe),
 ]
 
-# Language models of the text, edit alignment and token merges are not SQL; tests/llm checks the stages by brute force.
+# Cross-parsing, edit alignment and token merges are not SQL; tests/llm checks the stages by brute force.
 ORACLE_SQL: str | None = None
 
 
