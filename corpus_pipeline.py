@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from orderloom.llm import bpe, language, line_chunks, mixing, order_minhash
-from orderloom.llm.common import fold
+from orderloom.llm.common import boxed, fold, unboxed
 from orderloom.llm.queries import BYTE_BPE, table
 from orderloom.session import scratch_path
 
@@ -23,15 +23,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The automata learn from the labelled documents whose crc32(doc_id) modulo 4 is not 2.
     """
     parser = language.fit(docs.where(fold("doc_id", 4) != 2))
-    known = language.predict(docs, parser, keep=True)
-    return known.where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+    known = language.predict(boxed(docs), parser, id_col="row", text_col="row.text")
+    return known.where(F.col("lang_pred") != language.UNKNOWN).select("doc_id.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated chunks of lines out of the texts; documents of which nothing is left go. ``n_chars`` follows the text."""
-    kept = line_chunks.drop_repeated(docs).where(~F.col("_emptied"))
-    columns = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return kept.select(*docs.columns).withColumns(columns)
+    kept = unboxed(line_chunks.drop_repeated(docs).where(~F.col("emptied")))
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the documents in the order of the Pfair schedule; every document stays."""
-    mixed = mixing.mix(docs)
-    return mixed.orderBy("_slot", "_place").select(*docs.columns)
+    return unboxed(mixing.mix(docs).orderBy("slot", "place"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

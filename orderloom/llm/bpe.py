@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 import regex
 
-from .common import arrow_rows, record_batch
+from .common import arrow_rows, record_batch, with_columns
 
 # Encodings of pieces kept by a worker, and the longest piece kept; beyond that the store starts anew.
 KEPT_PIECES, KEPT_LENGTH = 250_000, 40
@@ -147,7 +147,6 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id",
     with open(ranks, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
@@ -156,7 +155,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id",
             schema = pa.schema([batch.schema.field("doc_id"), ("n_tokens", pa.int64()), ("ids", pa.binary())])
             yield record_batch(schema, [batch.column(0), [len(x) // 4 for x in ids], ids])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, with_columns(rows, "doc_id", "n_tokens long, ids binary"))
 
 
 def token_bytes(rank_file: bytes) -> list[bytes]:
@@ -173,7 +172,6 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     with open(ranks, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
     rows = encoded.select("doc_id", "n_tokens", "ids")
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = token_bytes(shared.value).__getitem__
@@ -182,4 +180,4 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
             schema = pa.schema([*batch.schema, ("decoded", pa.binary())])
             yield record_batch(schema, [*batch.columns, texts])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return rows.mapInArrow(run, with_columns(rows, "doc_id, n_tokens, ids", "decoded binary"))

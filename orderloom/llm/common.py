@@ -7,12 +7,26 @@ import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 import pyarrow as pa
 
 # Texts handed to one vectorised step together: at most so many characters, or one text.
 BATCH_CHARS = 4_000_000
 
 
+def boxed(df: DataFrame, *columns: Column) -> DataFrame:
+    """All columns of ``df`` as one struct ``row``, so that no name of theirs can meet one of an operator's own."""
+    return df.select(F.struct(*(F.col(quoted(c)) for c in df.columns)).alias("row"), *columns)
+
+
+def unboxed(df: DataFrame, *columns: Column | str) -> DataFrame:
+    return df.select("row.*", *columns)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def id_text(col: str | Column) -> Column:
     """The id as text; a null id counts as the empty text."""
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))
@@ -51,6 +65,11 @@ def arrow_rows(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def with_columns(df: DataFrame, kept: str, more: str) -> StructType:
+    """The schema of the columns named in ``kept``, as they are in ``df``, and of those that ``more`` declares."""
+    return StructType([*(df.schema[c] for c in kept.split(", ")), *StructType.fromDDL(more).fields])
+
+
 def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)

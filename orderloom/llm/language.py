@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import arrow_rows, id_text, record_batch, text_batches
+from .common import arrow_rows, id_text, record_batch, text_batches, with_columns
 
 # The sample: texts of a language, characters taken of each, characters of a language in all.
 SAMPLE_TEXTS, SAMPLE_EACH, SAMPLE_CHARS = 64, 1000, 12_000
@@ -175,25 +175,16 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     return Parser({lang: text for lang, text in samples.items() if any(map(str.isalpha, text))})
 
 
-def predict(docs: DataFrame, parser: Parser, *, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score`` (0 to 1) and ``bits`` of every whole text.
-
-    With ``keep`` all columns of ``docs`` stay instead and the three come under ``_lang_pred``, ``_score``, ``_bits``.
-    """
-    rows = docs if keep else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    text_col = text_col if keep else "text"
+def predict(docs: DataFrame, parser: Parser, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``lang_pred``, ``score`` (0 to 1) and ``bits`` of every whole text; the id may be of any type."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = rows.sparkSession.sparkContext.broadcast(parser)
-    names = ("_lang_pred", "_score", "_bits") if keep else ("lang_pred", "score", "bits")
-    stay = rows.columns if keep else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
-            out = [x for _, texts in text_batches(arrow_rows(batch, text_col)) for x in parser.classify(texts)]
-            fields = [batch.schema.field(c) for c in stay]
-            schema = pa.schema([*fields, (names[0], pa.string()), (names[1], pa.float64()), (names[2], pa.float64())])
-            own = [batch.column(batch.schema.get_field_index(c)) for c in stay]
-            yield record_batch(schema, [*own, *(list(zip(*out)) if out else [[], [], []])])
-
-    schema = rows.select(*stay).withColumns({names[0]: F.lit("").cast("string"), names[1]: F.lit(0.0), names[2]: F.lit(0.0)}).schema
-    return rows.mapInArrow(run, schema)
+            out = [x for _, texts in text_batches(arrow_rows(batch, "text")) for x in parser.classify(texts)]
+            schema = pa.schema([batch.schema.field("doc_id"), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
+            yield record_batch(schema, [batch.column(0), *(list(zip(*out)) if out else [[], [], []])])
+
+    return rows.mapInArrow(run, with_columns(rows, "doc_id", "lang_pred string, score double, bits double"))

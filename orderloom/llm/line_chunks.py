@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import id_text
+from .common import boxed, id_text, quoted
 
 WINDOW, MEAN_LINES, FACTOR = 2, 3, 31
 
@@ -71,22 +71,21 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def drop_repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated chunks taken out of the text.
+    """The documents as ``row``, their text without the repeated chunks, and what was done.
 
-    Adds ``_n_lines``, ``_n_chunks``, ``_lines_gone`` and ``_emptied``, which says that every chunk has gone.
+    ``n_lines``, ``n_chunks`` and ``lines_gone`` are of the text before; ``emptied`` says that every chunk has gone.
     """
-    gone = repeated(docs, id_col, text_col)
-    rows = docs.withColumn("_row", _key(id_col, text_col)).join(
-        gone.withColumnsRenamed({"row": "_row", "gone": "_gone", "emptied": "_emptied"}), "_row", "left")
-    cut = with_chunks(rows, text_col).withColumn("_kept", F.expr("filter(_chunks, c -> _gone is null or not array_contains(_gone, c.k))"))
-    columns = {
-        "_n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
-        "_n_chunks": F.coalesce(F.size("_chunks"), F.lit(0)).cast("long"),
-        "_lines_gone": F.coalesce(F.size("_lines") - F.expr("aggregate(_kept, 0, (s, c) -> s + c.n)"), F.lit(0)).cast("long"),
-        text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join("_kept.text", "\n")),
-    }
-    out = cut.withColumns({k: v.alias(k) for k, v in columns.items()})
-    return out.select(*docs.columns, "_n_lines", "_n_chunks", "_lines_gone", F.coalesce("_emptied", F.lit(False)).alias("_emptied"))
+    rows = boxed(docs, _key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    gone = repeated(docs, id_col, text_col).withColumnRenamed("row", "key")
+    cut = with_chunks(rows.join(gone, "key", "left"), "text").withColumn(
+        "kept", F.expr("filter(_chunks, c -> gone is null or not array_contains(gone, c.k))"))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("kept.text", "\n"))
+    lost = F.size("_lines") - F.expr("aggregate(kept, 0, (s, c) -> s + c.n)")
+    return cut.select(
+        F.col("row").withField(quoted(text_col), text).alias("row"),
+        *(F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias(name) for name, n in (
+            ("n_lines", F.size("_lines")), ("n_chunks", F.size("_chunks")), ("lines_gone", lost))),
+        F.coalesce("emptied", F.lit(False)).alias("emptied"))
 
 
 def oracle(table: str = "documents") -> str:

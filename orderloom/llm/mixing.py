@@ -22,7 +22,7 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import id_text
+from .common import boxed, id_text
 
 BLOCK, SLOTS, DIGITS = 16, 1000, 3
 # Sources that one schedule can hold; a table with more is refused.
@@ -59,39 +59,38 @@ def period(given: dict[str | None, int]) -> list[tuple[str | None, int, int]]:
 
 def mix(docs: DataFrame, weights: dict[str | None, int | Fraction] | None = None, *, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
-    """``docs`` with ``_block`` (of its source), ``_slot`` and ``_place`` (in the block); order by ``_slot``, ``_place``."""
-    spark, source = docs.sparkSession, F.col(source_col).cast("string")
+    """The documents as ``row`` with ``block`` (of its source), ``slot`` and ``place`` (in the block); order by slot, place."""
+    spark = docs.sparkSession
     digest = F.md5(id_text(id_col))
-    bucket = F.substring("_digest", 1, DIGITS)
-    rows = docs.withColumns({"_source": source, "_digest": digest, "_text_digest": F.md5(F.coalesce(text_col, F.lit("")))}).withColumn("_bucket", bucket)
-    counts = docs.select(source.alias("_source"), F.substring(digest, 1, DIGITS).alias("_bucket")).groupBy("_source", "_bucket").agg(F.count("*").alias("n"))
+    source, bucket = F.col(source_col).cast("string").alias("source"), F.substring(digest, 1, DIGITS).alias("bucket")
+    rows = boxed(docs, source, bucket, digest.alias("digest"), F.col(id_col).alias("id"), F.md5(F.coalesce(text_col, F.lit(""))).alias("text_digest"))
+    counts = docs.select(source, bucket).groupBy("source", "bucket").agg(F.count("*").alias("n"))
     # A source has 16 ** DIGITS buckets at most.
-    before = F.sum("n").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.withColumn("_before", F.coalesce(before, F.lit(0))).drop("n")
-    sizes = counts.groupBy("_source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.withColumn("before", F.coalesce(before, F.lit(0))).drop("n")
+    sizes = counts.groupBy("source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(sizes) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     if weights is None:
-        weights = {r["_source"]: max(1, isqrt(r.n * 1_000_000)) for r in sizes}
-    elif unknown := {r["_source"] for r in sizes} - set(weights):
+        weights = {r.source: max(1, isqrt(r.n * 1_000_000)) for r in sizes}
+    elif unknown := {r.source for r in sizes} - set(weights):
         raise ValueError(f"no weight for the sources {sorted(map(str, unknown))}")
-    given = shares({r["_source"]: weights[r["_source"]] for r in sizes}, slots) if sizes else {}
-    steps = json.dumps([{"_source": s, "_i": i, "_t": t, "_share": given[s]} for s, i, t in period(given)])
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(steps), "array<struct<_source string, _i long, _t long, _share long>>")))
-    rank = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_digest", F.col(id_col), "_text_digest"))
-    numbered = rows.withColumn("_rank", rank)
-    same = _same(numbered, offsets, "_source") & (numbered["_bucket"] == offsets["_bucket"])
-    number = F.col("_before") + F.col("_rank") - 1
+    given = shares({r.source: weights[r.source] for r in sizes}, slots) if sizes else {}
+    # max(slots, MOST_SOURCES) rows at most
+    steps = json.dumps([{"source": s, "i": i, "t": t, "share": given[s]} for s, i, t in period(given)])
+    plan = spark.range(1).select(F.inline(F.from_json(F.lit(steps), "array<struct<source string, i long, t long, share long>>")))
+    rank = F.row_number().over(Window.partitionBy("source", "bucket").orderBy("digest", "id", "text_digest"))
+    numbered = rows.withColumn("rank", rank)
+    same = _same(numbered, offsets, "source") & (numbered["bucket"] == offsets["bucket"])
+    number = F.col("before") + F.col("rank") - 1
     placed = numbered.join(offsets, same).select(
-        *(numbered[c] for c in docs.columns), numbered["_source"],
-        F.floor(number / block).cast("long").alias("_block"), (number % block).alias("_place"))
-    per = F.broadcast(table.groupBy("_source").agg(F.max("_share").alias("_share")))  # MOST_SOURCES rows at most
-    placed = placed.join(per, _same(placed, per, "_source")).select(placed["*"], "_share")
-    placed = placed.withColumn("_i", F.col("_block") % F.col("_share"))
-    plan = F.broadcast(table.drop("_share"))  # max(slots, MOST_SOURCES) rows at most
-    slot = (F.expr("_block div _share") * sum(given.values()) + F.col("_t")).alias("_slot")
-    out = placed.join(plan, _same(placed, plan, "_source") & (placed["_i"] == plan["_i"]))
-    return out.select(*(placed[c] for c in docs.columns), "_block", slot, "_place")
+        "row", numbered["source"], F.floor(number / block).cast("long").alias("block"), (number % block).alias("place"))
+    shares_ = F.broadcast(plan.groupBy("source").agg(F.max("share").alias("share")))
+    placed = placed.join(shares_, _same(placed, shares_, "source")).select(
+        "row", placed["source"], "block", "place", "share", (F.col("block") % F.col("share")).alias("i"))
+    steps_ = F.broadcast(plan.select("source", "i", "t"))
+    slot = F.expr("block div share") * sum(given.values()) + F.col("t")
+    return placed.join(steps_, _same(placed, steps_, "source") & (placed["i"] == steps_["i"])).select("row", "block", slot.alias("slot"), "place")
 
 
 def _same(left: DataFrame, right: DataFrame, name: str) -> Column:

@@ -32,7 +32,7 @@ import xxhash
 
 from orderloom.session import cut_lineage, scratch_path
 
-from .common import arrow_rows, record_batch
+from .common import arrow_rows, boxed, record_batch, unboxed
 
 K, SIMILAR = 5, 0.8
 ENTRIES, ROWS = 48, 2
@@ -290,11 +290,10 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     stays = grouped.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
     stays = stays.select(F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
     several = found.where("n_class > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    key = F.unhex(F.md5(F.col(text_col)))
     marked = several.join(stays.withColumn("_stays", F.lit(True)), several["_id"].eqNullSafe(stays["_id"]) & (several["_key"] == stays["_key"]), "left").select(
         several["_id"], several["_key"], F.coalesce("_stays", F.lit(False)).alias("_stays"))
-    rows = docs.withColumn("_text_key", key)
-    out = rows.join(marked, rows[id_col].eqNullSafe(marked["_id"]) & (rows["_text_key"] == marked["_key"]), "left")
-    alone = out.where("_stays is null").select(*docs.columns)
-    one = out.where("_stays").dropDuplicates(["_text_key"]).select(*docs.columns)
-    return alone.unionByName(one)
+    rows = boxed(docs, F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col))).alias("key"))
+    out = rows.join(marked, rows["id"].eqNullSafe(marked["_id"]) & (rows["key"] == marked["_key"]), "left").select("row", "key", "_stays")
+    # Repeated rows of a class's first text all carry the mark.
+    one = out.where("_stays").dropDuplicates(["key"])
+    return unboxed(out.where("_stays is null").select("row").unionByName(one.select("row")))

@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "source", *(F.col(f"_{c}").alias(c) for c in ("block", "place", "slot")))
+    return mixed.select("row.doc_id", "row.source", "block", "place", "slot")
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +33,7 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     log = url_lists.report_log(pages, table(spark, folder, "events"))
     judged = url_lists.judge(url_lists.page_captures(pages), log)
-    return judged.withColumn("fetched", F.col("fetched").cast("string")).withColumnsRenamed({"_verdict": "verdict", "_pattern": "pattern", "_n_active": "n_active"})
+    return judged.select("row.page_id", "row.url", F.col("row.fetched").cast("string").alias("fetched"), "verdict", "pattern", "n_active")
 
 
 def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,9 +71,8 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_chunks.drop_repeated(table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_chunks").alias("n_chunks"),
-        F.col("_lines_gone").alias("n_lines_removed"), F.length("text").cast("long").alias("n_chars_kept"),
-        F.md5("text").alias("text_md5"))
+        "row.doc_id", "n_lines", "n_chunks", F.col("lines_gone").alias("n_lines_removed"),
+        F.length("row.text").cast("long").alias("n_chars_kept"), F.md5("row.text").alias("text_md5"))
 
 
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import boxed
+
 ENTRY = ("list", "verdict", "kind", "pattern")
 # A path entry is more specific than any domain entry: hosts have fewer labels than this.
 PATH_LEVEL = 100_000
@@ -69,7 +71,7 @@ def patterns(captures: DataFrame, labels: int, segments: int) -> DataFrame:
 
 
 def judge(captures: DataFrame, log: DataFrame, *, url_col: str = "url", fetched_col: str = "fetched") -> DataFrame:
-    """``captures`` with ``_verdict`` (block, allow, none), ``_pattern`` that decided and ``_n_active`` matching entries."""
+    """The captures as ``row`` with ``verdict`` (block, allow, none), the ``pattern`` that decided and ``n_active`` matching entries."""
     intervals = validity_intervals(log)
     # The widest entries bound what is asked of a long URL; one row.
     widest = intervals.agg(
@@ -87,11 +89,10 @@ def judge(captures: DataFrame, log: DataFrame, *, url_col: str = "url", fetched_
     best = F.max(F.struct("level", (F.col("blocks") > 0).alias("blocked"), "pattern"))
     verdicts = wanted.join(active, ["kind", "pattern", "day"]).groupBy("url", "day").agg(
         best.alias("best"), F.sum(F.col("blocks") + F.col("allows")).alias("n_active"))
-    rows = captures.withColumn("_day", F.to_date(F.col(fetched_col)))
-    out = rows.join(verdicts, (rows[url_col] == verdicts["url"]) & (rows["_day"] == verdicts["day"]), "left")
+    rows = boxed(captures, F.col(url_col).alias("url"), F.to_date(F.col(fetched_col)).alias("day"))
+    out = rows.join(verdicts, (rows["url"] == verdicts["url"]) & (rows["day"] == verdicts["day"]), "left")
     verdict = F.when(F.col("best").isNull(), "none").when(F.col("best.blocked"), "block").otherwise("allow")
-    return out.select(*(rows[c] for c in captures.columns), verdict.alias("_verdict"), F.col("best.pattern").alias("_pattern"),
-                      F.coalesce("n_active", F.lit(0)).cast("long").alias("_n_active"))
+    return out.select("row", verdict.alias("verdict"), F.col("best.pattern").alias("pattern"), F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"))
 
 
 # The pages table has neither fetch days nor lists. A page is taken as fetched (page_id * 7919) mod 30 days after
