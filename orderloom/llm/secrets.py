@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_rows, id_text, record_batch, sample_bound, text_batches
+from .common import arrow_rows, id_text, record_batch, sample_bound, text_batches, with_columns
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(
@@ -52,8 +52,11 @@ def token_features(token: str) -> list[int]:
     """Numbers of the features that a token's shape has."""
     n = len(token)
     core = token.strip(MARKS)
-    digits = sum(map(str.isdigit, token))
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(core, core[1:]))
+    if core.isalpha():
+        digits = turns = 0
+    else:
+        digits = sum(map(str.isdigit, token))
+        turns = sum(a.isdigit() != b.isdigit() for a, b in zip(core, core[1:])) if digits else 0
     out = [
         min(n, 64).bit_length(),                                       # 0-7
         8 + (0 if not digits else 1 + min(2, 6 * digits // (2 * n))),  # 8-11
@@ -80,32 +83,40 @@ def file_features(tokens: list[str], text: str) -> list[int]:
     return [min(2, size // 100), 3 + min(2, marks), 6 + min(2, 50 * digits // max(1, len(text)))]
 
 
+class Shapes(dict):
+    """Maps a token to the number of its set of features; ``sets`` holds the sets seen so far."""
+
+    def __init__(self):
+        super().__init__()
+        self.sets: list[tuple[int, ...]] = []
+        self.number: dict[tuple[int, ...], int] = {}
+
+    def __missing__(self, token: str) -> int:
+        features = tuple(token_features(token))
+        number = self.number.get(features)
+        if number is None:
+            number = self.number[features] = len(self.sets)
+            self.sets.append(features)
+        self[token] = number
+        return number
+
+
 class Field:
     """Weights of the random field; ``scores`` and ``decode`` work on batches of texts."""
 
     def __init__(self, shape: np.ndarray, file: np.ndarray, turn: np.ndarray):
         self.shape, self.file, self.turn = shape, file, turn  # [place, feature, tag], [feature, tag], [tag, next tag]
-        self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, 3, 3), np.float32)
-
-    def numbers(self, tokens: list[str]) -> list[int]:
-        known, out = self.known, []
-        for token in tokens:
-            number = known.get(token)
-            if number is None:
-                number = known[token] = len(known)
-                if number >= len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[number] = self.shape[:, token_features(token)].sum(axis=1)
-            out.append(number)
-        return out
+        self.known = Shapes()
+        self.rows = np.zeros((0, 3, 3), np.float32)
 
     def scores(self, tokens: list[str], text: str) -> np.ndarray:
         """[token, tag] scores of one text."""
         if len(self.known) >= KEPT_TOKENS:
             self.known.clear()
-        numbers = self.numbers(tokens)
-        rows = self.rows[np.array(numbers, np.int64)]
+        numbers = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        if new := self.known.sets[len(self.rows):]:
+            self.rows = np.concatenate([self.rows, [self.shape[:, list(f)].sum(axis=1) for f in new]]).astype(np.float32)
+        rows = self.rows[numbers]
         out = rows[:, 0] + self.file[file_features(tokens, text)].sum(axis=0)
         out[1:] += rows[:-1, 1]
         out[:-1] += rows[1:, 2]
@@ -240,7 +251,6 @@ def find(docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_c
     Spans are in order of start, then kind as in ``KINDS``; those of ``crf`` meet no pattern match.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(field and (field.shape, field.file, field.turn))
     name = hashlib.md5(b"".join(np.ascontiguousarray(x).tobytes() for x in shared.value or ())).hexdigest()
 
@@ -257,7 +267,7 @@ def find(docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_c
             rows_out = [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in out]
             yield record_batch(pa.schema([batch.schema.field("doc_id"), ("spans", span)]), [batch.column(0), rows_out])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return rows.mapInArrow(run, with_columns(rows, "doc_id", "spans array<struct<kind:string,start:bigint,end:bigint>>"))
 
 
 _fields: dict[str, Field] = {}
