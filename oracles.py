@@ -6,11 +6,26 @@ states its result. ``sql("a b", body)`` prefixes the CTEs a, b and what they nee
 
 from __future__ import annotations
 
-from orderloom.functions.text import ACCENTED, PLAIN, STOP_WORDS, TOKEN_PATTERN
+# Fixed values of the word queries, kept apart from the package's own.
+TOKEN_PATTERN = "([a-zA-Zá-úÁ-Ú]{3,})"
+ACCENTED, PLAIN = "áâãäåçèéêëìíîïñòóôõöùú", "aaaaaceeeeiiiinooooouu"
+STOP_WORDS = sorted(set((
+    "a o as os um uma uns umas de do da dos das em no na nos nas por pra para com sem sob sobre e ou mas que se "
+    "porque como quando onde qual quais eu tu ele ela vos eles elas voce voces meu minha seu sua este esta isso "
+    "esse essa aquele aquela ao aos nao sim ja ainda muito muita muitos muitas mais menos bem mal tudo nada algum "
+    "alguma todo toda todos todas ser estar ter fazer foi era estao sao tem tinha ficou chegou veio vou vai so ate "
+    "depois antes agora comprei produto produtos compra loja entrega recebi recebido pedido item itens dia dias "
+    "prazo data "
+    "the and for are but not you all any can had her was one our out has him his how its may now she too use who "
+    "why did get let per than that this with have from they been were will would there their what when where which "
+    "while your about after again also because before being below between both could does doing down during each "
+    "few further here hers into just more most myself nor off once only other over own same should some such them "
+    "then these those through under until very yours "
+).split()))
 
 AS_OF = "TIMESTAMP '2001-09-01 00:00:00'"
 CUT1 = "TIMESTAMP '2024-01-15 00:00:00'"
-CUT2 = "TIMESTAMP '2024-01-22 00:00:00'"
+CUT2 = "TIMESTAMP '2024-02-01 00:00:00'"
 
 CTES: dict[str, tuple[str, str]] = {
     "o": ("", """
@@ -53,7 +68,7 @@ CTES: dict[str, tuple[str, str]] = {
     "r": ("r_raw", "SELECT * FROM r_raw QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_answer_timestamp DESC) = 1"),
     "lr": ("r", "SELECT order_id, review_score FROM r QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY review_answer_timestamp DESC, review_id DESC) = 1"),
     "c": ("", """
-        SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id,
+        SELECT c_custkey AS customer_id, c_custkey // 2 AS customer_unique_id,
           lpad(CAST(c_custkey // 3 AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
           lower(c_mktsegment) AS customer_city, n_name AS customer_state
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""),
@@ -243,8 +258,7 @@ O["upsert_result"] = sql("u1", f"""
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) n ON u1.user_id = n.user_id""")
 O["increment_rows"] = f"SELECT CAST(ts AS DATE) AS day, count(*) AS n, max(ts) AS bookmark FROM events WHERE ts > {CUT1} GROUP BY 1"
 O["flatten_json"] = "SELECT event_id, CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS BIGINT) AS props__k FROM events"
-O["child_rows"] = sql("o i", """SELECT order_id, order_item_id, product_id FROM i
-    WHERE order_id IN (SELECT order_id FROM o WHERE purchase_ts > TIMESTAMP '1999-01-01 00:00:00')""")
+O["child_rows"] = sql("o i", "SELECT order_id, order_item_id, product_id FROM i WHERE order_id IN (SELECT order_id FROM o)")
 O["landing_names"] = """
     SELECT page_id, CASE WHEN n = '' THEN 'uploaded_table' WHEN regexp_matches(n, '^[0-9]') THEN 't_' || n ELSE n END AS table_name
     FROM (SELECT page_id, trim(regexp_replace(CASE WHEN strpos(f, '.') > 1 THEN regexp_replace(f, '[.][^.]*$', '') ELSE f END,
@@ -373,10 +387,22 @@ O["dim_products"] = sql("pr", """
 O["current_product_sales"] = sql("i pr", """SELECT product_category_name, count(*) AS items, CAST(sum(price) AS DOUBLE) AS revenue,
     CAST(sum(CASE WHEN product_weight_g >= 2500 THEN product_weight_g + 1000 ELSE product_weight_g END) AS BIGINT) AS weight_g
     FROM i LEFT JOIN pr USING (product_id) GROUP BY 1""")
-O["dim_reviews"] = sql("r_raw", """
-    SELECT review_id, review_score, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current
-    FROM (SELECT review_id, review_score, min(review_answer_timestamp) AS valid_from FROM r_raw GROUP BY 1, 2)
-    WINDOW w AS (PARTITION BY review_id ORDER BY valid_from, review_score)""")
+def _versions(source: str, key: str, ts: str, cols: list[str]) -> str:
+    """Runs of equal states of a key in order of time: one row each, with the start of the next run."""
+    names, order = ", ".join(cols), ", ".join([ts, *(f"{c} NULLS FIRST" for c in cols)])
+    turn = " OR ".join(f"{c} IS DISTINCT FROM lag({c}) OVER w" for c in cols)
+    return f"""
+    SELECT {key}, {names}, valid_from, last_seen, lead(valid_from) OVER v AS valid_to, lead(valid_from) OVER v IS NULL AS is_current
+    FROM (SELECT {key}, run, {", ".join(f"any_value({c}) AS {c}" for c in cols)}, min({ts}) AS valid_from, max({ts}) AS last_seen
+      FROM (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY {key} ORDER BY place) AS run
+        FROM (SELECT {key}, {ts}, {names}, row_number() OVER w AS place, row_number() OVER w = 1 OR {turn} AS opens
+          FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY {order})))
+      GROUP BY {key}, run)
+    WINDOW v AS (PARTITION BY {key} ORDER BY run)"""
+
+
+O["dim_reviews"] = sql("r_raw", "SELECT * EXCLUDE (last_seen) FROM (" + _versions(
+    "r_raw", "review_id", "review_answer_timestamp", ["review_score", "review_comment_title", "review_comment_message"]) + ")")
 O["dim_location"] = sql("g", """SELECT md5(zip_code_prefix || '-' || city || '-' || state) AS location_key, zip_code_prefix, city, state,
     CAST(sum(lat) AS DOUBLE) / count(lat) AS avg_lat, CAST(sum(lng) AS DOUBLE) / count(lng) AS avg_lng, count(*) AS n_points FROM g GROUP BY 2, 3, 4""")
 O["dim_date"] = sql("o", """
@@ -402,10 +428,7 @@ O["monthly_revenue_mart"] = sql("f pr", """SELECT CAST(date_trunc('month', order
     CAST(sum(price) AS DOUBLE) AS gmv, count(DISTINCT id) AS order_count FROM f LEFT JOIN pr USING (product_id) WHERE order_item_id IS NOT NULL GROUP BY 1, 2""")
 
 # History
-O["scd2_rebuild"] = """
-    SELECT user_id, event_type, valid_from, last_seen, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current
-    FROM (SELECT user_id, event_type, min(ts) AS valid_from, max(ts) AS last_seen FROM events GROUP BY 1, 2)
-    WINDOW w AS (PARTITION BY user_id ORDER BY valid_from, event_type)"""
+O["scd2_rebuild"] = _versions("events", "user_id", "ts", ["event_type"])
 O["scd2_changes"] = """SELECT user_id, event_id, ts AS valid_from, event_type, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 O["scd2_current"] = """SELECT user_id, event_id, ts AS valid_from, event_type FROM events
@@ -514,7 +537,8 @@ O["reorder_by_score"] = sql("h", f"""SELECT review_bucket, {rate('has_subsequent
     CASE left(review_bucket, 1) WHEN '1' THEN 1 WHEN '3' THEN 2 ELSE 3 END AS position FROM h WHERE review_bucket IS NOT NULL GROUP BY 1""")
 O["reorder_gap"] = sql("h", f"""SELECT a AS first_value, z AS last_value, z / a - 1 AS relative_gap FROM
     (SELECT arg_min(reorder_rate, position) AS a, arg_max(reorder_rate, position) AS z FROM ({_reorder}))""")
-O["lead_hist"] = sql("b", "SELECT least(delivery_days, 40) AS bin, CAST(least(delivery_days, 40) AS DOUBLE) AS bin_start, count(*) AS n FROM b WHERE delivery_days >= 0 GROUP BY 1, 2")
+O["lead_hist"] = sql("b", """SELECT CAST(bin AS BIGINT) AS bin, CAST(bin * top AS DOUBLE) / 40 AS bin_start, count(*) AS n FROM
+    (SELECT least(delivery_days * 40 // top, 39) AS bin, top FROM b, (SELECT greatest(max(delivery_days), 1) AS top FROM b) WHERE delivery_days >= 0) GROUP BY bin, top""")
 O["lead_median"] = sql("b", "SELECT CAST(median(delivery_days) AS DOUBLE) AS median_days FROM b WHERE delivery_days >= 0")
 O["lead_by_state"] = sql("b", """SELECT customer_state, count(*) AS orders, avg(delivery_days) AS avg_days, CAST(median(delivery_days) AS DOUBLE) AS median_days
     FROM b WHERE delivery_days IS NOT NULL GROUP BY 1""")
@@ -529,10 +553,11 @@ O["score_trend"] = sql("b", f"""
       round((u * c - v * b) / (a * c - b * b), 8) AS linear, round((v * a - u * b) / (a * c - b * b), 8) AS quadratic FROM t, q""")
 O["top_categories"] = sql("cat", "SELECT product_category, round(sum(gmv), 2) AS gmv, CAST(sum(n_items) AS BIGINT) AS items FROM cat GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 3")
 O["bottom_categories"] = sql("cat", "SELECT product_category, CAST(sum(n_items) AS BIGINT) AS items FROM cat GROUP BY 1 ORDER BY 2, 1 LIMIT 3")
-O["category_state_matrix"] = sql("cat", """
-    SELECT product_category, """ + ", ".join(f"coalesce(round(sum(gmv) FILTER (customer_state = '{x}'), 2), 0) AS {x}" for x in STATES) + """
-    FROM cat WHERE product_category IN (SELECT product_category FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 4)
-      AND customer_state IN (SELECT customer_state FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 10) GROUP BY 1""")
+_cells = """SELECT product_category, customer_state, round(sum(gmv), 2) AS gmv FROM cat
+    WHERE product_category IN (SELECT product_category FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 10)
+      AND customer_state IN (SELECT customer_state FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 10) GROUP BY 1, 2"""
+O["category_state_matrix"] = sql("cat", f"""SELECT product_category, coalesce(COLUMNS(* EXCLUDE (product_category)), 0)
+    FROM (PIVOT ({_cells}) ON customer_state USING first(gmv) GROUP BY product_category)""")
 O["lane_scorecard"] = sql("e i pr", f"""
     SELECT customer_state, coalesce(product_category, 'unknown') AS product_category, count(*) AS items, {rate('is_late')} AS late_rate,
       CAST(sum(price) AS DOUBLE) AS gmv, {rate('is_late')} * CAST(sum(price) AS DOUBLE) AS risk
@@ -574,7 +599,8 @@ O["chart_reorder_by_delivery"] = sql("h", f"SELECT delivery_bucket, {rate('has_s
 
 # Retention
 O["cohort_long"] = sql("cl", "SELECT * FROM cl")
-O["cohort_wide"] = sql("cl", "SELECT cohort_month, " + ", ".join(f"max(retention) FILTER (months_since = {m}) AS m{m}" for m in range(13)) + " FROM cl GROUP BY 1")
+O["cohort_wide"] = sql("cl", """SELECT * FROM (PIVOT (SELECT cohort_month, 'm' || months_since AS m, retention FROM cl)
+    ON m USING first(retention) GROUP BY cohort_month)""")
 _opc = "(SELECT customer_unique_id, count(*) AS n FROM b WHERE customer_unique_id IS NOT NULL GROUP BY 1)"
 O["repeat_rate"] = sql("b", f"""SELECT count(*) AS customers, count(*) FILTER (n > 1) AS repeat_customers, CAST(sum(n) AS BIGINT) AS orders,
     count(*) FILTER (n > 1) / CAST(count(*) AS DOUBLE) AS repeat_rate, CAST(sum(n) - count(*) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS repeat_order_share FROM {_opc}""")
@@ -661,10 +687,12 @@ O["payment_distributions"] = sql("p", " UNION ALL ".join(
     for x in ("payment_sequential", "payment_type", "payment_installments")))
 O["rolling3"] = sql("b", """SELECT order_month, revenue, orders, round(avg(revenue) OVER (ORDER BY order_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS rolling_avg
     FROM (SELECT order_month, round(sum(gmv), 2) AS revenue, count(*) AS orders FROM b GROUP BY 1)""")
-O["gmv_growth"] = sql("b", """
+_growth = """
     SELECT min(order_month) AS first_month, max(order_month) AS last_month, arg_min(gmv, order_month) AS first_gmv, arg_max(gmv, order_month) AS last_gmv,
       (arg_max(gmv, order_month) / arg_min(gmv, order_month) - 1) * 100 AS growth_pct
-    FROM (SELECT order_month, round(sum(gmv), 2) AS gmv FROM b WHERE gmv IS NOT NULL AND order_month BETWEEN DATE '1995-02-01' AND DATE '2001-06-01' GROUP BY 1)""")
+    FROM (SELECT order_month, round(sum(gmv), 2) AS gmv FROM b WHERE gmv IS NOT NULL{} GROUP BY 1)"""
+O["gmv_growth"] = sql("b", _growth.format(" AND order_month BETWEEN DATE '1995-02-01' AND DATE '2001-06-01'"))
+O["gmv_growth_all"] = sql("b", _growth.format(""))
 O["product_volumes"] = sql("pr", "SELECT product_id, CAST(product_length_cm * product_height_cm * product_width_cm AS BIGINT) AS volume_cm3 FROM pr")
 O["freight_shares"] = sql("i", """SELECT order_id, order_item_id, CAST(price + freight_value AS DOUBLE) AS line_total,
     CAST(freight_value AS DOUBLE) / CAST(price AS DOUBLE) * 100 AS freight_pct FROM i""")
@@ -772,5 +800,18 @@ O["ml_repeat_label"] = sql("e", "SELECT order_id, customer_unique_id, CAST(cust_
 O["ml_class_weights"] = sql("o", """
     WITH k AS (SELECT CAST(delivered_ts > estimated_ts AS INTEGER) AS label, count(*) AS n FROM o WHERE order_status = 'delivered' AND delivered_ts IS NOT NULL GROUP BY 1)
     SELECT label, n, (SELECT sum(n) FROM k) / CAST((SELECT count(*) FROM k) * n AS DOUBLE) AS weight FROM k""")
+_fixed = "SELECT order_id, CAST(delivered_ts > estimated_ts AS INTEGER) AS label, freight / gmv AS score FROM b WHERE order_status = 'delivered' AND delivered_ts IS NOT NULL AND freight / gmv IS NOT NULL"
+O["ml_metrics_fixed"] = sql("b", f"""
+    WITH z AS ({_fixed}), pts AS (SELECT score, sum(label) AS p, count(*) AS n FROM z GROUP BY 1),
+    cum AS (SELECT score, p, n - p AS q, sum(p) OVER w AS tp, sum(n) OVER w AS flagged FROM pts WINDOW w AS (ORDER BY score DESC)),
+    tot AS (SELECT sum(label) AS p, count(*) - sum(label) AS q FROM z),
+    cut AS (SELECT coalesce((SELECT score FROM cum, tot WHERE cum.tp / CAST(tot.p AS DOUBLE) >= 0.7 ORDER BY cum.tp / CAST(flagged AS DOUBLE) DESC, score DESC LIMIT 1), 0.5) AS t),
+    cnt AS (SELECT t, count(*) AS n, count(*) FILTER (score >= t AND label = 1) AS tp, count(*) FILTER (score >= t AND label = 0) AS fp,
+        count(*) FILTER (score < t AND label = 1) AS fn, count(*) FILTER (score < t AND label = 0) AS tn FROM z, cut GROUP BY t),
+    ar AS (SELECT sum(cum.p * (cum.tp / CAST(flagged AS DOUBLE))) / max(tot.p) AS pr, sum(cum.q * (2 * cum.tp - cum.p) / 2.0) / (max(tot.p) * CAST(max(tot.q) AS DOUBLE)) AS roc FROM cum, tot)
+    SELECT round(t, 9) AS threshold, n AS n_test, tp, fp, fn, tn, (tp + fn) / CAST(n AS DOUBLE) AS positive_rate, tp / CAST(tp + fn AS DOUBLE) AS recall_pos,
+      tp / CAST(tp + fp AS DOUBLE) AS precision_pos, 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) AS f1_pos, round(pr, 9) AS pr_auc, round(roc, 9) AS roc_auc FROM cnt, ar""")
+O["ml_split_shares"] = sql("o", """SELECT CAST(delivered_ts > estimated_ts AS INTEGER) AS label, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, true AS share_holds
+    FROM o WHERE order_status = 'delivered' AND delivered_ts IS NOT NULL GROUP BY 1""")
 
 ORACLES = O

@@ -139,7 +139,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return c.selectExpr(
         "c_custkey AS customer_id",
-        "c_custkey AS customer_unique_id",
+        "c_custkey div 2 AS customer_unique_id",
         "lpad(CAST(c_custkey div 3 AS STRING), 5, '0') AS customer_zip_code_prefix",
         "lower(c_mktsegment) AS customer_city",
         "n_name AS customer_state",

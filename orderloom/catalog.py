@@ -23,7 +23,7 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = dt.datetime(2001, 9, 1)
 BOOKMARK = dt.datetime(2024, 1, 15)
-SECOND_CUT = dt.datetime(2024, 1, 22)
+SECOND_CUT = dt.datetime(2024, 2, 1)  # after the newest event
 STATES = [f"NATION_{i}" for i in range(25)]
 
 
@@ -123,8 +123,7 @@ def flatten_json(t):
 
 @query
 def child_rows(t):
-    parents = loads.increment(raw(t)["orders"], ts(dt.datetime(1999, 1, 1)), "order_purchase_timestamp")
-    return files.children_of(parents, t["order_items"], "order_id", "order_id").select("order_id", "order_item_id", "product_id")
+    return files.children_of(raw(t)["orders"], t["order_items"], "order_id", "order_id").select("order_id", "order_item_id", "product_id")
 
 
 @query
@@ -186,7 +185,7 @@ def stream_upsert(t):
     loads.stream_upsert(
         t.spark, source, events.schema, target, ["user_id"], "updated_at", scratch_path(t.spark, "state"), max_files=2
     ).awaitTermination()
-    out = store.read_table(t.spark, target)
+    out = loads.read_upserted(t.spark, target)
     return out.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
@@ -443,8 +442,8 @@ def current_product_sales(t):
 
 @query
 def dim_reviews(t):
-    log = raw(t)["order_reviews"].select("review_id", "review_score", "review_answer_timestamp")
-    versions = history.scd2_rebuild(log, ["review_id"], "review_answer_timestamp", ["review_score"])
+    checks = ["review_score", "review_comment_title", "review_comment_message"]
+    versions = history.scd2_rebuild(raw(t)["order_reviews"], ["review_id"], "review_answer_timestamp", checks)
     return versions.drop("last_seen")
 
 
@@ -783,7 +782,7 @@ def bottom_categories(t):
 
 @query
 def category_state_matrix(t):
-    return kpis.category_state_matrix(base.category_sales(t), STATES, 4, 10)
+    return kpis.category_state_matrix(base.category_sales(t))
 
 
 @query
@@ -898,7 +897,7 @@ def cohort_long(t):
 
 @query
 def cohort_wide(t):
-    return retention.cohort_wide(retention.cohort_long(base.order_base(t, ("customers",))), range(13))
+    return retention.cohort_wide(retention.cohort_long(base.order_base(t, ("customers",))))
 
 
 @query
@@ -1056,6 +1055,11 @@ def gmv_growth(t):
     return kpis.growth(base.order_base(t, ("items",)), "1995-02-01", "2001-06-01")
 
 
+@query
+def gmv_growth_all(t):
+    return kpis.growth(base.order_base(t, ("items",)))
+
+
 @query
 def product_volumes(t):
     return business.product_volume(t["products"]).select("product_id", "volume_cm3")
@@ -1253,7 +1257,7 @@ def ml_features(t):
 
 @query
 def ml_repeat_label(t):
-    rows = learning.label(base.order_base(t, ("customers",)), "repeat_purchase", base.person_sizes(t["orders"], t["customers"]))
+    rows = learning.label(base.order_base(t, ("customers",)), "repeat_purchase")
     return rows.select("order_id", "customer_unique_id", "label")
 
 
@@ -1278,6 +1282,26 @@ def ml_metrics(t):
     return learning.metrics(scored(t, "logistic_regression"))
 
 
+@query
+def ml_metrics_fixed(t):
+    """The model figures of a score that needs no fitting: freight as a share of the order's value."""
+    rows = learning.label(base.order_base(t, ("items",)), "late_delivery")
+    scored = rows.select("order_id", "label", clean.ratio(F.col("freight"), F.col("gmv")).alias("score")).filter("score is not null")
+    return learning.metrics(scored).withColumns({c: F.round(c, 9) for c in ("threshold", "pr_auc", "roc_auc")})
+
+
+@query
+def ml_split_shares(t):
+    """Rows, test rows and rows in both parts of each label's split; the test share lies within bounds."""
+    rows = learning.label(base.order_base(t, ()), "late_delivery").select("order_id", "label")
+    train, test = learning.split(rows)
+    parts = train.withColumn("part", F.lit(1)).unionByName(test.withColumn("part", F.lit(2)))
+    per_order = parts.groupBy("label", "order_id").agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("part"))
+    return per_order.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_in_both"),
+        (F.abs(F.avg((F.col("part") == 2).cast("int")) - 0.2) < 0.03).alias("share_holds"))
+
+
 @query
 def ml_importances(t):
     train, _ = learning.prepared(t, "late_delivery")

@@ -83,6 +83,15 @@ def pivot_sum(
     return wide.fillna(fill, subset=[str(v).lower() if isinstance(v, bool) else str(v) for v in values])
 
 
+def even_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """``bins`` bins of equal width from 0 to the greatest value, which is in the last bin."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.greatest(F.max(column), F.lit(1)).alias("_top"))
+    bin_no = F.least(F.floor(F.col(column) * bins / F.col("_top")), F.lit(bins - 1)).cast("bigint")
+    return counts.crossJoin(F.broadcast(top)).groupBy(bin_no.alias("bin"), "_top").agg(F.sum("_n").alias("n")).select(
+        "bin", (F.col("bin") * F.col("_top") / bins).cast("double").alias("bin_start"), "n")
+
+
 def histogram(df: DataFrame, column: str, width: float, lo: float = 0, cap: float | None = None) -> DataFrame:
     """Fixed-width bins from ``lo``; values above ``cap`` count in the last bin."""
     c = F.col(column)

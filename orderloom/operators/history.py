@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions.clean import col
-from orderloom.operators.ranking import HOT_ROWS, group_sizes, next_in_group
+from orderloom.operators.joins import null_safe_full, null_safe_lookup
+from orderloom.operators.ranking import neighbour
 
 VERSION_COLUMNS = ("version_id", "valid_from", "valid_to")
 
@@ -42,8 +43,8 @@ def _merge(
 ) -> DataFrame:
     """Join open versions with the snapshot; emit closed, kept and new versions in one pass.
 
-    Both sides hold one row per key, so the full join cannot fan out on a hot key. Versions that
-    were closed before are passed through untouched.
+    Both sides hold one row per key, so the full join cannot fan out on a hot key. NULL keys match
+    each other. Versions that were closed before are passed through untouched.
     """
     payload = [c for c in current.columns if c not in keys]
     closed = history.filter(F.col("valid_to").isNotNull())
@@ -51,7 +52,7 @@ def _merge(
         *keys, F.struct(*payload, *VERSION_COLUMNS).alias("old")
     )
     new = current.select(*keys, F.struct(*payload).alias("new"))
-    pair = old.join(new, list(keys), "full")
+    pair = null_safe_full(old, new, keys)
     stamp_type = history.schema["valid_from"].dataType
     at = at.cast(stamp_type)
     gone = F.col("new").isNull()
@@ -116,29 +117,35 @@ def scd2_rebuild(
     keys: Sequence[str],
     ts: str,
     cols: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """All versions from a change log: equal states of a key collapse to their first moment,
-    and each version ends where the key's next one starts."""
-    states = log.groupBy(*keys, *cols).agg(F.min(ts).alias("valid_from"), F.max(ts).alias("last_seen"))
-    order = [F.col("valid_from").asc(), *[F.col(c).asc_nulls_first() for c in cols]]
-    out = next_in_group(
-        states, keys, order, "valid_from", "valid_to", sizes=group_sizes(states, keys), hot_rows=hot_rows
+    """All versions from a change log: a row opens a version when it differs from the key's row before.
+
+    A state that returns opens a version again. Rows of one moment are taken in order of ``tiebreak``, then of
+    their state. ``last_seen`` is the last row that still held the version.
+    """
+    order = [ts, *tiebreak, *[c for c in cols if c not in tiebreak]]
+    rows = log.select(*dict.fromkeys([*keys, *order]))
+    seen = neighbour(rows, keys, order, [ts, *cols], -1, "_before")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_before.{c}")) for c in cols])
+    opened = seen.filter(F.col("_before").isNull() | ~same)
+    # The row before the next version's first one is the last that still held this version.
+    out = neighbour(opened.withColumnRenamed("_before", "_former"), keys, order, [ts, "_former"], 1, "_after")
+    newest = rows.groupBy(*keys).agg(F.max(ts).alias("_newest"))
+    return null_safe_lookup(out, newest, keys).select(
+        *keys, *cols, F.col(ts).alias("valid_from"),
+        F.when(F.col("_after").isNull(), F.col("_newest")).otherwise(F.col(f"_after._former.{ts}")).alias("last_seen"),
+        F.col(f"_after.{ts}").alias("valid_to"), F.col("_after").isNull().alias("is_current"),
     )
-    return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
-def scd2_changes(
-    log: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tiebreak: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def scd2_changes(log: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Every log row as a version, ended by the key's next row."""
-    order = [F.col(ts).asc(), *[F.col(t).asc() for t in tiebreak]]
-    out = next_in_group(log, keys, order, ts, "valid_to", hot_rows=hot_rows)
-    return out.withColumnRenamed(ts, "valid_from").withColumn("is_current", F.col("valid_to").isNull())
+    out = neighbour(log, keys, [ts, *tiebreak], [ts], 1, "_after")
+    return out.select(
+        *[F.col(c).alias("valid_from") if c == ts else F.col(c) for c in log.columns],
+        F.col(f"_after.{ts}").alias("valid_to"), F.col("_after").isNull().alias("is_current"),
+    )
 
 
 def current_versions(history: DataFrame, deleted_flag: str | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | dict[str, str]) -> DataFrame:
@@ -23,10 +24,10 @@ def safe_lookup(
     fact: DataFrame,
     many: DataFrame,
     on: str | Sequence[str],
-    reduce: Callable[[DataFrame], DataFrame],
+    to_one: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Left join to a side with several rows per key, reduced to one row per key beforehand."""
-    return lookup(fact, reduce(many), on)
+    return lookup(fact, to_one(many), on)
 
 
 def keep_all(heads: DataFrame, lines: DataFrame, on: str) -> DataFrame:
@@ -46,6 +47,29 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its keys renamed, and the condition under which NULL keys match each other."""
+    renamed = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    return renamed, reduce(Column.__and__, [left[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)])
+
+
+def null_safe_full(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join of two frames with one row per key, in which NULL keys match each other."""
+    marked = left.withColumn("_left", F.lit(True))
+    renamed, same = _null_safe(marked, right, keys)
+    joined = marked.join(renamed, same, "full")
+    # A key that is NULL on the left may be a NULL key or a row of the right alone; the mark tells which.
+    own = [F.when(F.col("_left"), F.col(k)).otherwise(F.col(f"_k{i}")).alias(k) for i, k in enumerate(keys)]
+    rest = [c for c in (*left.columns, *right.columns) if c not in keys]
+    return joined.select(*own, *rest)
+
+
+def null_safe_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to one row per key, in which NULL keys match each other."""
+    renamed, same = _null_safe(left, right, keys)
+    return left.join(renamed, same, "left").select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
 def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join in which NULL keys match each other."""
     renamed = right.select([F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])

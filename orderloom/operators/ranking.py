@@ -2,24 +2,21 @@
 
 * ``global_rank``/``running_total`` range-partition the rows, number them inside each partition
   and add the sizes of the partitions before it. What is broadcast is one row per partition.
-* ``sequence_in_group``/``next_in_group`` use a window per group, except for groups above
-  ``hot_rows`` rows, which go through ``global_rank``.
+* ``sequence_in_group``/``neighbour`` use windows per slice of a group, for example its days, and carry
+  one row of each slice along. They run no job of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from orderloom.operators.joins import null_safe_match
+from orderloom.operators.joins import null_safe_lookup
 from orderloom.session import cut_lineage
 
-# A group up to this size is sorted in one task without trouble.
-HOT_ROWS = 2_000_000
-
-# A list of hot groups up to this length is broadcast; a longer one is joined by shuffle.
-BROADCAST_GROUPS = 100_000
+# Slices of a group: so many numbers, or texts that share so many first characters.
+SLICE_NUMBERS, SLICE_CHARS = 1_000_000, 4
 
 
 def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -53,93 +50,71 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> Da
 
 def running_total(df: DataFrame, order: Sequence[Column], measure: str, out: str = "running") -> DataFrame:
     """Cumulative sum over a total order of the whole frame."""
+    return running_totals(df, order, {out: measure})
+
+
+def running_totals(df: DataFrame, order: Sequence[Column], measures: dict[str, str]) -> DataFrame:
+    """Cumulative sums over a total order: ``{new column: measure}``."""
     ranged = _ranged(df, order)
-    sizes = ranged.groupBy("_pid").agg(F.sum(measure).alias("_sum"))
-    starts = F.broadcast(_before(sizes, "_sum", "_start"))
+    sizes = ranged.groupBy("_pid").agg(*[F.sum(m).alias(f"_sum_{o}") for o, m in measures.items()])
+    window = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = sizes.select("_pid", *[F.coalesce(F.sum(f"_sum_{o}").over(window), F.lit(0)).alias(f"_start_{o}") for o in measures])
     inside = Window.partitionBy("_pid").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        ranged.withColumn("_inside", F.sum(measure).over(inside))
-        .join(starts, "_pid")
-        .withColumn(out, F.col("_start") + F.col("_inside"))
-        .drop("_pid", "_place", "_start", "_inside")
+        ranged.withColumns({f"_inside_{o}": F.sum(m).over(inside) for o, m in measures.items()})
+        .join(F.broadcast(starts), "_pid")
+        .select(*df.columns, *[(F.col(f"_start_{o}") + F.col(f"_inside_{o}")).alias(o) for o in measures])
     )
 
 
-def hot_groups(sizes: DataFrame, keys: Sequence[str], size: str, hot_rows: int) -> DataFrame | None:
-    """Keys of the groups above ``hot_rows`` rows, or None; ready to be joined."""
-    hot = sizes.filter(F.col(size) > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return None
-    hot = cut_lineage(hot)
-    return F.broadcast(hot) if hot.count() <= BROADCAST_GROUPS else hot
-
+def _slice(df: DataFrame, name: str) -> Column:
+    """A coarser value that grows with the column: the day of a moment, a block of numbers, the start of a text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(name)
+    if isinstance(kind, T.DateType):
+        return F.trunc(name, "month")
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(name) / SLICE_NUMBERS)
+    return F.substring(F.col(name).cast("string"), 1, SLICE_CHARS)
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
 
+def _sliced(df: DataFrame, keys: Sequence[str], first: str) -> DataFrame:
+    return df.withColumn("_slice", _slice(df, first))
 
-def _hot(df: DataFrame, keys: Sequence[str], sizes: DataFrame | None, hot_rows: int) -> DataFrame | None:
-    sizes = group_sizes(df, keys) if sizes is None else sizes
-    return hot_groups(sizes, keys, "_size", hot_rows)
 
+def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq") -> DataFrame:
+    """1-based position of each row inside its group, ascending by the columns ``order``, NULLs first.
 
-def sequence_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    out: str = "seq",
-    sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """1-based position of each row inside its group; ``order`` must be total in a group.
-
-    ``sizes`` (keys + ``_size``) may come from a cheaper frame than ``df``; upper bounds are fine.
+    Rows are numbered inside (group, slice of the first column); the sizes of the slices before it are added.
+    Only the sizes of a group's slices meet in one task, so a group that holds most rows is spread.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    hot = _hot(df, keys, sizes, hot_rows)
-    if hot is None:
-        return df.withColumn(out, F.row_number().over(window))
-    calm = null_safe_match(df, hot, keys, "left_anti").withColumn(out, F.row_number().over(window))
-    busy = global_rank(
-        null_safe_match(df, hot, keys, "left_semi"), [F.col(k) for k in keys] + list(order), "_rank"
-    )
-    firsts = busy.groupBy(*keys).agg(F.min("_rank").alias("_first"))
-    firsts = firsts.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_first")
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & busy[k].eqNullSafe(firsts[f"_g{i}"])
-    busy = busy.join(firsts, same).withColumn(out, (F.col("_rank") - F.col("_first") + 1).cast("int"))
-    return calm.unionByName(busy.select(calm.columns))
+    sliced = _sliced(df, keys, order[0])
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    placed = null_safe_lookup(sliced.withColumn("_place", F.row_number().over(inside)), starts, [*keys, "_slice"])
+    return placed.withColumn(out, (F.col("_start") + F.col("_place")).cast("int")).select(*df.columns, out)
 
 
-def next_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    value: str,
-    out: str = "next_value",
-    sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+def neighbour(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], step: int, out: str
 ) -> DataFrame:
-    """LEAD(value) inside each group; ``order`` must be total in a group."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    hot = _hot(df, keys, sizes, hot_rows)
-    if hot is None:
-        return df.withColumn(out, F.lead(value).over(window))
-    calm = null_safe_match(df, hot, keys, "left_anti").withColumn(out, F.lead(value).over(window))
-    busy = global_rank(
-        null_safe_match(df, hot, keys, "left_semi"), [F.col(k) for k in keys] + list(order), "_rank"
-    )
-    following = busy.select(
-        (F.col("_rank") - 1).alias("_rank"),
-        F.col(value).alias("_next"),
-        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
-    )
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
-    busy = busy.join(following, "_rank", "left").withColumn(out, F.when(same, F.col("_next")))
-    return calm.unionByName(busy.select(calm.columns))
+    """Adds a struct of ``values`` of the row before (``step`` -1) or after (1) in the group, NULL where there is none.
+
+    Ascending by the columns ``order``, NULLs first. The row at the edge of a slice of the first column takes the
+    nearest edge row of the group's other slices, so no task sees a whole group.
+    """
+    sliced = _sliced(df, keys, order[0])
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    near = (F.lag if step < 0 else F.lead)(F.struct(*values)).over(inside)
+    edge = (F.max if step < 0 else F.min)(F.struct(F.struct(*order).alias("o"), F.struct(*values).alias("v")))
+    slices = sliced.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
+    along = Window.partitionBy(*keys).orderBy("_slice")
+    carried = slices.withColumn("_carried", (F.lag if step < 0 else F.lead)("_edge.v").over(along)).drop("_edge")
+    met = null_safe_lookup(sliced.withColumn(out, near), carried, [*keys, "_slice"])
+    return met.withColumn(out, F.coalesce(out, "_carried")).select(*df.columns, out)
 
 
 def quantile_bucket(

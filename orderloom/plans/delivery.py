@@ -9,7 +9,7 @@ from orderloom.functions.dates import days_between, elapsed_hours
 from orderloom.functions.labels import (
     DELIVERY_BUCKETS, REVIEW_BUCKETS, delivery_outcome, review_bucket, right_closed,
 )
-from orderloom.operators.aggregates import histogram, quadratic_trend, weighted_median
+from orderloom.operators.aggregates import even_histogram, quadratic_trend, weighted_median
 from orderloom.operators.joins import share_of_total
 
 
@@ -73,9 +73,9 @@ def relative_gap(rates: DataFrame, measure: str) -> DataFrame:
     return ends.withColumn("relative_gap", ratio(F.col("last_value"), F.col("first_value")) - 1)
 
 
-def lead_histogram(orders: DataFrame, width: int = 1, cap: int = 40) -> DataFrame:
-    """Orders per lead-time bin; longer times count in the last bin."""
-    return histogram(orders.filter(F.col("delivery_days") >= 0), "delivery_days", width, 0, cap)
+def lead_histogram(orders: DataFrame, bins: int = 40) -> DataFrame:
+    """Orders per lead-time bin, with so many bins of equal width from zero to the longest time."""
+    return even_histogram(orders.filter(F.col("delivery_days") >= 0), "delivery_days", bins)
 
 
 def lead_median(orders: DataFrame) -> DataFrame:

@@ -130,10 +130,12 @@ def category_state_cells(sales: DataFrame, categories: int = 10, states: int = 1
     )
 
 
-def category_state_matrix(sales: DataFrame, state_names: Sequence[str], categories: int = 10, states: int = 10) -> DataFrame:
-    """Wide form over named state columns; a pair without sales is 0."""
-    cells = category_state_cells(sales, categories, states)
-    return cells.groupBy("product_category").pivot("customer_state", list(state_names)).agg(F.first("gmv")).fillna(0.0)
+def category_state_matrix(sales: DataFrame, categories: int = 10, states: int = 10) -> DataFrame:
+    """Wide form: a column for each of the top states; a pair without sales is 0."""
+    cells = cut_lineage(category_state_cells(sales, categories, states))  # categories x states rows
+    names = sorted(str(row[0]) for row in cells.select("customer_state").distinct().collect())
+    wide = cells.withColumn("customer_state", F.coalesce("customer_state", F.lit("None")))
+    return wide.groupBy("product_category").pivot("customer_state", names).agg(F.first("gmv")).fillna(0.0, subset=names)
 
 
 def growth(orders: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -30,7 +30,8 @@ def run(
     """Build the chosen layers in order below ``root``; returns the frames of the last state.
 
     Bronze, snapshots and gold are stored, stage tables are views over bronze. Tables are swapped
-    in whole, so a failed run leaves the former state readable.
+    in whole, so a failed run leaves the former state usable. A table of ``raw`` or gold that is asked
+    for and not there is an error.
     """
     unknown = set(layers) - set(LAYERS)
     if unknown:
@@ -41,7 +42,7 @@ def run(
     if "bronze" in layers:
         for name, df in raw.items():
             swap_table(audit_columns(df, as_of, batch, source=name), path("bronze", name))
-    bronze = {n: read_table(spark, path("bronze", n)) for n in raw if exists(spark, path("bronze", n))}
+    bronze = {n: read_table(spark, path("bronze", n)) for n in raw}
     out["reconciliation"] = reconcile(dict(raw), bronze)
     tables = stage(bronze)
     out.update({f"stg_{n}": df for n, df in tables.items()})
@@ -68,9 +69,11 @@ def run(
         for name, df in gold.items():
             swap_table(df, path("gold", name))
         swap_table(enriched_orders(tables), path("gold", "orders_enriched"))
-    for name in ("fact_orders", "dim_customers", "dim_sellers", "dim_date", "dim_products", "orders_enriched"):
-        if exists(spark, path("gold", name)):
-            out[name] = read_table(spark, path("gold", name))
-    if "checks" in layers and "fact_orders" in out:
+    stored = ("fact_orders", "dim_customers", "dim_sellers", "dim_date", "orders_enriched")
+    if {"gold", "checks"} & set(layers):
+        out.update({name: read_table(spark, path("gold", name)) for name in stored})
+        if exists(spark, path("gold", "dim_products")):  # needs a snapshot
+            out["dim_products"] = read_table(spark, path("gold", "dim_products"))
+    if "checks" in layers:
         out["checks"] = audits.gold_summary(out["fact_orders"], tables, now)
     return out

@@ -10,14 +10,15 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions.clean import ratio, total
 from orderloom.functions.dates import elapsed_days
 from orderloom.operators.aggregates import mode_per_group, modes_per_group
 from orderloom.operators.joins import lookup, with_scalar
+from orderloom.operators.ranking import running_totals
 from orderloom.plans.business import product_volume
-from orderloom.plans.orders import order_base, person_sizes, with_person_history
+from orderloom.plans.orders import order_base, with_person_history
 from orderloom.plans.star import clean_items, product_attributes
 from orderloom.session import cut_lineage
 
@@ -30,7 +31,7 @@ CATEGORICAL = ("customer_state", "seller_state", "product_category", "same_state
 LEAKS = ("delivered_ts", "approved_ts", "order_status", "order_id", "customer_id", "customer_unique_id")
 
 # Levels seen in fewer training rows than this share one rare level.
-MIN_FREQUENCY = 50
+MIN_SHARE = 0.005
 SEED = 42
 
 
@@ -54,13 +55,13 @@ def ml_base(tables) -> DataFrame:
     return lookup(df, modes_per_group(items, "order_id", ("product_category", "seller_state")), "order_id")
 
 
-def label(df: DataFrame, target: str, sizes: DataFrame | None = None) -> DataFrame:
+def label(df: DataFrame, target: str) -> DataFrame:
     """``late_delivery`` on delivered orders, or ``repeat_purchase`` on first orders."""
     if target == "late_delivery":
         late = F.col("delivered_ts") > F.col("estimated_ts")
         return df.filter((F.col("order_status") == "delivered") & late.isNotNull()).withColumn("label", late.cast("int"))
     if target == "repeat_purchase":
-        known = with_person_history(df.filter(F.col("customer_unique_id").isNotNull()), sizes)
+        known = with_person_history(df.filter(F.col("customer_unique_id").isNotNull()))
         return known.filter("order_seq = 1").withColumn("label", (F.col("cust_total_orders") > 1).cast("int"))
     raise ValueError(f"unknown target {target!r}")
 
@@ -103,9 +104,11 @@ def balance(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(weights), "label")
 
 
-def common_levels(train: DataFrame, col: str, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    """Levels seen often enough in training: at most rows / min_frequency of them."""
-    return train.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_frequency)
+def common_levels(train: DataFrame, col: str, min_share: float = MIN_SHARE) -> DataFrame:
+    """Levels that make up a share of the training rows: at most 1 / min_share of them, however many rows there are."""
+    sizes = train.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.agg(F.sum("n").alias("_all"))
+    return with_scalar(sizes, whole).filter(F.col(col).isNotNull() & (F.col("n") >= min_share * F.col("_all"))).drop("_all")
 
 
 def fold_rare(df: DataFrame, levels: dict[str, DataFrame], modes: DataFrame) -> DataFrame:
@@ -175,34 +178,37 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select("order_id", "label", vector_to_array("probability")[1].alias("score"))
 
 
-def threshold_table(scored: DataFrame, bins: int = 1000) -> DataFrame:
-    """Recall and precision when cutting at each score bin; the window runs over ``bins`` rows."""
-    binned = scored.groupBy(F.floor(F.col("score") * bins).alias("bin")).agg(
-        F.sum(F.col("label").cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
-    )
-    above = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = binned.agg(F.sum("pos").alias("_pos"))
-    marked = binned.select(
-        (F.col("bin") / bins).alias("threshold"), F.sum("pos").over(above).alias("tp"), F.sum("n").over(above).alias("flagged")
+def threshold_table(scored: DataFrame) -> DataFrame:
+    """Recall and precision when cutting at each score that occurs; equal scores are cut together."""
+    at = scored.groupBy(F.col("score").alias("threshold")).agg(
+        F.sum(F.col("label").cast("bigint")).alias("_pos"), F.count(F.lit(1)).alias("_n")
     )
-    return with_scalar(marked, whole).select(
+    totals = running_totals(at, [F.col("threshold").desc()], {"tp": "_pos", "flagged": "_n"})
+    whole = scored.agg(F.sum(F.col("label").cast("bigint")).alias("_all"))
+    return with_scalar(totals, whole).select(
         "threshold", "tp", "flagged",
-        ratio(F.col("tp"), F.col("_pos")).alias("recall"), ratio(F.col("tp"), F.col("flagged")).alias("precision"),
+        ratio(F.col("tp"), F.col("_all")).alias("recall"), ratio(F.col("tp"), F.col("flagged")).alias("precision"),
+        F.col("_pos").alias("gained"), (F.col("_n") - F.col("_pos")).alias("gained_fp"),
     )
 
 
 def pick_threshold(scored: DataFrame, min_recall: float = 0.7, default: float = 0.5) -> DataFrame:
     """The cut of highest precision with enough recall (the highest such cut on ties), else the default."""
-    good = threshold_table(scored).filter(F.col("recall") >= min_recall)
+    return best_threshold(threshold_table(scored), min_recall, default)
+
+
+def best_threshold(table: DataFrame, min_recall: float, default: float = 0.5) -> DataFrame:
+    good = table.filter(F.col("recall") >= min_recall)
     return good.agg(F.coalesce(F.max(F.struct("precision", "threshold"))["threshold"], F.lit(default)).alias("threshold"))
 
 
 def metrics(scored: DataFrame, min_recall: float = 0.7) -> DataFrame:
     """One row: threshold, confusion counts, recall, precision, F1, PR-AUC and ROC-AUC.
 
-    Both areas come from the binned threshold table, so nothing is sorted in one task.
+    All come from the exact threshold table, which is stored once; nothing is sorted in one task.
     """
-    cut = pick_threshold(scored, min_recall)
+    table = cut_lineage(threshold_table(scored))
+    cut = best_threshold(table, min_recall)
     hit, pos = F.col("score") >= F.col("threshold"), F.col("label") == 1
     counts = with_scalar(scored, cut).groupBy("threshold").agg(
         F.count(F.lit(1)).alias("n_test"),
@@ -216,25 +222,16 @@ def metrics(scored: DataFrame, min_recall: float = 0.7) -> DataFrame:
         "precision_pos": ratio(tp, tp + fp),
         "f1_pos": ratio(2 * tp, 2 * tp + fp + fn),
     })
-    return with_scalar(row, areas(scored))
+    return with_scalar(row, areas(table))
 
 
-def areas(scored: DataFrame) -> DataFrame:
-    """pr_auc (average precision) and roc_auc (trapezoids) over the threshold table."""
-    whole = scored.agg(
-        F.sum(F.col("label").cast("bigint")).alias("_pos"), F.count(F.lit(1)).alias("_n")
-    )
-    down = Window.orderBy(F.col("threshold").desc())
-    steps = with_scalar(threshold_table(scored), whole).withColumns({
-        "fp": F.col("flagged") - F.col("tp"),
-        "last_tp": F.lag("tp", 1, 0).over(down),
-    }).withColumn("last_fp", F.lag("fp", 1, 0).over(down))
-    gained = F.col("tp") - F.col("last_tp")
-    widths = (F.col("fp") - F.col("last_fp")) * (F.col("tp") + F.col("last_tp")) / 2
-    negatives = F.max("_n") - F.max("_pos")
-    return steps.agg(
-        ratio(F.sum(gained * F.col("precision")), F.max("_pos")).alias("pr_auc"),
-        F.try_divide(F.sum(widths), (F.max("_pos") * negatives).cast("double")).alias("roc_auc"),
+def areas(table: DataFrame) -> DataFrame:
+    """pr_auc (average precision) and roc_auc (trapezoids) of a threshold table."""
+    widths = F.col("gained_fp") * (2 * F.col("tp") - F.col("gained")) / 2
+    positives, negatives = F.sum("gained"), F.sum("gained_fp")
+    return table.agg(
+        ratio(F.sum(F.col("gained") * F.col("precision")), positives).alias("pr_auc"),
+        F.try_divide(F.sum(widths), (positives * negatives).cast("double")).alias("roc_auc"),
     )
 
 
@@ -257,8 +254,7 @@ def prepared(tables, target: str) -> tuple[DataFrame, DataFrame]:
 
     The feature rows are computed once and stored: fitting reads them many times.
     """
-    sizes = person_sizes(tables["orders"], tables["customers"])
-    rows = cut_lineage(features_only(engineer(label(ml_base(tables), target, sizes))))
+    rows = cut_lineage(features_only(engineer(label(ml_base(tables), target))))
     train, test = split(rows)
     levels = {c: common_levels(train, c) for c in CATEGORICAL}
     modes = training_modes(train)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions.clean import total
 from orderloom.functions.dates import days_between, month_start, months_between_starts
 from orderloom.functions.labels import delivery_bucket, review_bucket
-from orderloom.operators.joins import keep_all, lookup
-from orderloom.operators.ranking import HOT_ROWS, hot_groups, sequence_in_group
+from orderloom.operators.joins import keep_all, lookup, null_safe_lookup
+from orderloom.operators.ranking import sequence_in_group
 from orderloom.plans.stage import latest_reviews
 from orderloom.plans.star import clean_items, clean_orders, order_payments
 
@@ -80,40 +80,17 @@ def order_base_from_fact(fact: DataFrame, customers: DataFrame, reviews: DataFra
     return lookup(df, latest_reviews(reviews).select("order_id", "review_score"), "order_id")
 
 
-def person_sizes(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orders per person from two narrow columns: tells which persons are too big for one window."""
-    per_id = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_size"))
-    people = customers.select("customer_id", "customer_unique_id")
-    return per_id.join(people, "customer_id", "left").groupBy("customer_unique_id").agg(F.sum("_size").alias("_size"))
-
-
-def with_person_history(
-    base: DataFrame, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_person_history(base: DataFrame) -> DataFrame:
     """order_seq, cust_total_orders, cohort_month and the flags that follow from them.
 
-    One shuffle by person serves all three windows. Persons above ``hot_rows`` orders take the
-    range-ranked path of ``sequence_in_group`` and have their totals joined from an aggregate.
+    Orders are numbered inside a person's days; what is carried between days and the totals are one row
+    per person and day or per person. No job runs while the frame is built.
     """
-    key = ["customer_unique_id"]
-    order = [F.col("purchase_ts").asc(), F.col("order_id").asc()]
-    if sizes is None:
-        sizes = base.groupBy(*key).agg(F.count(F.lit(1)).alias("_size"))
-    hot = hot_groups(sizes, key, "_size", hot_rows)
-    if hot is None:
-        person = Window.partitionBy(*key)
-        df = base.withColumns({
-            "order_seq": F.row_number().over(person.orderBy(*order)),
-            "cust_total_orders": F.count(F.lit(1)).over(person),
-            "cohort_month": F.min("order_month").over(person),
-        })
-    else:
-        totals = base.groupBy(F.col("customer_unique_id").alias("_person")).agg(
-            F.count(F.lit(1)).alias("cust_total_orders"), F.min("order_month").alias("cohort_month")
-        )
-        df = sequence_in_group(base, key, order, "order_seq", sizes, hot_rows)
-        df = df.join(totals, df["customer_unique_id"].eqNullSafe(totals["_person"]), "left").drop("_person")
-    return df.withColumns({
+    totals = base.groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("cust_total_orders"), F.min("order_month").alias("cohort_month")
+    )
+    df = sequence_in_group(base, ["customer_unique_id"], ["purchase_ts", "order_id"], "order_seq")
+    return null_safe_lookup(df, totals, ["customer_unique_id"]).withColumns({
         "is_repeat_order": F.col("order_seq") > 1,
         "has_subsequent_order": F.col("order_seq") < F.col("cust_total_orders"),
     })
@@ -128,9 +105,7 @@ def with_labels(df: DataFrame) -> DataFrame:
     })
 
 
-def enriched_orders(
-    tables, parts=PARTS, history: bool = True, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def enriched_orders(tables, parts=PARTS, history: bool = True) -> DataFrame:
     """Order base with buckets and, with ``history``, the person's order sequence and cohort.
 
     History always covers all orders; filter afterwards.
@@ -139,7 +114,7 @@ def enriched_orders(
     if "reviews" in parts:
         df = df.withColumn("review_bucket", review_bucket("review_score"))
     if history:
-        df = with_person_history(df, person_sizes(tables["orders"], tables["customers"]), hot_rows)
+        df = with_person_history(df)
         df = df.withColumn("months_since_first", months_between_starts("order_month", "cohort_month"))
     return df
 

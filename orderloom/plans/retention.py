@@ -41,8 +41,13 @@ def cohort_long(orders: DataFrame) -> DataFrame:
     )
 
 
-def cohort_wide(cohorts: DataFrame, months: Sequence[int]) -> DataFrame:
-    """One row per cohort, one retention column per listed month distance."""
+def cohort_wide(cohorts: DataFrame, months: Sequence[int] | None = None) -> DataFrame:
+    """One row per cohort, one retention column per month distance: the listed ones, or all that occur.
+
+    There are no more distances than months in the data.
+    """
+    if months is None:
+        months = sorted(row[0] for row in cohorts.select("months_since").distinct().collect())
     wide = cohorts.groupBy("cohort_month").pivot("months_since", list(months)).agg(F.first("retention"))
     return wide.select("cohort_month", *[F.col(str(m)).alias(f"m{m}") for m in months])
 

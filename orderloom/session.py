@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,12 +38,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it then gets a temporary folder.
+    Only a master that runs all tasks in this process may do without that setting; it then gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="orderloom-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -9,6 +9,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.operators.dedup import latest_per_key
+from orderloom.operators.joins import null_safe_full
+
+
+# A table being written, the one it replaces, and replaced parts of one.
+NEW, OLD, OLD_PARTS = "__new", "__old", "__parts"
 
 
 def landing_names(streams: Sequence[str], suffix: str = "_raw") -> dict[str, str]:
@@ -21,34 +26,71 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
 
 
-def swap_table(df: DataFrame, path: str) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there. Every reader and writer asks here first, so that a swap that was cut short between
+    its renames is undone before anything else happens: the former table, or its former parts, take their places again.
+    """
+    fs, target = _fs(spark, path)
+    _, previous = _fs(spark, path + OLD)
+    _, parts = _fs(spark, path + OLD_PARTS)
+    if not fs.exists(target) and fs.exists(previous):
+        _rename(fs, previous, target)
+    if fs.exists(parts):
+        for status in fs.listStatus(parts):
+            _, place = _fs(spark, f"{path}/{status.getPath().getName()}")
+            if not fs.exists(place):
+                _rename(fs, status.getPath(), place)
+        fs.delete(parts, True)
+    return fs.exists(target)
+
+
+def swap_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by a frame that may read from it: write beside it, then rename.
 
-    A crash leaves the old table, or its ``__old`` copy, complete on disk.
+    A crash leaves the former table or its ``__old`` copy complete; ``exists`` puts the copy back. A rename that the
+    file system refuses raises, and the copy is deleted only when the new table is in place.
     """
     spark = df.sparkSession
+    exists(spark, path)
     fs, target = _fs(spark, path)
-    _, staged = _fs(spark, path + "__new")
-    _, previous = _fs(spark, path + "__old")
-    df.write.mode("overwrite").parquet(path + "__new")
+    _, staged = _fs(spark, path + NEW)
+    _, previous = _fs(spark, path + OLD)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path + NEW)
     if fs.exists(target):
         if fs.exists(previous):
             fs.delete(previous, True)
-        fs.rename(target, previous)
-    fs.rename(staged, target)
-    if fs.exists(previous):
+        _rename(fs, target, previous)
+    _rename(fs, staged, target)
+    if fs.exists(target) and fs.exists(previous):
         fs.delete(previous, True)
 
 
+def swap_parts(df: DataFrame, path: str, column: str) -> None:
+    """Replace the parts (values of the partition column) that ``df`` holds; other parts keep their files."""
+    spark = df.sparkSession
+    fs, staged = _fs(spark, path + NEW)
+    _, former = _fs(spark, path + OLD_PARTS)
+    df.write.mode("overwrite").partitionBy(column).parquet(path + NEW)
+    fs.mkdirs(former)
+    for status in fs.listStatus(staged):
+        name = status.getPath().getName()
+        if name.startswith(f"{column}="):
+            _, place = _fs(spark, f"{path}/{name}")
+            if fs.exists(place):
+                _rename(fs, place, _fs(spark, f"{path}{OLD_PARTS}/{name}")[1])
+            _rename(fs, status.getPath(), place)
+    fs.delete(former, True)
+    fs.delete(staged, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table, or its ``__old`` copy when a swap was cut short between its two renames."""
-    if not exists(spark, path) and exists(spark, path + "__old"):
-        path = path + "__old"
+    """The table; a swap that was cut short is undone first."""
+    exists(spark, path)
     return spark.read.parquet(path)
 
 
@@ -59,7 +101,7 @@ def upsert(
     order_by: Sequence[str] = (),
     preserve: Sequence[str] = ("created_at",),
 ) -> DataFrame:
-    """New table state after a keyed merge.
+    """New table state after a keyed merge; NULL keys match each other.
 
     The batch is reduced to its newest row per key first. Matched rows take every batch value, NULLs
     included, except the ``preserve`` columns; other rows pass through. Columns the batch lacks
@@ -73,7 +115,7 @@ def upsert(
     shared = [c for c in rest if c in batch.columns]
     new = batch.select(*keys, F.struct(F.lit(True).alias("_in"), *shared).alias("_new"))
     old = current.select(*keys, F.struct(F.lit(True).alias("_in"), *rest).alias("_old"))
-    both = old.join(new, list(keys), "full")
+    both = null_safe_full(old, new, keys)
     from_batch = F.col("_new").isNotNull()
     known = F.col("_old").isNotNull()
 
@@ -99,15 +141,15 @@ def write_table(
     spark = df.sparkSession
     writer = df.write.option("maxRecordsPerFile", max_records)
     if mode == "upsert" and keys:
-        if exists(spark, path):
-            swap_table(upsert(spark.read.parquet(path), df, keys, order_by), path)
-        else:
-            latest_per_key(df, keys, order_by).write.parquet(path)
+        there = exists(spark, path)
+        swap_table(upsert(read_table(spark, path), df, keys, order_by) if there else latest_per_key(df, keys, order_by), path)
     elif mode in ("append", "upsert"):
+        exists(spark, path)
         writer.mode("append").parquet(path)
     elif mode == "replace":
         swap_table(df, path)
     elif mode == "fail":
+        exists(spark, path)
         writer.mode("errorifexists").parquet(path)
     else:
         raise ValueError(f"unknown write mode {mode!r}")
@@ -169,7 +211,8 @@ def reconcile(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> D
 
 def cached_result(spark: SparkSession, path: str, build, max_age_seconds: float | None = None, force: bool = False):
     """A result kept as Parquet: read while fresh, else built, written and read back."""
-    fs, p = _fs(spark, path)
+    exists(spark, path)
+    fs, _ = _fs(spark, path)
     done = _fs(spark, path + "/_SUCCESS")[1]
     if not force and fs.exists(done):
         age = dt.datetime.now().timestamp() - fs.getFileStatus(done).getModificationTime() / 1000

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.operators.dedup import latest_per_key
-from orderloom.sources.tables import exists, read_table, swap_table, upsert
+from orderloom.operators.joins import null_safe_lookup
+from orderloom.sources.tables import exists, read_table, swap_parts, swap_table, upsert
+
+BUCKET = "_bucket"
 
 
 def increment(df: DataFrame, bookmark, column: str = "updated_at") -> DataFrame:
@@ -30,21 +33,26 @@ def stream_upsert(
     order_by: str,
     checkpoint: str,
     max_files: int = 1000,
+    buckets: int = 64,
 ) -> StreamingQuery:
-    """Upsert new Parquet files into a table. A replayed micro-batch leaves the same table:
-    the merge is keyed, and an older row never replaces a newer one."""
+    """Upsert new Parquet files into a table that is parted by a hash of its keys.
+
+    A micro-batch reads and rewrites only the parts its keys fall in. Replaying one leaves the same
+    table: the merge is keyed, and an older row never replaces a newer one.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, [order_by])
-        if not exists(spark, target) and not exists(spark, target + "__old"):
-            newest.write.mode("overwrite").parquet(target)
+        newest = latest_per_key(batch, keys, [order_by]).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        if not exists(spark, target):
+            swap_table(newest, target, [BUCKET])
             return
-        current = read_table(spark, target)
-        stamps = current.select(*keys, F.col(order_by).alias("_seen"))
-        fresh = newest.join(stamps, list(keys), "left").filter(
-            F.col("_seen").isNull() | (F.col(order_by) >= F.col("_seen"))
-        ).drop("_seen")
-        swap_table(upsert(current, fresh, keys, [order_by], preserve=()), target)
+        touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # numbers below ``buckets``
+        current = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
+        stamps = current.select(*keys, F.col(order_by).alias("_seen"), F.lit(True).alias("_known"))
+        fresh = null_safe_lookup(newest, stamps, keys).filter(
+            F.col("_known").isNull() | F.col("_seen").isNull() | (F.col(order_by) >= F.col("_seen"))
+        ).drop("_seen", "_known")
+        swap_parts(upsert(current, fresh, keys, [order_by], preserve=()), target, BUCKET)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
     return (
@@ -55,6 +63,11 @@ def stream_upsert(
     )
 
 
+def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    """A table that ``stream_upsert`` keeps, without its part number."""
+    return read_table(spark, target).drop(BUCKET)
+
+
 def stream_append(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, max_files: int = 1000
 ) -> StreamingQuery:

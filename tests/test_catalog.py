@@ -6,6 +6,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+import oracles
+from orderloom import catalog
 
 FOLDER = Path("/root/testdata/sf0.001")
 NAMES = (
@@ -17,7 +19,7 @@ NAMES = (
 
 def test_every_sql_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"ml_scored", "ml_metrics", "ml_importances"}
+    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {"ml_scored", "ml_metrics", "ml_importances"}
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="driver tables absent")

@@ -4,11 +4,11 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from orderloom.operators import aggregates as agg, dedup, history, impute, joins, quality, ranking
 
-T0, T1, T2 = (dt.datetime(2020, 1, d) for d in (1, 2, 3))
+T0, T1, T2, T3 = (dt.datetime(2020, 1, d) for d in (1, 2, 3, 4))
 
 
 def skewed(spark, n=3000):
@@ -44,20 +44,18 @@ def test_global_rank_and_running_total(spark):
     assert total["s"].tolist() == total["t"].cumsum().tolist()
 
 
-def test_hot_groups_get_the_same_sequence(spark):
-    df = skewed(spark)
-    order = [F.col("t").asc(), F.col("id").asc()]
-    plain = ranking.sequence_in_group(df, ["k"], order, "seq")
-    split = ranking.sequence_in_group(df, ["k"], order, "seq", hot_rows=100)
-    assert rows(plain, "id", "k", "seq") == rows(split, "id", "k", "seq")
-
-
-def test_hot_groups_get_the_same_successor(spark):
-    df = skewed(spark)
-    order = [F.col("t").asc(), F.col("id").asc()]
-    plain = ranking.next_in_group(df, ["k"], order, "id", "nxt")
-    split = ranking.next_in_group(df, ["k"], order, "id", "nxt", hot_rows=100)
-    assert rows(plain, "id", "nxt") == rows(split, "id", "nxt")
+@pytest.mark.parametrize("first", ["t", "moment", "day", "word", "far"])
+def test_slices_give_the_same_sequence_and_neighbours(spark, first):
+    df = skewed(spark).withColumns({
+        "moment": F.timestamp_seconds(F.col("t") * 40_000), "day": F.date_add(F.lit(T0).cast("date"), (F.col("t") * 3).cast("int")),
+        "word": F.concat(F.lit("w"), F.lpad(F.col("t").cast("string"), 9, "0")), "far": F.when(F.col("t") > 3, F.col("t") * 10**6),
+    })
+    order = [first, "id"]
+    window = Window.partitionBy("k").orderBy(*order)
+    want = df.select("k", "id", F.row_number().over(window).alias("seq"), F.lag("id").over(window).alias("b"), F.lead("id").over(window).alias("a"))
+    got = ranking.sequence_in_group(df, ["k"], order, "seq")
+    got = ranking.neighbour(ranking.neighbour(got, ["k"], order, ["id"], -1, "b"), ["k"], order, ["id"], 1, "a")
+    assert rows(got.select("k", "id", "seq", F.col("b.id").alias("b"), F.col("a.id").alias("a")), "id", "k", "seq", "b", "a") == rows(want, "id", "k", "seq", "b", "a")
 
 
 @pytest.mark.parametrize("n,q", [(7, 4), (10, 5), (101, 5), (64, 4)])
@@ -154,11 +152,26 @@ def test_timestamp_strategy_ignores_late_older_rows(spark):
 
 def test_rebuild_has_one_open_version_and_no_overlap(spark):
     log = skewed(spark).select("k", F.timestamp_seconds("id").alias("ts"), (F.col("t") % 5).alias("v")).filter("k is not null")
-    for hot in (100, 10**6):
-        out = history.scd2_rebuild(log, ["k"], "ts", ["v"], hot_rows=hot)
-        pdf = out.toPandas().sort_values(["k", "valid_from"])
-        assert (pdf.groupby("k")["is_current"].sum() == 1).all()
-        assert pdf["valid_to"].dropna().tolist() == pdf.groupby("k")["valid_from"].shift(-1).dropna().tolist()
+    pdf = history.scd2_rebuild(log, ["k"], "ts", ["v"]).toPandas().sort_values(["k", "valid_from"])
+    assert (pdf.groupby("k")["is_current"].sum() == 1).all()
+    assert pdf["valid_to"].dropna().tolist() == pdf.groupby("k")["valid_from"].shift(-1).dropna().tolist()
+    assert (pdf["last_seen"] >= pdf["valid_from"]).all() and not (pdf["last_seen"] >= pdf["valid_to"]).any()
+
+
+def test_rebuild_opens_a_returning_state_again(spark):
+    log = spark.createDataFrame([(1, "a", T0), (1, "a", T1), (1, "b", T2), (1, "a", T3), (None, None, T0), (None, "x", T1), (None, None, T2)], "k int, v string, ts timestamp")
+    out = history.scd2_rebuild(log, ["k"], "ts", ["v"])
+    assert rows(out, "k", "valid_from", "v", "last_seen", "valid_to", "is_current") == [
+        (None, T0, None, T0, T1, False), (None, T1, "x", T1, T2, False), (None, T2, None, T2, None, True),
+        (1, T0, "a", T1, T2, False), (1, T2, "b", T2, T3, False), (1, T3, "a", T3, None, True)]
+
+
+def test_replay_with_a_null_key_changes_nothing(spark):
+    now = F.lit(T1)
+    start = history.open_versions(spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string"), ["k"], F.lit(T0))
+    batch = spark.createDataFrame([(None, "c"), (1, "b")], "k int, v string")
+    once = history.scd2_check(start, batch, ["k"], ["v"], now)
+    assert once.count() == 3 and rows(history.scd2_check(once, batch, ["k"], ["v"], now), "k", "v", "valid_to") == rows(once, "k", "v", "valid_to")
 
 
 # Checks -----------------------------------------------------------------------------------------

@@ -82,10 +82,65 @@ def test_write_modes(spark, tmp_path):
         tables.write_table(df, path, "other")
 
 
-def test_a_cut_short_swap_leaves_a_readable_table(spark, tmp_path):
-    path, df = str(tmp_path / "t"), spark.createDataFrame(OLD, SCHEMA)
-    df.write.parquet(path + "__old")
-    assert tables.read_table(spark, path).count() == 2
+def test_replay_of_an_upsert_with_a_null_key(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.createDataFrame([(None, "a", T1, T0), (1, "b", T1, T0), (None, "c", T2, T0)], SCHEMA)
+    for _ in range(2):
+        tables.write_table(df, path, "upsert", ["k"], ["updated_at"])
+        assert rows(tables.read_table(spark, path), "k", "v") == [(None, "c"), (1, "b")]
+
+
+@pytest.mark.parametrize("step", ["read", "upsert", "append", "replace", "fail", "cached"])
+def test_a_cut_short_swap_loses_nothing(spark, tmp_path, step):
+    path, df = str(tmp_path / "t"), spark.range(100).selectExpr("cast(id as int) as k", "'old' as v")
+    df.write.parquet(path + "__old")  # what a crash between the two renames leaves behind
+    df.limit(1).write.parquet(path + "__new")
+    new = spark.range(99, 102).selectExpr("cast(id as int) as k", "'new' as v")
+    if step == "upsert":
+        for _ in range(2):
+            tables.write_table(new, path, "upsert", ["k"])
+        assert tables.read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [("new", 3), ("old", 99)]
+    elif step == "append":
+        tables.write_table(new, path, "append")
+        assert tables.read_table(spark, path).count() == 103
+    elif step == "replace":
+        tables.write_table(tables.read_table(spark, path).union(new), path)
+        assert tables.read_table(spark, path).count() == 103
+    elif step == "fail":
+        with pytest.raises(Exception, match="exists"):
+            tables.write_table(new, path, "fail")
+    elif step == "cached":
+        assert tables.cached_result(spark, path, lambda: new).count() == 100
+    else:
+        assert tables.read_table(spark, path).count() == 100
+    assert not tables.exists(spark, path + "__old")
+
+
+def test_a_refused_rename_raises(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+
+    class Refusing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, *_):
+            return False
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    plain = tables._fs
+    monkeypatch.setattr(tables, "_fs", lambda s, p: (Refusing(plain(s, p)[0]), plain(s, p)[1]))
+    with pytest.raises(OSError):
+        tables.write_table(spark.range(9), path)
+    monkeypatch.undo()
+    assert tables.read_table(spark, path).count() == 5
+
+
+def test_a_cut_short_layer_run_keeps_the_history(spark, tmp_path):
+    history = str(tmp_path / "snapshots" / "products")
+    spark.range(374).write.parquet(history + "__old")
+    assert tables.exists(spark, history) and tables.read_table(spark, history).count() == 374
 
 
 def test_reconcile_and_audit_columns(spark):
@@ -130,6 +185,26 @@ def test_stream_upsert_survives_replays_and_late_rows(spark, tmp_path):
     assert load([(3, "z2", T1, T1)], "fresh") == [(1, "b"), (2, "y"), (3, "z2")]
 
 
+def test_stream_upsert_leaves_other_parts_alone(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "t")
+    schema = spark.createDataFrame(OLD, SCHEMA).schema
+
+    def load(data):
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        loads.stream_upsert(spark, source, schema, target, ["k"], "updated_at", str(tmp_path / "s"), buckets=16).awaitTermination()
+        return {str(f) for f in (tmp_path / "t").rglob("*.parquet")}
+
+    before = load([(i, "a", T1, T1) for i in range(200)])
+    after = load([(3, "b", T2, T2), (None, "n", T1, T1)])
+    assert len(before - after) <= 2 and len(before & after) >= 10
+    assert rows(loads.read_upserted(spark, target).filter("v != 'a'"), "k", "v") == [(None, "n"), (3, "b")]
+    # a crash between the renames of a part: the part comes back, and the batch can be replayed
+    part = next((tmp_path / "t").glob("_bucket=*"))
+    (tmp_path / "t__parts").mkdir()
+    part.rename(tmp_path / "t__parts" / part.name)
+    assert loads.read_upserted(spark, target).count() == 201
+
+
 def test_stream_append_takes_each_file_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     df = spark.createDataFrame(OLD, SCHEMA)
