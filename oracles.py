@@ -726,19 +726,20 @@ O["mart_reconciliation"] = sql("o i_raw i", """
       (SELECT CAST(date_trunc('month', purchase_ts) AS DATE) AS month, CAST(sum(price) AS DOUBLE) AS l FROM i JOIN o USING (order_id) GROUP BY 1)
       FULL JOIN (SELECT CAST(date_trunc('month', purchase_ts) AS DATE) AS month, CAST(sum(price) AS DOUBLE) AS r FROM i_raw JOIN o USING (order_id) GROUP BY 1) USING (month)
     WHERE abs(l - r) > 0.01 OR l IS NULL OR r IS NULL""")
-O["one_segment_each"] = sql("c", "SELECT customer_unique_id FROM c WHERE false")
+_people = "(SELECT DISTINCT customer_unique_id AS k FROM b WHERE customer_unique_id IS NOT NULL)"
+O["one_segment_each"] = sql("b", f"SELECT k AS customer_unique_id FROM {_people} WHERE k % 10 = 0 UNION ALL SELECT k FROM {_people} WHERE k % 15 = 1 UNION ALL SELECT k FROM {_people} WHERE k % 15 = 1 AND k % 10 = 0")
 _chk = lambda name, source, cond, sev="error": (
     f"SELECT '{name}' AS check_name, '{sev}' AS severity, (SELECT count(*) FROM {source} WHERE {cond}) AS n_failed, (SELECT count(*) FROM {source} WHERE {cond}) = 0 AS passed")
 _dupes = lambda t, k: f"(SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)"
-O["stage_checks"] = sql("c o i p r pr s", " UNION ALL ".join(
-    [_chk(f"{n}_unique", _dupes(t, ", ".join(k)), "true") for n, t, k in (
-        ("customers", "c", ["customer_id"]), ("orders", "o", ["order_id"]), ("order_items", "i", ["order_id", "order_item_id"]),
-        ("order_payments", "p", ["order_id", "payment_sequential"]), ("order_reviews", "r", ["review_id"]),
-        ("products", "pr", ["product_id"]), ("sellers", "s", ["seller_id"]))]
-    + [_chk(f"{n}_{k}_present", t, f"{k} IS NULL") for n, t, ks in (
-        ("customers", "c", ["customer_id"]), ("orders", "o", ["order_id"]), ("order_items", "i", ["order_id", "order_item_id"]),
-        ("order_payments", "p", ["order_id", "payment_sequential"]), ("order_reviews", "r", ["review_id"]),
-        ("products", "pr", ["product_id"]), ("sellers", "s", ["seller_id"])) for k in ks]))
+_key_checks = lambda **t: " UNION ALL ".join(
+    [_chk(f"{n}_unique", _dupes(t[n], ", ".join(k)), "true") for n, k in _KEYS]
+    + [_chk(f"{n}_{k}_present", t[n], f"{k} IS NULL") for n, ks in _KEYS for k in ks])
+_KEYS = (("customers", ["customer_id"]), ("orders", ["order_id"]), ("order_items", ["order_id", "order_item_id"]),
+    ("order_payments", ["order_id", "payment_sequential"]), ("order_reviews", ["review_id"]), ("products", ["product_id"]), ("sellers", ["seller_id"]))
+O["stage_checks"] = sql("c o i p r pr s", _key_checks(
+    customers="c", orders="o", order_items="i", order_payments="p", order_reviews="r", products="pr", sellers="s"))
+O["raw_key_checks"] = sql("c o i_raw p r_raw pr s", _key_checks(
+    customers="c", orders="o", order_items="i_raw", order_payments="p", order_reviews="r_raw", products="pr", sellers="s"))
 O["gold_checks"] = sql("f c pr s r", " UNION ALL ".join([
     _chk("fact_grain", "(SELECT id FROM f WHERE order_item_id IS NOT NULL GROUP BY id, order_item_id HAVING count(*) > 1)", "true"),
     _chk("fact_id_present", "f", "id IS NULL"),
@@ -814,4 +815,35 @@ O["ml_metrics_fixed"] = sql("b", f"""
 O["ml_split_shares"] = sql("o", """SELECT CAST(delivered_ts > estimated_ts AS INTEGER) AS label, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_both, true AS share_holds
     FROM o WHERE order_status = 'delivered' AND delivered_ts IS NOT NULL GROUP BY 1""")
 
+# Loads, rows and versions that no other query shows
+O["schema_contract"] = """SELECT * FROM (VALUES ('order_id', 'string', 'bigint'), ('order_region', 'string', NULL),
+    ('order_approved_at', NULL, 'timestamp_ntz')) v(column_name, expected, found)"""
+O["load_modes"] = """
+    WITH n AS (SELECT count(*) AS n, count(*) FILTER (s_suppkey % 2 = 0) AS m FROM supplier)
+    SELECT 1 AS step, 'replace' AS mode, n AS n_rows, CAST(0 AS BIGINT) AS n_moved FROM n UNION ALL SELECT 2, 'append', n + m, m FROM n
+    UNION ALL SELECT 3, 'replace', n, 0 FROM n UNION ALL SELECT 4, 'upsert', n, m FROM n"""
+O["csv_all_text"] = """SELECT 'texts' AS file, 'customer_city:string,customer_state:string' AS columns, (SELECT count(*) FROM customer) AS n_records
+    UNION ALL SELECT 'mixed', 'seller_id:bigint,seller_city:string', (SELECT count(*) FROM supplier)"""
+O["active_rows"] = "SELECT event_type, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY 1"
+O["latest_by_sequence"] = sql("r_raw", """SELECT review_id, review_score, review_answer_timestamp FROM r_raw
+    QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_answer_timestamp) = 1""")
+O["describe_quartiles"] = sql("i", " UNION ALL ".join(f"SELECT '{x}' AS column_name, " + ", ".join(
+    f"quantile_cont(CAST({x} AS DOUBLE), {q / 100}) AS p{q}" for q in (25, 50, 75)) + " FROM i" for x in ("price", "freight_value", "order_item_id")))
+O["newest_day_events"] = """SELECT user_id, event_id, CAST(ts AS DATE) AS day FROM events
+    QUALIFY rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC) = 1"""
+O["first_values"] = """SELECT user_id, arg_min(event_type, (ts, event_id)) FILTER (event_type <> 'error') AS event_type,
+    arg_min(value, (ts, event_id)) FILTER (value > 50) AS value FROM events GROUP BY 1"""
+O["lanes_at_risk"] = f"SELECT * FROM ({O['lane_scorecard']}) ORDER BY round(risk, 6) DESC NULLS LAST, customer_state, product_category LIMIT 20"
+O["sales_by_year"] = sql("b", f"SELECT CAST(year(purchase_ts) AS INTEGER) AS purchase_year, {_sales}")
+O["sales_by_city"] = sql("b c", f"SELECT customer_city, {_sales}".replace("FROM b", "FROM b LEFT JOIN c USING (customer_id)"))
+O["sales_latest_update"] = sql("i o lr r", """SELECT order_id, order_item_id, greatest(purchase_ts, delivered_ts, shipping_limit_date, answered) AS latest_update
+    FROM i JOIN o USING (order_id) LEFT JOIN (SELECT order_id, max(review_answer_timestamp) AS answered FROM r GROUP BY 1) USING (order_id)""")
+_moved = lambda t, k, c: f"""SELECT {k}, {c}, TIMESTAMP '2000-01-01 00:00:00' AS valid_from,
+    CASE WHEN {k} % 3 = 0 AND {c} IS DISTINCT FROM 'moved' THEN TIMESTAMP '2000-06-01 00:00:00' END AS valid_to FROM {t}
+    UNION ALL SELECT {k}, 'moved', TIMESTAMP '2000-06-01 00:00:00', NULL FROM {t} WHERE {k} % 3 = 0 AND {c} IS DISTINCT FROM 'moved'"""
+O["snapshot_sellers"] = sql("s", _moved("s", "seller_id", "seller_city"))
+O["snapshot_customers"] = sql("c", _moved("c", "customer_id", "customer_city"))
+O["dim_geolocation"] = sql("g", "SELECT md5(zip_code_prefix || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS id, * EXCLUDE (last_seen, is_current), is_current FROM (" + _versions(
+    "(SELECT *, TIMESTAMP '1970-01-01 00:00:00' + to_days(CAST(trunc(abs(lat)) AS INTEGER)) AS seen_at FROM g)", "zip_code_prefix", "seen_at", ["city", "state"]) + ")")
+
 ORACLES = O

@@ -126,6 +126,46 @@ def child_rows(t):
     return files.children_of(raw(t)["orders"], t["order_items"], "order_id", "order_id").select("order_id", "order_item_id", "product_id")
 
 
+@query
+def load_modes(t):
+    """Sellers after each load mode: rows and distinct cities of the table."""
+    path = scratch_path(t.spark, "load-modes")
+    sellers = raw(t)["sellers"]
+    moved = sellers.filter(F.col("seller_id") % 2 == 0).withColumn("seller_city", F.lit("moved"))
+    steps = []
+    for mode, batch in (("replace", sellers), ("append", moved), ("replace", sellers), ("upsert", moved)):
+        store.write_table(batch, path, mode, ["seller_id"] if mode == "upsert" else ())
+        row = store.read_table(t.spark, path).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("seller_city") == "moved").alias("moved")).first()
+        steps.append((len(steps) + 1, mode, row.n, row.moved))
+    return t.spark.createDataFrame(steps, "step int, mode string, n_rows bigint, n_moved bigint")
+
+
+@query
+def csv_all_text(t):
+    """A file of texts only keeps its columns as strings; one with numbers gets types; records are counted by the parser."""
+    texts, mixed = scratch_path(t.spark, "texts-csv"), scratch_path(t.spark, "mixed-csv")
+    store.export_csv(raw(t)["customers"].select("customer_city", "customer_state"), texts)
+    store.export_csv(raw(t)["sellers"].select("seller_id", "seller_city"), mixed)
+    rows = [
+        (name, ",".join(f"{c}:{k}" for c, k in files.load_csv_auto(t.spark, path).dtypes), files.csv_records(t.spark, path))
+        for name, path in (("texts", texts), ("mixed", mixed))
+    ]
+    return t.spark.createDataFrame(rows, "file string, columns string, n_records bigint")
+
+
+@query
+def active_rows(t):
+    marked = read(t, "events").withColumn("is_deleted", F.when(F.col("event_id") % 10 == 0, True).when(F.col("event_id") % 10 == 1, False))
+    return clean.not_deleted(marked).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def latest_by_sequence(t):
+    """Reviews by load sequence: here the later answer was loaded first."""
+    loaded = raw(t)["order_reviews"].withColumn("_sdc_sequence", -F.unix_micros(F.col("review_answer_timestamp").cast("timestamp")))
+    return stage.stage_table("order_reviews", loaded).select("review_id", "review_score", "review_answer_timestamp")
+
+
 @query
 def landing_names(t):
     return read(t, "pages").select("page_id", files.table_name(F.col("url")).alias("table_name"))
@@ -531,6 +571,33 @@ def scd2_timestamp(t):
     return history.scd2_timestamp(start, states_at(t, SECOND_CUT), ["user_id"], "updated_at")
 
 
+def snapshots(first: DataFrame, key: str, column: str) -> DataFrame:
+    """Two snapshots of a table by the check strategy; in the second every third row has another value."""
+    second = first.withColumn(column, F.when(F.col(key) % 3 == 0, F.lit("moved")).otherwise(F.col(column)))
+    start = history.open_versions(first, [key], ts(dt.datetime(2000, 1, 1)))
+    return history.scd2_check(start, second, [key], [column], ts(dt.datetime(2000, 6, 1)))
+
+
+@query
+def snapshot_sellers(t):
+    return snapshots(t["sellers"], "seller_id", "seller_city").select("seller_id", "seller_city", "valid_from", "valid_to")
+
+
+@query
+def snapshot_customers(t):
+    people = t["customers"].select("customer_id", "customer_state", "customer_city")
+    return snapshots(people, "customer_id", "customer_city").select("customer_id", "customer_city", "valid_from", "valid_to")
+
+
+@query
+def dim_geolocation(t):
+    """Place versions: each zip's city as it changes along its points."""
+    places = raw(t)["geolocation"].withColumn("seen_at", F.timestamp_seconds(F.abs(F.col("lat")).cast("bigint") * 86_400).cast("timestamp_ntz"))
+    versions = history.scd2_rebuild(places, ["zip_code_prefix"], "seen_at", ["city", "state"])
+    versions = versions.withColumn("version_id", history.version_id(["zip_code_prefix"], "valid_from"))
+    return star.dim_versions(versions.drop("last_seen", "is_current"))
+
+
 @query
 def scd2_hard_delete(t):
     """Users whose newest event is an error count as deleted from the second snapshot."""
@@ -587,6 +654,26 @@ def describe_numeric(t):
     return df.withColumns({"std": F.round("std", 4)})
 
 
+@query
+def describe_quartiles(t):
+    return agg.describe_quartiles(t["order_items"], ["price", "freight_value", "order_item_id"])
+
+
+@query
+def newest_day_events(t):
+    """Each user's events of the newest day they were seen: ties stay."""
+    events = read(t, "events").select("user_id", "event_id", F.to_date("ts").alias("day"))
+    return ranking.first_with_ties(events, ["user_id"], [F.col("day").desc()])
+
+
+@query
+def first_values(t):
+    """Per user the first known event type (errors are unknown) and the first value above 50."""
+    events = read(t, "events").select(
+        "user_id", "ts", "event_id", F.nullif("event_type", F.lit("error")).alias("event_type"), F.when(F.col("value") > 50, F.col("value")).alias("value"))
+    return agg.first_present(events, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+
+
 @query
 def describe_text(t):
     return agg.describe_text(t["orders"].select("order_id", "order_status").join(
@@ -787,10 +874,20 @@ def category_state_matrix(t):
 
 @query
 def lane_scorecard(t):
+    return lane_rows(t)
+
+
+def lane_rows(t: Tables) -> DataFrame:
     orders = base.enriched_orders(t, ("customers",), history=False)
     return delivery.lane_scorecard(orders, star.clean_items(t["order_items"]), categories(t))
 
 
+@query
+def lanes_at_risk(t):
+    """A top-k report: the twenty lanes with the most revenue at risk of coming late."""
+    return lane_rows(t).orderBy(F.round("risk", 6).desc_nulls_last(), "customer_state", "product_category").limit(20)
+
+
 @query
 def revenue_at_risk(t):
     return retention.revenue_at_risk(base.enriched_orders(t, ("items", "customers", "reviews")))
@@ -1014,6 +1111,30 @@ def sales_by_state(t):
     return business.sales_by(base.order_base(t, ("items", "customers")), "customer_state")
 
 
+@query
+def sales_by_year(t):
+    return business.sales_by(business.with_calendar(base.order_base(t, ("items",))), "purchase_year")
+
+
+@query
+def sales_by_city(t):
+    cities = t["customers"].select("customer_id", "customer_city")
+    return business.sales_by(joins.lookup(base.order_base(t, ("items",)), cities, "customer_id"), "customer_city")
+
+
+@query
+def sales_latest_update(t):
+    """Newest moment any source of a sold item was touched; a source without one counts from the epoch."""
+    facts = star.clean_items(t["order_items"]).join(star.clean_orders(t["orders"]), "order_id")
+    facts = joins.lookup(facts, scores_at(t), "order_id")
+    moments = ("order_purchase_timestamp", "order_delivered_customer_date", "shipping_limit_date", "review_answer_timestamp")
+    return facts.select("order_id", "order_item_id", star.latest_update(*moments).alias("latest_update"))
+
+
+def scores_at(t: Tables) -> DataFrame:
+    return stage.latest_reviews(t["order_reviews"]).select("order_id", "review_answer_timestamp")
+
+
 @query
 def local_freight(t):
     return business.local_freight(star.clean_items(t["order_items"]), t["sellers"], t["orders"], t["customers"])
@@ -1171,12 +1292,27 @@ def mart_reconciliation(t):
 
 @query
 def one_segment_each(t):
-    """Customers with no segment or with several rows in the mart: none are expected."""
-    mart = customer_360(t)
+    """Customers with no segment or several rows, in a mart where every tenth is doubled and every fifteenth lost its segment."""
+    key = F.col("customer_unique_id")
+    mart = customer_360(t).withColumn("rfm_segment", F.when(key % 15 != 1, F.col("rfm_segment")))
+    mart = mart.unionByName(mart.filter(key % 10 == 0))
     several = quality.check_unique(mart, ["customer_unique_id"]).select("customer_unique_id")
     return several.unionByName(quality.check_not_null(mart, "rfm_segment").select("customer_unique_id"))
 
 
+@query
+def raw_key_checks(t):
+    """The key checks over the raw tables, whose reviews and items hold several rows of a key."""
+    return audits.stage_summary(raw(t))
+
+
+@query
+def schema_contract(t):
+    """Columns of the stage orders against a contract with a wrong type, a missing and an unknown column."""
+    return quality.check_schema(t["orders"].select("order_id", "customer_id", "order_status", "order_approved_at"), {
+        "order_id": "string", "customer_id": "bigint", "order_status": "string", "order_region": "string"})
+
+
 @query
 def stage_checks(t):
     return audits.stage_summary(t)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderloom.functions.clean import col, mean, total
 from orderloom.operators.joins import share_of_total
+from orderloom.operators.ranking import exact_quantiles
 
 
 def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, out: str | None = None) -> DataFrame:
@@ -136,6 +138,20 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[f"_{i}" for i in range(len(columns))])).alias("s")).select("s.*")
 
 
+def describe_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, p25, p50, p75: exact interpolated quartiles of each column."""
+    parts = [
+        exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(F.lit(c).alias("column_name"), "p25", "p50", "p75") for c in columns
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def first_present(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """First non-NULL value of each column in a group, ascending by ``order``: values may come from different rows."""
+    place = F.struct(*order)
+    return df.groupBy(*keys).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns])
+
+
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, distinct values, most frequent value and its count per text column."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])

@@ -141,6 +141,28 @@ def run_checks(checks: Sequence[Check], store: str | None = None) -> DataFrame:
     return out.withColumn("passed", F.col("n_failed") == 0)
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """A named condition under which a row fails; an absent value passes unless the condition says otherwise."""
+
+    name: str
+    fails: Column
+    severity: str = "error"
+
+    def check(self, df: DataFrame) -> Check:
+        return Check(self.name, df.filter(self.fails), self.severity)
+
+
+def run_row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    """The summary of all rules over one frame, counted in a single scan."""
+    one = df.agg(*[F.count_if(F.coalesce(r.fails, F.lit(False))).alias(f"_{i}") for i, r in enumerate(rules)])
+    lines = F.array(*[
+        F.struct(F.lit(r.name).alias("check_name"), F.lit(r.severity).alias("severity"), F.col(f"_{i}").alias("n_failed"))
+        for i, r in enumerate(rules)
+    ])
+    return one.select(F.inline(lines)).withColumn("passed", F.col("n_failed") == 0)
+
+
 def failed_errors(summary: DataFrame) -> DataFrame:
     """The failed checks that should stop a build."""
     return summary.filter((F.col("severity") == "error") & ~F.col("passed"))

@@ -117,6 +117,12 @@ def neighbour(
     return met.withColumn(out, F.coalesce(out, "_carried")).select(*df.columns, out)
 
 
+def first_with_ties(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows of each group that come first under ``order``, all of them when several tie."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
+
+
 def quantile_bucket(
     df: DataFrame,
     column: str,

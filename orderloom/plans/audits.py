@@ -2,64 +2,84 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom import schemas
 from orderloom.operators.quality import (
-    Check, check_enum, check_expr, check_fk, check_not_null, check_pair, check_range, check_regex, check_unique, run_checks,
+    Check, RowRule, check_fk, check_range, check_regex, check_unique, run_checks, run_row_rules,
 )
 
 
+STAGED = ("customers", "orders", "order_items", "order_payments", "order_reviews", "products", "sellers")
+DELIVERED = "order_status = 'delivered'"
+
+
+def key_rules(name: str) -> list[RowRule]:
+    return [RowRule(f"{name}_{k}_present", F.col(k).isNull()) for k in schemas.KEYS[name][0]]
+
+
 def stage_checks(tables) -> list[Check]:
     """Every stage key is unique and present."""
     out = []
-    for name in ("customers", "orders", "order_items", "order_payments", "order_reviews", "products", "sellers"):
-        keys, _ = schemas.KEYS[name]
-        out.append(Check(f"{name}_unique", check_unique(tables[name], keys)))
-        out += [Check(f"{name}_{k}_present", check_not_null(tables[name], k)) for k in keys]
+    for name in STAGED:
+        out.append(Check(f"{name}_unique", check_unique(tables[name], schemas.KEYS[name][0])))
+        out += [rule.check(tables[name]) for rule in key_rules(name)]
     return out
 
 
-def gold_checks(fact: DataFrame, tables, as_of: Column) -> list[Check]:
-    """Keys, references, enums, ranges and business rules of the item fact."""
-    delivered = "order_status = 'delivered'"
+def fact_rules(as_of: Column) -> list[RowRule]:
+    """Enums, ranges and business rules of the item fact, all of them conditions on one row."""
+    delivered, price = F.expr(DELIVERED), F.col("price")
+    outside = lambda c, lo, hi: (F.col(c) < lo) | (F.col(c) > hi)
+    late = F.col("order_delivered_customer_date") < F.col("order_purchase_timestamp")
+    return [
+        RowRule("fact_id_present", F.col("id").isNull()),
+        RowRule("fact_status", ~F.col("order_status").isin(list(schemas.ORDER_STATUS))),
+        RowRule("fact_payment_type", ~F.col("payment_type").isin(list(schemas.PAYMENT_TYPES))),
+        RowRule("fact_price_range", outside("price", 0, 10_000), "warn"),
+        RowRule("fact_freight_range", outside("freight_value", 0, 1_000), "warn"),
+        RowRule("delivered_after_purchase", delivered & late, "warn"),
+        RowRule("delivered_has_date", delivered & F.col("order_delivered_customer_date").isNull(), "warn"),
+        RowRule("no_future_purchase", F.col("order_purchase_timestamp") > as_of),
+        RowRule("dear_item_is_paid", (price > 1000) & F.col("payment_value").isNull(), "warn"),
+        RowRule("lead_time_not_negative", delivered & late, "warn"),
+    ]
+
+
+def fact_key_checks(fact: DataFrame, tables) -> list[Check]:
+    """Grain and references of the item fact: these need rows to meet."""
     return [
         Check("fact_grain", check_unique(fact, ["id", "order_item_id"])),
-        Check("fact_id_present", check_not_null(fact, "id")),
         Check("fact_customer", check_fk(fact, "customer_id", tables["customers"], "customer_id")),
         Check("fact_product", check_fk(fact, "product_id", tables["products"], "product_id"), "warn"),
         Check("fact_seller", check_fk(fact, "seller_id", tables["sellers"], "seller_id")),
-        Check("fact_status", check_enum(fact, "order_status", schemas.ORDER_STATUS)),
-        Check("fact_payment_type", check_enum(fact, "payment_type", schemas.PAYMENT_TYPES)),
-        Check("fact_price_range", check_range(fact, "price", 0, 10_000), "warn"),
-        Check("fact_freight_range", check_range(fact, "freight_value", 0, 1_000), "warn"),
-        Check(
-            "delivered_after_purchase",
-            check_pair(fact, "order_delivered_customer_date", "order_purchase_timestamp", where=delivered),
-            "warn",
-        ),
-        Check("delivered_has_date", check_not_null(fact.filter(delivered), "order_delivered_customer_date"), "warn"),
-        Check("no_future_purchase", fact.filter(F.col("order_purchase_timestamp") > as_of)),
-        Check(
-            "dear_item_is_paid",
-            fact.filter((F.col("price") > 1000) & (F.col("payment_value").isNull())),
-            "warn",
-        ),
+    ]
+
+
+def side_checks(tables) -> list[Check]:
+    return [
         Check("customer_zip_form", check_regex(tables["customers"], "customer_zip_code_prefix", r"^\d{5}$")),
         Check("review_score_range", check_range(tables["order_reviews"], "review_score", 1, 5)),
-        Check("lead_time_not_negative", check_expr(
-            fact.filter(delivered),
-            "order_delivered_customer_date >= order_purchase_timestamp OR order_delivered_customer_date IS NULL",
-        ), "warn"),
     ]
 
 
+def gold_checks(fact: DataFrame, tables, as_of: Column) -> list[Check]:
+    """All checks of the gold layer with their violating rows."""
+    return [*fact_key_checks(fact, tables), *[r.check(fact) for r in fact_rules(as_of)], *side_checks(tables)]
+
+
 def stage_summary(tables) -> DataFrame:
-    return run_checks(stage_checks(tables))
+    """Uniqueness by key and all presence rules of a table in one scan."""
+    unique = run_checks([Check(f"{n}_unique", check_unique(tables[n], schemas.KEYS[n][0])) for n in STAGED])
+    return reduce(DataFrame.unionByName, [run_row_rules(tables[n], key_rules(n)) for n in STAGED], unique)
 
 
 def gold_summary(fact: DataFrame, tables, as_of: Column) -> DataFrame:
-    return run_checks(gold_checks(fact, tables, as_of))
+    """The row rules scan the fact once; grain, references and side tables follow."""
+    met = run_checks([*fact_key_checks(fact, tables), *side_checks(tables)])
+    return run_row_rules(fact, fact_rules(as_of)).unionByName(met)
 
 
 def freight_anomalies(items: DataFrame) -> DataFrame:

@@ -191,6 +191,15 @@ def category_or_default(english: str = "product_category", raw: str = "product_c
     return F.coalesce(F.col(english), F.col(raw), F.lit("unknown"))
 
 
+# Fixed value: where counting starts for a source without a moment.
+EPOCH = "1970-01-01 00:00:00"
+
+
+def latest_update(*moments: str) -> Column:
+    """The newest of several moments; an absent one counts as the epoch."""
+    return F.greatest(*[F.coalesce(F.col(m), F.lit(EPOCH).cast("timestamp_ntz")) for m in moments])
+
+
 def dim_versions(versions: DataFrame) -> DataFrame:
     """Review or geolocation versions as a dimension keyed by version."""
     return versions.withColumnRenamed("version_id", "id").withColumn("is_current", F.col("valid_to").isNull())

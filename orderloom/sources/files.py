@@ -9,13 +9,12 @@ def load_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str | None = None,
-    multiline: bool = True,
-    infer: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
-    """CSV with a header (a byte-order mark is dropped) and quoted newlines.
+    """CSV with a header; a byte-order mark is dropped.
 
-    Without a schema every column is text, which keeps the leading zeros of codes. Files that have
-    no quoted newlines should pass ``multiline=False``, which lets Spark split them.
+    Without a schema every column is text, which keeps the leading zeros of codes. ``multiline`` reads
+    quoted newlines; such a file cannot be split, so it is one task however long it is.
     """
     reader = (
         spark.read.option("header", True)
@@ -25,32 +24,39 @@ def load_csv(
     )
     if schema is not None:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    return reader.csv(path)
 
 
-def numeric_text_columns(df: DataFrame) -> DataFrame:
-    """One row: per column, whether any value reads as a number."""
-    return df.agg(*[
-        F.coalesce(F.bool_or(F.col(f"`{c}`").try_cast("double").isNotNull()), F.lit(False)).alias(c)
-        for c in df.columns
-    ])
+# Types that texts are tried for, narrowest first.
+TRIED = ("bigint", "double", "boolean", "timestamp_ntz")
+
+
+def text_types(df: DataFrame) -> dict[str, str]:
+    """Per column the narrowest type that every value of an all-text frame reads as, in one scan."""
+    readable = df.agg(*[
+        F.bool_and(F.col(f"`{c}`").try_cast(t).isNotNull() | F.col(f"`{c}`").isNull()).alias(f"{i}_{t}")
+        for i, c in enumerate(df.columns) for t in TRIED
+    ]).first()
+    return {c: next((t for t in TRIED if readable[f"{i}_{t}"]), "string") for i, c in enumerate(df.columns)}
 
 
 def is_all_text(df: DataFrame) -> bool:
-    """True when no value of an all-string frame reads as a number: load it as strings."""
-    row = numeric_text_columns(df).first()
-    return not any(row)
+    """True when no column of an all-string frame reads as numbers: load it as strings."""
+    return not {"bigint", "double"} & set(text_types(df).values())
 
 
-def load_csv_auto(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
-    """Types are inferred unless the file holds nothing but text."""
+def load_csv_auto(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """Types are inferred unless the file holds nothing but text; one scan finds them, the next one reads."""
     text = load_csv(spark, path, multiline=multiline)
-    return text if is_all_text(text) else load_csv(spark, path, multiline=multiline, infer=True)
+    types = text_types(text)
+    if not {"bigint", "double"} & set(types.values()):
+        return text
+    return text.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in text.columns])
 
 
-def csv_records(spark: SparkSession, path: str | list[str]) -> int:
+def csv_records(spark: SparkSession, path: str | list[str], multiline: bool = True) -> int:
     """Records, not lines: quoted newlines do not count."""
-    return load_csv(spark, path).count()
+    return load_csv(spark, path, multiline=multiline).count()
 
 
 def load_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -17,8 +17,8 @@ def write(path, text):
 
 def test_csv_with_mark_quotes_and_newlines(spark, tmp_path):
     p = write(tmp_path / "a.csv", '﻿id,note\n1,"two\nlines"\n2,"say ""hi"""\n')
-    df = files.load_csv_auto(spark, p)
-    assert df.columns == ["id", "note"] and df.schema["id"].dataType.simpleString() == "int"
+    df = files.load_csv_auto(spark, p, multiline=True)
+    assert df.columns == ["id", "note"] and df.schema["id"].dataType.simpleString() == "bigint"
     assert rows(df) == [(1, "two\nlines"), (2, 'say "hi"')]
     assert files.csv_records(spark, p) == 2
 
