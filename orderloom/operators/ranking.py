@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -138,15 +139,17 @@ def quantile_bucket(
     and cuts at interpolated quantiles. ``reverse`` numbers the buckets downwards.
     """
     if ties == "first":
-        present = df.filter(F.col(column).isNotNull())
-        ranked = global_rank(present, [F.col(column).asc(), *[F.col(t).asc() for t in tiebreak]], "_rank")
-        n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-        step = (F.col("_rank") - 1) * q
-        span = F.greatest(F.col("_n") - 1, F.lit(1))
-        bucket = F.greatest(F.floor((step + span - 1) / span), F.lit(1)).cast("int")
-        bucketed = ranked.crossJoin(F.broadcast(n)).withColumn(out, bucket).drop("_rank", "_n")
-        absent = df.filter(F.col(column).isNull()).withColumn(out, F.lit(None).cast("int"))
-        bucketed = bucketed.unionByName(absent)
+        # Only the ordering values are ranked; the last value of each bucket then tells a row's bucket.
+        place = F.struct(column, *tiebreak)
+        ranked = global_rank(df.filter(F.col(column).isNotNull()).select(column, *tiebreak), [F.col(c).asc() for c in (column, *tiebreak)], "_rank")
+        step, span = (F.col("_rank") - 1) * q, F.greatest(F.col("_n") - 1, F.lit(1))
+        held = F.greatest(F.floor((step + span - 1) / span), F.lit(1))
+        edges = ranked.crossJoin(F.broadcast(ranked.agg(F.count(F.lit(1)).alias("_n")))).agg(
+            *[F.max(F.when(held <= k, place)).alias(f"_e{k}") for k in range(1, q)])
+        over = [F.coalesce((place > F.col(f"_e{k}")).cast("int"), F.lit(0)) for k in range(1, q)]
+        bucketed = df.crossJoin(F.broadcast(edges)).withColumn(
+            out, F.when(F.col(column).isNotNull(), reduce(Column.__add__, over, F.lit(1)))
+        ).drop(*[f"_e{k}" for k in range(1, q)])
     elif ties == "share":
         edges = exact_quantiles(df, column, [k / q for k in range(1, q)], [f"_e{k}" for k in range(1, q)])
         bucket = F.lit(q)

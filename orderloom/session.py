@@ -19,11 +19,15 @@ SETTINGS = {
 }
 
 
+# Settings of the application, fixed when it starts: checkpoints nobody refers to any more are deleted.
+START_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+
 def build_session(app: str = "orderloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
