@@ -50,8 +50,8 @@ def ts(moment: dt.datetime):
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def fact(t: Tables) -> DataFrame:
-    return star.fact_orders(t["orders"], t["order_items"], t["order_payments"], ts(AS_OF))
+def fact(t: Tables, paid: bool = True) -> DataFrame:
+    return star.fact_orders(t["orders"], t["order_items"], t["order_payments"] if paid else None, ts(AS_OF))
 
 
 def categories(t: Tables) -> DataFrame:
@@ -535,7 +535,7 @@ def denormalised(t):
 
 @query
 def monthly_revenue_mart(t):
-    return business.monthly_revenue_mart(fact(t), categories(t))
+    return business.monthly_revenue_mart(fact(t, paid=False), categories(t))
 
 
 # History ------------------------------------------------------------------------------------------
@@ -1058,17 +1058,17 @@ def first_score_return(t):
 
 @query
 def revenue_month(t):
-    return business.revenue_by_month(fact(t))
+    return business.revenue_by_month(fact(t, paid=False))
 
 
 @query
 def seller_rank(t):
-    return business.seller_ranking(fact(t), t["sellers"], scores(t))
+    return business.seller_ranking(fact(t, paid=False), t["sellers"], scores(t))
 
 
 @query
 def category_perf(t):
-    return business.category_performance(fact(t), categories(t), scores(t))
+    return business.category_performance(fact(t, paid=False), categories(t), scores(t))
 
 
 @query
@@ -1078,17 +1078,17 @@ def payment_mix(t):
 
 @query
 def sla_state(t):
-    return business.sla_by_seller_state(fact(t), t["sellers"])
+    return business.sla_by_seller_state(fact(t, paid=False), t["sellers"])
 
 
 @query
 def geo_revenue(t):
-    return business.revenue_by_customer_state(fact(t), t["customers"], scores(t))
+    return business.revenue_by_customer_state(fact(t, paid=False), t["customers"], scores(t))
 
 
 @query
 def category_score(t):
-    return business.category_by_score(fact(t), categories(t), scores(t))
+    return business.category_by_score(fact(t, paid=False), categories(t), scores(t))
 
 
 @query
@@ -1284,7 +1284,7 @@ def mart_reconciliation(t):
     """Months in which the category mart and the raw (not de-duplicated) items disagree."""
     lines = joins.lookup(raw(t)["order_items"].select("order_id", "price"), t["orders"].select("order_id", "order_purchase_timestamp"), "order_id")
     monthly = lines.withColumn("month", dates.month_start("order_purchase_timestamp")).withColumnRenamed("price", "gmv")
-    mart = business.monthly_revenue_mart(fact(t), categories(t)).withColumn("gmv", F.col("gmv").cast("decimal(18,2)"))
+    mart = business.monthly_revenue_mart(fact(t, paid=False), categories(t)).withColumn("gmv", F.col("gmv").cast("decimal(18,2)"))
     return quality.check_totals(mart, monthly, "month", "gmv").withColumns({
         c: F.round(c, 2) for c in ("left_total", "right_total")
     })

@@ -62,7 +62,7 @@ def order_payments(payments: DataFrame, policy: str = "last") -> DataFrame:
 def fact_orders(
     orders: DataFrame,
     items: DataFrame,
-    payments: DataFrame,
+    payments: DataFrame | None,
     as_of: Column,
     payment_policy: str = "last",
     high_value: float = HIGH_VALUE,
@@ -70,7 +70,8 @@ def fact_orders(
     """One row per order item; orders without items stay once with a NULL item.
 
     Payments are one row per order and meet the order first, so nothing fans out and the only join
-    that sees item skew is the last one.
+    that sees item skew is the last one. Without ``payments`` their columns and flag are left out: an
+    unused left join costs a shuffle that the optimizer cannot drop.
     """
     o = clean_orders(orders).select(
         "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -79,10 +80,14 @@ def fact_orders(
     i = clean_items(items).select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"
     )
-    heads = lookup(o, order_payments(payments, payment_policy), "order_id")
-    joined = keep_all(heads, i, "order_id")
-    joined = joined.withColumn("payment_type", F.lower(F.coalesce("payment_type", F.lit("not_defined"))))
-    return joined.withColumns(quality_flags(as_of, high_value)).withColumnRenamed("order_id", "id")
+    flags = quality_flags(as_of, high_value)
+    if payments is None:
+        joined = keep_all(o, i, "order_id")
+        del flags["has_missing_payment_info"]
+    else:
+        joined = keep_all(lookup(o, order_payments(payments, payment_policy), "order_id"), i, "order_id")
+        joined = joined.withColumn("payment_type", F.lower(F.coalesce("payment_type", F.lit("not_defined"))))
+    return joined.withColumns(flags).withColumnRenamed("order_id", "id")
 
 
 def fact_sales(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
