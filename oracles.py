@@ -824,6 +824,8 @@ O["load_modes"] = """
     UNION ALL SELECT 3, 'replace', n, 0 FROM n UNION ALL SELECT 4, 'upsert', n, m FROM n"""
 O["csv_all_text"] = """SELECT 'texts' AS file, 'customer_city:string,customer_state:string' AS columns, (SELECT count(*) FROM customer) AS n_records
     UNION ALL SELECT 'mixed', 'seller_id:bigint,seller_city:string', (SELECT count(*) FROM supplier)"""
+O["typed_orders"] = sql("o", """SELECT order_id, order_status, CASE WHEN order_id % 5 <> 0 THEN purchase_ts END AS order_purchase_timestamp,
+    CAST(NULL AS TIMESTAMP) AS order_approved_at FROM o WHERE order_id % 7 <> 0""")
 O["active_rows"] = "SELECT event_type, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY 1"
 O["latest_by_sequence"] = sql("r_raw", """SELECT review_id, review_score, review_answer_timestamp FROM r_raw
     QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_answer_timestamp) = 1""")

@@ -153,6 +153,22 @@ def csv_all_text(t):
     return t.spark.createDataFrame(rows, "file string, columns string, n_records bigint")
 
 
+@query
+def typed_orders(t):
+    """Orders exported as texts and typed again; every seventh is soft-deleted, every fifth has an unreadable moment."""
+    path = scratch_path(t.spark, "orders-csv")
+    key = F.col("order_id")
+    texts = raw(t)["orders"].select(
+        F.concat(F.lit(" "), key.cast("string")).alias("order_id"), F.col("customer_id").cast("string").alias("customer_id"),
+        F.upper("order_status").alias("order_status"),
+        F.when(key % 5 == 0, F.lit("soon")).otherwise(F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")).alias("order_purchase_timestamp"),
+        (key % 7 == 0).alias("is_deleted"))
+    store.export_csv(texts, path)
+    loaded = files.load_csv(t.spark, path).withColumn("is_deleted", clean.to_bool("is_deleted"))
+    return stage.typed_table("orders", loaded).select(
+        F.col("order_id").cast("bigint").alias("order_id"), "order_status", "order_purchase_timestamp", "order_approved_at")
+
+
 @query
 def active_rows(t):
     marked = read(t, "events").withColumn("is_deleted", F.when(F.col("event_id") % 10 == 0, True).when(F.col("event_id") % 10 == 1, False))
@@ -1438,6 +1454,16 @@ def ml_split_shares(t):
         (F.abs(F.avg((F.col("part") == 2).cast("int")) - 0.2) < 0.03).alias("share_holds"))
 
 
+@query
+def ml_boosted_search(t):
+    """Boosted trees with parameters from three seeded random draws: each draw and its area on the judging part."""
+    train, _ = learning.prepared(t, "late_delivery")
+    space = {"maxDepth": range(2, 6), "maxIter": (4, 6, 8), "stepSize": (0.05, 0.1, 0.2)}
+    _, tried = learning.random_search(train, "gradient_boosting", space, draws=3)
+    rows = [(i + 1, *(float(p[n]) for n in space), area) for i, (p, area) in enumerate(tried)]
+    return t.spark.createDataFrame(rows, "draw int, max_depth double, max_iter double, step_size double, pr_auc double")
+
+
 @query
 def ml_importances(t):
     train, _ = learning.prepared(t, "late_delivery")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -173,6 +174,25 @@ def search(train: DataFrame, model: str, grid: dict[str, Sequence], folds: int =
     ).fit(train)
 
 
+def random_search(
+    train: DataFrame, model: str, space: dict[str, Sequence], draws: int = 10, seed: int = SEED, share: float = 0.25
+) -> tuple[PipelineModel, list[tuple[dict, float]]]:
+    """The best of some random draws of parameters, and each draw with its area under the precision-recall curve.
+
+    Draws come from a seeded generator and are judged on a fixed part of the training rows; the best one is fitted on all.
+    """
+    picker = random.Random(seed)
+    kept, judged = split(train, test_share=share, seed=seed + 1)
+    kept, judged = cut_lineage(kept), cut_lineage(judged)
+    tried: list[tuple[dict, float]] = []
+    for _ in range(draws):
+        params = {name: picker.choice(list(values)) for name, values in space.items()}
+        figures = areas(threshold_table(score(fit(kept, model, params), judged))).first()
+        tried.append((params, figures.pr_auc))
+    best = max(tried, key=lambda pair: pair[1] or 0.0)[0]
+    return fit(train, model, best), tried
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """order_id, label, probability of the positive class."""
     return model.transform(df).select("order_id", "label", vector_to_array("probability")[1].alias("score"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from orderloom import schemas
-from orderloom.functions.clean import clamp_null, lower_text, safe_cast, upper_text, zip_text
+from orderloom.functions.clean import clamp_null, lower_text, not_deleted, safe_cast, upper_text, zip_text
 from orderloom.operators.aggregates import geo_rollup
 from orderloom.operators.dedup import latest_per_key
 
@@ -35,6 +35,29 @@ def stage(raw: Tables) -> dict[str, DataFrame]:
     return out
 
 
+# Columns in standard case.
+LOWER = ("order_status", "payment_type", "customer_city", "seller_city", "geolocation_city", "product_category_name")
+UPPER = ("customer_state", "seller_state", "geolocation_state")
+
+
+def typed_table(name: str, raw: DataFrame) -> DataFrame:
+    """The typed form of a raw table of texts: soft-deleted rows left out, texts trimmed with blanks as NULL, standard
+    case, five-digit zips, and values that do not read as their type as NULL. Columns the raw table lacks are NULL."""
+    df = not_deleted(raw) if "is_deleted" in raw.columns else raw
+    out = []
+    for field in schemas.raw_schema(name).fields:
+        text = F.nullif(F.trim(F.col(field.name).cast("string")), F.lit("")) if field.name in raw.columns else F.lit(None).cast("string")
+        if field.name.endswith("zip_code_prefix"):
+            value = zip_text(text)
+        elif isinstance(field.dataType, T.StringType):
+            value = F.lower(text) if field.name in LOWER else F.upper(text) if field.name in UPPER else text
+        else:
+            kind = "timestamp_ntz" if isinstance(field.dataType, T.TimestampType) else field.dataType.simpleString()
+            value = safe_cast(text, kind)
+        out.append(value.alias(field.name))
+    return df.select(*out)
+
+
 def typed_customers(raw: DataFrame) -> DataFrame:
     """Standard case, five-digit zips; soft-deleted rows are left out when a flag is there."""
     df = raw.filter(~F.coalesce("is_deleted", F.lit(False))) if "is_deleted" in raw.columns else raw

@@ -19,7 +19,7 @@ NAMES = (
 
 def test_every_sql_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {"ml_scored", "ml_metrics", "ml_importances"}
+    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {"ml_scored", "ml_metrics", "ml_importances", "ml_boosted_search"}
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="driver tables absent")
