@@ -174,6 +174,26 @@ def test_replay_with_a_null_key_changes_nothing(spark):
     assert once.count() == 3 and rows(history.scd2_check(once, batch, ["k"], ["v"], now), "k", "v", "valid_to") == rows(once, "k", "v", "valid_to")
 
 
+def test_first_with_ties_and_first_present(spark):
+    df = spark.createDataFrame([(1, 1, None, 5), (1, 1, "b", None), (1, 2, "c", 6), (2, 3, None, None)], "k int, t int, v string, n int")
+    assert rows(ranking.first_with_ties(df, ["k"], [F.col("t").asc()]), "k", "t", "v") == [(1, 1, None), (1, 1, "b"), (2, 3, None)]
+    assert rows(agg.first_present(df, ["k"], ["t", "v"], ["v", "n"])) == [(1, "b", 5), (2, None, None)]
+
+
+def test_even_histogram_and_quartiles(spark):
+    df = spark.createDataFrame([(v,) for v in (0, 1, 2, 3, 4, 10, 10, None)], "v int")
+    assert rows(agg.even_histogram(df, "v", 5)) == [(0, 0.0, 2), (1, 2.0, 2), (2, 4.0, 1), (4, 8.0, 2)]
+    assert rows(agg.describe_quartiles(df, ["v"])) == [("v", 1.5, 3.0, 7.0)]
+
+
+def test_row_rules_count_in_one_scan(spark):
+    df = spark.createDataFrame([(1, None), (None, 5), (3, -1)], "a int, b int")
+    rules = [quality.RowRule("a_present", F.col("a").isNull()), quality.RowRule("b_positive", F.col("b") < 0, "warn"), quality.RowRule("fine", F.lit(False))]
+    out = quality.run_row_rules(df, rules)
+    assert rows(out) == [("a_present", "error", 1, False), ("b_positive", "warn", 1, False), ("fine", "error", 0, True)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 # Checks -----------------------------------------------------------------------------------------
 
 

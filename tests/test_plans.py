@@ -249,3 +249,26 @@ def test_search_prefers_the_better_parameters(spark):
     )
     found = learning.search(df, "logistic_regression", {"regParam": [0.0, 0.1]}, folds=2)
     assert max(found.avgMetrics) > 0.95
+
+
+def test_typed_tables_null_what_does_not_read(spark):
+    raw = spark.createDataFrame([(" s1 ", "77", " Rio ", "rj", False), ("s2", None, " ", "SP", True)],
+                                "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string, is_deleted boolean")
+    assert rows(stage.typed_table("sellers", raw)) == [("s1", "00077", "rio", "RJ")]
+    pay = spark.createDataFrame([("o", "x", "VOUCHER")], "order_id string, payment_sequential string, payment_type string")
+    assert rows(stage.typed_table("order_payments", pay)) == [("o", None, "voucher", None, None)]
+
+
+def test_random_search_repeats_its_draws(spark):
+    space, first = {"a": range(100), "b": (1, 2, 3)}, []
+    for _ in range(2):
+        picker = learning.random.Random(7)
+        first.append([{n: picker.choice(list(v)) for n, v in space.items()} for _ in range(5)])
+    assert first[0] == first[1]
+
+
+def test_exact_thresholds_and_areas(spark):
+    scored = spark.createDataFrame([(1, 0.9), (1, 0.8), (0, 0.8), (1, 0.4), (0, 0.2), (0, 0.1)], "label int, score double")
+    row = learning.metrics(scored, min_recall=0.6).first()
+    assert (row.threshold, row.tp, row.fp, row.fn, row.tn) == (0.4, 3, 1, 0, 2)
+    assert row.roc_auc == pytest.approx(7.5 / 9) and row.pr_auc == pytest.approx((1 + 2 / 3 + 3 / 4) / 3)
