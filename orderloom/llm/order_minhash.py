@@ -10,11 +10,12 @@ once, it is the longest increasing run of positions. Only pairs of positions in
 similarity ``SIMILAR`` can use are aligned. Texts of similarity ``SIMILAR`` or more are linked; classes are the
 connected components.
 
-Byte-equal texts are one node from the start. In a bucket each text proposes its ``NEAREST`` best agreeing texts and the
-bucket's most central text, never all pairs; buckets that still hold several classes then propose pairs across them, as
-long as that finds new links. Buckets of more than ``CELL`` texts are split by a further entry, and then evenly. What
-this loses are pairs that share no band (0.8: 3 in a million) or agree in less than ``LEAST_AGREED`` of the entries
-(4 standard deviations), and large buckets' links that neither side proposes.
+Byte-equal texts are one node from the start. In a bucket of more than ``FEW`` texts each proposes the bucket's most
+central text, never all pairs. In buckets that still hold several classes the texts outside the largest one then propose the
+one and then the ``NEAREST`` texts of other classes that agree best, and do so again as long as their class grows. Buckets of more than ``CELL`` texts are
+split by a further entry, and then evenly. What this can lose are pairs that share no band (at 0.8: 3 in a million) or
+agree in less than ``LEAST_AGREED`` of the entries (4 standard deviations), and links in large buckets that neither text
+has among its nearest.
 
 Null texts and texts without a word are classes of their own. Rows that share an id but not the text are told apart;
 repeated rows fall into one class. An empty table gives an empty result; very long texts are hashed and aligned whole.
@@ -32,12 +33,12 @@ import xxhash
 
 from orderloom.session import cut_lineage, scratch_path
 
-from .common import arrow_rows, boxed, record_batch, unboxed
+from .common import arrow_rows, blocks, boxed, record_batch, unboxed
 
 K, SIMILAR = 5, 0.8
 ENTRIES, ROWS = 48, 2
-NEAREST, CELL, LEAST_AGREED = 3, 1024, 0.35
-STRIDE, KEPT_WORDS = 65_536, 400_000
+FEW, NEAREST, CELL, LEAST_AGREED = 4, 16, 1024, 0.35
+STRIDE, KEPT_WORDS, PART_ROWS = 65_536, 200_000, 200_000
 
 _random = np.random.default_rng(20240229)
 _TURN = _random.integers(1, 2**63, ENTRIES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,18 +141,26 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("text_key", "text").mapInArrow(run, "text_key binary, n long, keys array<long>, coarse binary")
 
 
-def propose(rows: DataFrame) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` from ``cell``, ``node``, ``n``, ``weight``, ``label``, ``coarse``; a cell is one bucket or a part."""
+def propose(rows: DataFrame, most: int) -> DataFrame:
+    """Distinct pairs ``a`` < ``b``, the ``most`` best of each text (0: the centre), from ``cell``, ``node``, ``n``,
+    ``weight``, ``label``, ``asks`` and ``coarse``; a cell is one bucket or a part of one."""
 
-    def pairs(nodes: list, n: np.ndarray, weight: np.ndarray, label: np.ndarray, coarse: np.ndarray) -> Iterator[tuple]:
+    def pairs(nodes: list, n: np.ndarray, weight: np.ndarray, label: np.ndarray, asks: np.ndarray, coarse: np.ndarray) -> Iterator[tuple]:
         centre = int(np.lexsort((np.arange(len(n)), -weight))[0])
+        names, sizes = np.unique(label, return_counts=True)
+        # Every pair across classes has an end outside the largest class, so that one need not ask.
+        asks = asks & (label != names[sizes.argmax()]) if sizes.max() > 1 else asks
         for at in range(0, len(nodes), 128):
             part = slice(at, at + 128)
             agreed = (coarse[part, None, :] == coarse[None, :, :]).mean(axis=2)
             fits = np.minimum(n[part, None], n) >= SIMILAR * np.maximum(n[part, None], n) - 1e-9
-            agreed[(label[part, None] == label) | ~fits | (agreed < LEAST_AGREED)] = 0
-            best = np.argpartition(-agreed, min(NEAREST, len(nodes)) - 1, axis=1)[:, :NEAREST]
-            best = np.concatenate([best, np.full((len(best), 1), centre)], axis=1)
+            agreed[(label[part, None] == label) | ~fits | (agreed < LEAST_AGREED) | ~asks[part, None]] = 0
+            if len(nodes) > FEW:
+                # Among equals the more central text, so that a text names the same partner in all its buckets.
+                rank = agreed + weight * (0.5 / ENTRIES / (weight.max() + 1)) * (agreed > 0)
+                best = np.argpartition(-rank, min(most, len(nodes)) - 1, axis=1)[:, :most] if most else np.full((len(rank), 1), centre)
+            else:
+                best = np.broadcast_to(np.arange(len(nodes)), (len(agreed), len(nodes)))
             for i, j in zip(*np.nonzero(np.take_along_axis(agreed, best, 1))):
                 a, b = nodes[at + i], nodes[best[i, j]]
                 yield (a, b) if a < b else (b, a)
@@ -163,13 +172,13 @@ def propose(rows: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
             ends = np.concatenate([starts[1:], [len(cells)]])
             nodes = table.column("node").to_pylist()
-            n, weight, label = (table.column(c).to_numpy() for c in ("n", "weight", "label"))
+            n, weight, label, asks = (table.column(c).to_numpy() for c in ("n", "weight", "label", "asks"))
             coarse = np.frombuffer(b"".join(table.column("coarse").to_pylist()), np.uint8).reshape(-1, ENTRIES)
             found = {p for s, e in zip(starts.tolist(), ends.tolist()) if e - s > 1
-                     for p in pairs(nodes[s:e], n[s:e], weight[s:e], label[s:e], coarse[s:e])}
+                     for p in pairs(nodes[s:e], n[s:e], weight[s:e], label[s:e], asks[s:e], coarse[s:e])}
             yield record_batch(schema, list(zip(*found)) if found else [[], []])
 
-    return rows.select("cell", "node", "n", "weight", "label", "coarse").mapInArrow(run, "a binary, b binary").distinct()
+    return rows.select("cell", "node", "n", "weight", "label", "asks", "coarse").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -211,22 +220,39 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the shared folder, in as many partitions as its rows need."""
+    kept = cut_lineage(df)
+    return kept.coalesce(blocks(kept.count(), PART_ROWS))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (the smallest node of its component) of all nodes of the links ``a``, ``b``."""
-    both = cut_lineage(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"))
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")))
+    both = stored(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"))
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")))
     while True:
         near = both.join(labels.withColumnsRenamed({"node": "b", "root": "near"}), "b").groupBy("a").agg(F.min("near").alias("near"))
         lower = labels.join(near, labels["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("at"), F.col("root").alias("far"))
-        moved = lower.join(jump, lower["next"] == jump["at"], "left").select(
-            "node", F.least("next", F.coalesce("far", "next")).alias("root"), (F.least("next", F.coalesce("far", "next")) != F.col("root")).alias("moved"))
-        moved = cut_lineage(moved)
+        moved = stored(lower.join(jump, lower["next"] == jump["at"], "left").select(
+            "node", F.least("next", F.coalesce("far", "next")).alias("root"), (F.least("next", F.coalesce("far", "next")) != F.col("root")).alias("moved")))
         labels = moved.select("node", "root")
         if moved.where("moved").isEmpty():
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links, which join whole classes; only the roots they name take part."""
+    root = labels.withColumnsRenamed({"node": "at", "root": "old"})
+    for end in "ab":
+        links = links.join(root, links[end] == root["at"], "left").withColumn(end, F.coalesce("old", end)).select("a", "b")
+    moved = components(links.where("a != b"))
+    out = labels.join(moved.withColumnsRenamed({"node": "old", "root": "new"}), labels["root"] == F.col("old"), "left")
+    out = out.select("node", F.coalesce("new", "root").alias("root"))
+    fresh = moved.join(labels.select("node"), "node", "left_anti")  # nodes that had no link yet
+    return stored(out.unionByName(fresh))
+
+
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_key`` (MD5 of the text), ``class_key``, ``class_id`` (its smallest id), ``n_class`` (its rows).
 
@@ -240,17 +266,21 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     path = scratch_path(spark, "order-minhash")
     sketches(held).write.parquet(path)
     known = spark.read.parquet(path).dropDuplicates(["text_key"])
-    bands = known.select(F.col("text_key").alias("node"), "n", "coarse", F.posexplode("keys").alias("band", "key"))
-    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    # A further entry splits a large bucket; what still is large is dealt out evenly.
-    shared = bands.join(sizes, ["band", "key"]).withColumn("part", F.when(
-        F.col("size") > CELL, F.expr(f"conv(hex(substring(coarse, (band * {ROWS} + {ROWS}) % {ENTRIES} + 1, 1)), 16, 10)").cast("long")).otherwise(0))
-    parts = shared.where(F.col("size") > CELL).groupBy("band", "key", "part").agg(F.count("*").alias("in_part"))
+    bands = known.select(F.col("text_key").alias("node"), F.explode("keys").alias("key"))
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    path = scratch_path(spark, "order-minhash")
+    bands.join(sizes, "key").write.parquet(path)
+    shared = spark.read.parquet(path)
     weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    slot = F.pmod(F.xxhash64("node", "band"), F.ceil(F.coalesce("in_part", F.lit(1)) / CELL))
+    members = known.withColumnRenamed("text_key", "node").select("node", "n", "coarse").join(weights, "node")
+    # A further entry splits a large bucket; what still is large is dealt out evenly.
+    entry = F.substring("coarse", F.pmod("key", F.lit(ENTRIES)).cast("int") + 1, F.lit(1))
+    rows_ = shared.join(members, "node").withColumn("part", F.when(F.col("size") > CELL, entry).otherwise(F.lit(b"")))
+    parts = rows_.where(F.col("size") > CELL).groupBy("key", "part").agg(F.count("*").alias("in_part"))
+    slot = F.pmod(F.xxhash64("node", "key"), F.ceil(F.coalesce("in_part", F.lit(1)) / CELL))
     path = scratch_path(spark, "order-minhash")
-    (shared.join(parts, ["band", "key", "part"], "left").join(weights, "node")
-     .select(F.xxhash64("band", "key", "part", slot).alias("cell"), "node", "n", "weight", "coarse").write.parquet(path))
+    rows_.join(parts, ["key", "part"], "left").select(
+        F.xxhash64("key", "part", slot).alias("cell"), "node", "n", "weight", "coarse").write.parquet(path)
     cells = spark.read.parquet(path)
     path = scratch_path(spark, "order-minhash")
     first = held.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
@@ -259,24 +289,34 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     held.join(chosen, near & held["doc_id"].eqNullSafe(chosen["doc_id"])).select(
         held["text_key"].alias("node"), held["text"]).dropDuplicates(["node"]).write.parquet(path)
     texts = spark.read.parquet(path)
-    links, tested, labels = None, None, None
+    tested, labels, grown, most = None, None, None, 0
     while True:
-        now = cells.withColumn("label", F.xxhash64("node")) if labels is None else cells.join(
-            labels, "node", "left").withColumn("label", F.xxhash64(F.coalesce("root", "node"))).drop("root")
+        now = cells.withColumns({"label": F.xxhash64("node"), "asks": F.lit(True)})
         if labels is not None:
-            mixed_cells = now.groupBy("cell").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("cell")
-            now = now.join(mixed_cells, "cell")
-        pairs = propose(now.repartition("cell").sortWithinPartitions("cell"))
+            # A text whose class has not grown would only ask again what it has asked.
+            known_ = labels if grown is None else labels.join(grown, "root", "left")
+            asks = F.lit(True) if grown is None else F.coalesce("grown", F.lit(False))
+            now = cells.join(known_, "node", "left").withColumns({"label": F.xxhash64(F.coalesce("root", "node")), "asks": asks})
+            several = now.groupBy("cell").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("cell")
+            now = now.join(several, "cell")
+        pairs = propose(now.repartition("cell").sortWithinPartitions("cell"), most)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        found = cut_lineage(verify(pairs, texts))
-        if links is not None and found.isEmpty():
-            break
-        links = found if links is None else links.union(found)
+        pairs = stored(pairs)
+        found = stored(verify(pairs, texts))
         tested = pairs if tested is None else tested.union(pairs)
-        labels = components(links)
-    members = rows.select("doc_id", "text_key").join(labels, rows["text_key"] == labels["node"], "left").select(
+        if labels is None:
+            labels = components(found)
+        elif not found.isEmpty():
+            labels = joined(labels, found)
+        elif most == NEAREST:
+            break
+        if most == NEAREST:
+            met = found.select(F.col("a").alias("node")).join(labels, "node")
+            grown = met.select("root").distinct().withColumn("grown", F.lit(True))
+        most = NEAREST if most else 1
+    of = rows.select("doc_id", "text_key")
+    members = of.join(labels, of["text_key"] == labels["node"], "left").select(
         "doc_id", "text_key", F.coalesce("root", "text_key").alias("root"))
     tops = members.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
     out = members.join(tops, "root", "left")
