@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from orderloom.llm import bpe, language, line_chunks, mixing, order_minhash
-from orderloom.llm.common import boxed, fold, unboxed
+from orderloom.llm.common import fold, prepare, unboxed
 from orderloom.llm.queries import BYTE_BPE, table
 from orderloom.session import scratch_path
 
@@ -22,9 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The automata learn from the labelled documents whose crc32(doc_id) modulo 4 is not 2.
     """
+    prepare(spark)
     parser = language.fit(docs.where(fold("doc_id", 4) != 2))
-    known = language.predict(boxed(docs), parser, id_col="row", text_col="row.text")
-    return known.where(F.col("lang_pred") != language.UNKNOWN).select("doc_id.*")
+    return unboxed(language.predict_rows(docs, parser).where(F.col("lang_pred") != language.UNKNOWN))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each class of near-duplicates."""
+    prepare(spark)
     return order_minhash.keep_one(docs)
 
 
@@ -45,9 +46,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` (packed little-endian unsigned 32-bit), and the decoded bytes' SHA-256."""
-    ranks = public_tokenizers.path(BYTE_BPE)
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    prepare(spark)
+    coded = bpe.encode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, decoded=True)
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 import hashlib
+import struct
 
 import ahocorasick
 import numpy as np
@@ -25,7 +26,7 @@ import regex
 from .common import arrow_rows, record_batch, with_columns
 
 # Encodings of pieces kept by a worker, and the longest piece kept; beyond that the store starts anew.
-KEPT_PIECES, KEPT_LENGTH = 250_000, 40
+KEPT_PIECES, KEPT_LENGTH = 200_000, 40
 
 _encoders: dict[tuple[bytes, str], "Encoder"] = {}
 
@@ -37,29 +38,33 @@ class Encoder(dict):
         super().__init__()
         self.bytes_of = token_bytes(rank_file)
         self.ranks = {token: rank for rank, token in enumerate(self.bytes_of) if token}
-        self.packed = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
         self.automaton = ahocorasick.Automaton()
         for token in self.ranks:
             self.automaton.add_word(token.decode("latin-1"), len(token))
         self.widest = max(map(len, self.ranks))
         self.split = regex.compile(pattern).findall
         self.shorter: dict[bytes, int] = {}
-        self.accepted: dict[tuple[bytes, bytes], bool] = {}
+        self.accepted: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = {}, {}
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.split(text)))
 
+    def decode(self, ids: bytes) -> bytes:
+        return unpack(ids, self.bytes_of)
+
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
-        ids = self.packed.get(raw) or b"".join(map(self.packed.__getitem__, self.tokens(raw)))
+        whole = self.ranks.get(raw)
+        ids = struct.pack("<I", whole) if whole is not None else struct.pack(f"<{len(found := self.tokens(raw))}I", *found)
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= KEPT_PIECES:
                 self.clear()
             self[piece] = ids
         return ids
 
-    def tokens(self, raw: bytes) -> list[bytes]:
+    def tokens(self, raw: bytes) -> list[int]:
+        """Ids of a piece."""
         text, end, ranks, accepted = raw.decode("latin-1"), len(raw), self.ranks, self.accepted
         taken, refused, at, last, size = [], bytearray(end + 1), 0, None, 0
         fresh = True  # no token has been tried at this byte
@@ -71,16 +76,20 @@ class Encoder(dict):
                     size = self.prefix(token)
             while size:
                 token = raw[at:at + size]
-                if not refused[at + size] and (last is None or (
-                        known if (known := accepted.get((last, token))) is not None else self.accepts(last, token))):
-                    break
+                id_ = ranks[token]
+                if not refused[at + size]:
+                    if last is None:
+                        break
+                    known = accepted.get(last << 32 | id_)
+                    if self.accepts(last, id_) if known is None else known:
+                        break
                 size = self.prefix(token)
             if size:
-                taken.append(token)
-                at, last, fresh = at + size, token, True
+                taken.append(id_)
+                at, last, fresh = at + size, id_, True
             elif taken:
                 refused[at] = 1
-                token = taken.pop()
+                token = self.bytes_of[taken.pop()]
                 at, last, size, fresh = at - len(token), taken[-1] if taken else None, self.prefix(token), False
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
@@ -90,35 +99,37 @@ class Encoder(dict):
         """Length of the longest token that is a proper prefix; 0 if there is none."""
         size = self.shorter.get(token)
         if size is None:
+            if len(self.shorter) >= KEPT_PIECES:
+                self.shorter.clear()
             size = next((k for k in range(len(token) - 1, 0, -1) if token[:k] in self.ranks), 0)
             self.shorter[token] = size
         return size
 
-    def accepts(self, left: bytes, right: bytes) -> bool:
+    def accepts(self, left: int, right: int) -> bool:
         if len(self.accepted) >= KEPT_PIECES:
             self.accepted.clear()
-        known = self.accepted[left, right] = not any(
+        known = self.accepted[left << 32 | right] = not any(
             rank < dies and rank <= ends
             for x, born, dies in self.edge(left, 1) for y, starts, ends in self.edge(right, 0)
             if born <= ends and starts < dies and (rank := self.ranks.get(x + y)) is not None)
         return known
 
-    def edge(self, token: bytes, side: int) -> list[tuple[bytes, int, float]]:
+    def edge(self, id_: int, side: int) -> list[tuple[bytes, int, float]]:
         """The parts that stand at the left (0) or right (1) end of a token while it is merged: each with the rank of
         the merge that makes it (-1: a byte) and of the one that ends it (infinite: the token itself).
 
         Equal merges are done from left to right, which decides ties between ``left`` and ``right`` above.
         """
-        known = self.edges[side].get(token)
+        known = self.edges[side].get(id_)
         if known is None:
-            known, part, end = [], token, float("inf")
+            known, part, end = [], self.bytes_of[id_], float("inf")
             while True:
                 born = self.ranks[part] if len(part) > 1 else -1
                 known.append((part, born, end))
                 if born < 0:
                     break
                 part, end = self.halves(part)[side], born
-            self.edges[side][token] = known
+            self.edges[side][id_] = known
         return known
 
     def halves(self, token: bytes) -> list[bytes]:
@@ -139,10 +150,10 @@ def _encoder(rank_file: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (packed little-endian unsigned 32-bit) of every whole text.
 
-    The rank file (about 1 MB, read once on the driver) travels with the tasks.
+    With ``decoded`` the ids are decoded again in the same worker and their bytes added. The rank file (about 1 MB, read once on the driver) travels with the tasks.
     """
     with open(ranks, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -152,10 +163,14 @@ def encode(docs: DataFrame, ranks: str, pattern: str, *, id_col: str = "doc_id",
         encoder = _encoder(shared.value, pattern)
         for batch in batches:
             ids = [encoder.encode(text) if text else b"" for text in arrow_rows(batch, "text")]
-            schema = pa.schema([batch.schema.field("doc_id"), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-            yield record_batch(schema, [batch.column(0), [len(x) // 4 for x in ids], ids])
+            schema = pa.schema([batch.schema.field("doc_id"), ("n_tokens", pa.int64()), ("ids", pa.binary()), *[("decoded", pa.binary())] * decoded])
+            yield record_batch(schema, [batch.column(0), [len(x) // 4 for x in ids], ids, *[list(map(encoder.decode, ids))] * decoded])
+
+    return rows.mapInArrow(run, with_columns(rows, "doc_id", "n_tokens long, ids binary" + ", decoded binary" * decoded))
+
 
-    return rows.mapInArrow(run, with_columns(rows, "doc_id", "n_tokens long, ids binary"))
+def unpack(ids: bytes, bytes_of: list[bytes]) -> bytes:
+    return b"".join(map(bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def token_bytes(rank_file: bytes) -> list[bytes]:
@@ -174,9 +189,9 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     rows = encoded.select("doc_id", "n_tokens", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = token_bytes(shared.value).__getitem__
+        bytes_of = token_bytes(shared.value)
         for batch in batches:
-            texts = [b"".join(map(of, np.frombuffer(ids or b"", "<u4").tolist())) for ids in arrow_rows(batch, "ids")]
+            texts = [unpack(ids or b"", bytes_of) for ids in arrow_rows(batch, "ids")]
             schema = pa.schema([*batch.schema, ("decoded", pa.binary())])
             yield record_batch(schema, [*batch.columns, texts])
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 import pyarrow as pa
 
 # Texts handed to one vectorised step together: at most so many characters, or one text.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 
 
 def boxed(df: DataFrame, *columns: Column) -> DataFrame:
@@ -84,8 +84,14 @@ def sample_bound(df: DataFrame, key: Column, n: int) -> int | None:
     return keys.agg(F.max("_key")).first()[0]
 
 
-def let_workers_import(spark: SparkSession) -> SparkSession:
-    """Lets Python workers find this package at the path it has here, where nobody has shipped or installed it."""
+# Rows and bytes that travel to a Python worker together; texts are long, so fewer than Spark's own 10,000 rows.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bounds the batches that workers get, and lets them find this package at the path it has here."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:

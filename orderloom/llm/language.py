@@ -176,15 +176,28 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def predict(docs: DataFrame, parser: Parser, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score`` (0 to 1) and ``bits`` of every whole text; the id may be of any type."""
+    """``doc_id``, ``lang_pred``, ``score`` (0 to 1) and ``bits`` of every whole text."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _mapped(rows, parser, "text", ["doc_id"])
+
+
+def predict_rows(docs: DataFrame, parser: Parser, *, text_col: str = "text") -> DataFrame:
+    """The documents as ``row`` with ``lang_pred``, ``score`` and ``bits``."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    out = _mapped(rows, parser, names[docs.columns.index(text_col)], names)
+    return out.select(F.struct(*(F.col(n).alias(c) for n, c in zip(names, docs.columns))).alias("row"), "lang_pred", "score", "bits")
+
+
+def _mapped(rows: DataFrame, parser: Parser, text_col: str, stay: list[str]) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(parser)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
-            out = [x for _, texts in text_batches(arrow_rows(batch, "text")) for x in parser.classify(texts)]
-            schema = pa.schema([batch.schema.field("doc_id"), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
-            yield record_batch(schema, [batch.column(0), *(list(zip(*out)) if out else [[], [], []])])
+            out = [x for _, texts in text_batches(arrow_rows(batch, text_col)) for x in parser.classify(texts)]
+            kept = [batch.schema.get_field_index(c) for c in stay]
+            schema = pa.schema([*(batch.schema.field(i) for i in kept), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64())])
+            yield record_batch(schema, [*map(batch.column, kept), *(list(zip(*out)) if out else [[], [], []])])
 
-    return rows.mapInArrow(run, with_columns(rows, "doc_id", "lang_pred string, score double, bits double"))
+    return rows.mapInArrow(run, with_columns(rows, ", ".join(stay), "lang_pred string, score double, bits double"))

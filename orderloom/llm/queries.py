@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from . import bpe, language, line_chunks, mixing, order_minhash, pivots, posting_lists, secrets, suffix_tree, url_lists
-from .common import fold, let_workers_import
+from .common import fold, prepare
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return let_workers_import(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,8 +24,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
-    encoded = bpe.encode(table(spark, folder, "documents"), ranks, pattern)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.encode(table(spark, folder, "documents"), ranks, pattern, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

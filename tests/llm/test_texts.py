@@ -77,6 +77,8 @@ def test_bpe_query_equals_the_library(spark, reference):
 
 def test_bpe_odd_rows(spark, odd, reference):
     out = bpe.decode(bpe.encode(odd, RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    same = bpe.encode(odd, RANKS, public_tokenizers.PATTERN, decoded=True)
+    assert Counter(map(tuple, same.collect())) == Counter(map(tuple, out))
     assert Counter((r.doc_id, bytes(r.decoded)) for r in out) == Counter((r.doc_id, (r.text or "").encode()) for r in odd.collect())
     assert bpe.encode(odd.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
