@@ -29,13 +29,13 @@ UNKNOWN = "und"
 def plain(text: str) -> np.ndarray:
     """Code points of the lower-cased text, each run of other characters than letters as one space."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = _LETTERS[np.minimum(points, len(_LETTERS) - 1)]
+    letters = _LETTERS[points]
     keep = letters.copy()
     keep[1:] |= letters[:-1]
     return np.where(letters, points, 32)[keep]
 
 
-_LETTERS = np.array([chr(i).isalpha() for i in range(0x3400)] + [True])  # beyond: ideographs and rarer letters
+_LETTERS = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)  # of every code point
 
 
 def automaton(text: list[int], alphabet: int) -> np.ndarray:

@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 
+import corpus_pipeline
 from orderloom.llm import bpe, language, secrets, suffix_tree
 from orderloom.llm.queries import BYTE_BPE, LLM_QUERIES
 
@@ -131,6 +132,19 @@ def test_language_odd_rows(spark, odd):
     assert language.predict(odd.limit(0), nothing).count() == 0
 
 
+NO_LETTER = ["\U0001f600\U0001f680 \U0001f9ea", "\ufffd" * 40, "\ue000\U000f0000", "\uff11\uff12\uff13\uff01\uff1f", "\ufe0f\U0001f1e9\U0001f1ea"]
+
+
+def test_texts_of_no_letter_are_und(spark):
+    docs = spark.createDataFrame([(0, "the words of a text", "en"), (1, "\u4e2d\u6587", "zh"), (2, "\uff21\U00020000", "zh"),
+                                  *((10 + i, t, "en") for i, t in enumerate(NO_LETTER))], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, language.fit(docs)).collect()}
+    assert {i for i, lang in got.items() if lang == "und"} == {10 + i for i in range(len(NO_LETTER))}
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()} == {0, 1, 2}
+    points = range(0x110000)
+    assert (language._LETTERS == [chr(i).isalpha() for i in points]).all()
+
+
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 
