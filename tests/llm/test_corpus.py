@@ -316,5 +316,22 @@ def test_pipeline_run(spark):
     assert rows and all(len(r.ids) == 4 * r.n_tokens for r in rows)
 
 
+def test_pipeline_keeps_the_mixed_order(spark, tmp_path):
+    names = ["a", "a", "a", "b", None]
+    docs = docs_of(spark, [(i, f"text {i} " + "x" * (i * 37 % 4000)) for i in range(600)], lambda n: names[n % 5])
+    want = [r.doc_id for r in mixing.mix(docs).orderBy("slot", "place").select("row.doc_id").collect()]
+    path = str(tmp_path / "mixed")
+    # Uneven files: a scan takes the largest first.
+    corpus_pipeline.source_mix(spark, docs, SF).write.option("maxRecordsPerFile", 70).parquet(path)
+    read = spark.read.parquet(path)
+    assert len(read.inputFiles()) > 4 and [r.doc_id for r in read.collect()] != want
+    for table in (read, spark.createDataFrame(read.limit(0).collect(), read.schema)):
+        rows = corpus_pipeline.byte_bpe(spark, table, SF).collect()
+        assert sorted(r.position for r in rows) == list(range(len(rows)))
+        assert [r.doc_id for r in sorted(rows, key=lambda r: r.position)] == want[:len(rows)]
+    plain = corpus_pipeline.byte_bpe(spark, mixing.mix(docs).orderBy("slot", "place").select("row.*").coalesce(1), SF)
+    assert [r.doc_id for r in plain.orderBy("position").collect()] == want
+
+
 def test_dates_are_days():
     assert date.fromisoformat(url_lists.FIRST_DAY).year == 2024
