@@ -12,10 +12,11 @@ connected components.
 
 Byte-equal texts are one node from the start. In a bucket of more than ``FEW`` texts each proposes the bucket's most
 central text, never all pairs. In buckets that still hold several classes the texts outside the largest one then propose the
-one and then the ``NEAREST`` texts of other classes that agree best, and do so again as long as their class grows. Buckets of more than ``CELL`` texts are
-split by a further entry, and then evenly. What this can lose are pairs that share no band (at 0.8: 3 in a million) or
-agree in less than ``LEAST_AGREED`` of the entries (4 standard deviations), and links in large buckets that neither text
-has among its nearest.
+one, the ``NEAREST``, twice as many, ... texts of other classes that agree best, until a bucket holds one class or
+every pair of its classes with enough agreement has been tested. Buckets of more than ``CELL`` texts are first
+split by a further entry, and then evenly; afterwards their texts outside the bucket's largest class meet all its texts, block by
+block, in the same way. What this can lose are pairs that share no band (at 0.8: 3 in a million) or
+agree in less than ``LEAST_AGREED`` of the entries (4 standard deviations).
 
 Null texts and texts without a word are classes of their own. Rows that share an id but not the text are told apart;
 repeated rows fall into one class. An empty table gives an empty result; very long texts are hashed and aligned whole.
@@ -148,8 +149,8 @@ def propose(rows: DataFrame, most: int) -> DataFrame:
     def pairs(nodes: list, n: np.ndarray, weight: np.ndarray, label: np.ndarray, asks: np.ndarray, coarse: np.ndarray) -> Iterator[tuple]:
         centre = int(np.lexsort((np.arange(len(n)), -weight))[0])
         names, sizes = np.unique(label, return_counts=True)
-        # Every pair across classes has an end outside the largest class, so that one need not ask.
-        asks = asks & (label != names[sizes.argmax()]) if sizes.max() > 1 else asks
+        # Every pair across classes has an end outside the largest class, so that one need not ask if all others do.
+        asks = asks & (label != names[sizes.argmax()]) if sizes.max() > 1 and asks.all() else asks
         for at in range(0, len(nodes), 128):
             part = slice(at, at + 128)
             agreed = (coarse[part, None, :] == coarse[None, :, :]).mean(axis=2)
@@ -253,6 +254,60 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(out.unionByName(fresh))
 
 
+def linked(cells: DataFrame, texts: DataFrame, labels: DataFrame | None, tested: DataFrame | None, most: int) -> tuple[DataFrame, DataFrame]:
+    """The labels and the tested pairs after all pairs of classes that meet in ``cells`` have been tested as far as they agree.
+
+    Each round takes more partners for each text that asks. A cell of no more texts than that has proposed all it can.
+    """
+    done = 0
+    while True:
+        now = cells.withColumn("label", F.xxhash64("node"))
+        if labels is not None:
+            now = cells.join(labels, "node", "left").withColumn("label", F.xxhash64(F.coalesce("root", "node"))).drop("root")
+            several = stored(now.groupBy("cell").agg((F.min("label") != F.max("label")).alias("open"), F.count("*").alias("rows")).where(
+                F.col("open") & (F.col("rows") > done)).select("cell"))
+            if several.isEmpty():
+                return labels, tested
+            now = now.join(several, "cell")
+        pairs = propose(now.repartition("cell").sortWithinPartitions("cell"), most)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs)
+        found = stored(verify(pairs, texts))
+        tested = pairs if tested is None else tested.union(pairs)
+        if labels is None:
+            labels = components(found)
+        elif not found.isEmpty():
+            labels = joined(labels, found)
+        done = max(most, FEW)
+        most = 2 * most if most >= NEAREST else NEAREST if most else 1
+
+
+def meetings(rows: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame | None:
+    """Cells in which the texts of buckets above ``CELL`` that are outside the bucket's largest class ask all its texts.
+
+    Two blocks of about half of ``CELL`` texts at most make a cell. None if no such bucket holds several classes.
+    """
+    block = CELL // 2
+    big = sizes.where(F.col("size") > CELL)
+    if big.isEmpty():
+        return None
+    held = rows.where(F.col("size") > CELL).select("key", "size", "node", "n", "weight", "coarse").join(labels, "node", "left")
+    held = held.withColumn("label", F.coalesce("root", "node")).drop("root")
+    largest = held.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.max(F.struct("c", "label"))["label"].alias("largest"), F.sum("c").alias("all"), F.max("c").alias("c"))
+    several = largest.where("all > c").select("key", "largest", F.ceil((F.col("all") - F.col("c")) / block).alias("askers"), F.ceil(F.col("all") / block).alias("blocks"))
+    met = stored(held.join(several, "key").select(
+        "key", "node", "n", "weight", "coarse", "askers", "blocks", (F.col("label") != F.col("largest")).alias("outside")))
+    if met.isEmpty():
+        return None
+    hashed = F.xxhash64("node", "key")
+    ask = met.where("outside").select("*", F.pmod(hashed, F.col("askers")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
+    answer = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("askers") - 1)).alias("i"), F.pmod(hashed, F.col("blocks")).alias("j"), F.lit(False).alias("asks"))
+    both = ask.unionByName(answer).select(F.xxhash64("key", F.lit("meet"), "i", "j").alias("cell"), "node", "n", "weight", "coarse", "asks")
+    return stored(both)
+
+
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text_key`` (MD5 of the text), ``class_key``, ``class_id`` (its smallest id), ``n_class`` (its rows).
 
@@ -289,32 +344,10 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     held.join(chosen, near & held["doc_id"].eqNullSafe(chosen["doc_id"])).select(
         held["text_key"].alias("node"), held["text"]).dropDuplicates(["node"]).write.parquet(path)
     texts = spark.read.parquet(path)
-    tested, labels, grown, most = None, None, None, 0
-    while True:
-        now = cells.withColumns({"label": F.xxhash64("node"), "asks": F.lit(True)})
-        if labels is not None:
-            # A text whose class has not grown would only ask again what it has asked.
-            known_ = labels if grown is None else labels.join(grown, "root", "left")
-            asks = F.lit(True) if grown is None else F.coalesce("grown", F.lit(False))
-            now = cells.join(known_, "node", "left").withColumns({"label": F.xxhash64(F.coalesce("root", "node")), "asks": asks})
-            several = now.groupBy("cell").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("cell")
-            now = now.join(several, "cell")
-        pairs = propose(now.repartition("cell").sortWithinPartitions("cell"), most)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        found = stored(verify(pairs, texts))
-        tested = pairs if tested is None else tested.union(pairs)
-        if labels is None:
-            labels = components(found)
-        elif not found.isEmpty():
-            labels = joined(labels, found)
-        elif most == NEAREST:
-            break
-        if most == NEAREST:
-            met = found.select(F.col("a").alias("node")).join(labels, "node")
-            grown = met.select("root").distinct().withColumn("grown", F.lit(True))
-        most = NEAREST if most else 1
+    labels, tested = linked(cells.withColumn("asks", F.lit(True)), texts, None, None, 0)
+    crossed = meetings(rows_, labels, sizes)
+    if crossed is not None:
+        labels, _ = linked(crossed, texts, labels, tested, NEAREST)
     of = rows.select("doc_id", "text_key")
     members = of.join(labels, of["text_key"] == labels["node"], "left").select(
         "doc_id", "text_key", F.coalesce("root", "text_key").alias("root"))

@@ -126,6 +126,25 @@ def test_one_large_group(spark):
     assert {got[i] for i in range(1501)} == {0} and all(got[i] == i for i in range(1501, 1521))
 
 
+def test_every_pair_of_a_large_bucket_is_tested(spark, monkeypatch):
+    """Texts about the threshold, with bounds so low that the buckets are split and most of a text's nearest fail."""
+    monkeypatch.setattr(order_minhash, "CELL", 16)
+    monkeypatch.setattr(order_minhash, "NEAREST", 2)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(100)]
+    docs = [(i, " ".join(edited(base, 2, rng))) for i in range(160)]
+    hashes = order_minhash.Words()
+    grams, root = [order_minhash.kmers(t, hashes) for _, t in docs], list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if order_minhash.similarity(grams[i], grams[j]) >= 0.8 - 1e-9 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < len(docs)
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(docs_of(spark, docs)).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_similarity_is_the_banded_alignment():
     rng = np.random.default_rng(2)
     for _ in range(200):
