@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, language, line_chunks, mixing, order_minhash, pivots, posting_lists, secrets, suffix_tree, url_lists
+from . import (
+    bpe, codebooks, language, line_chunks, mixing, order_minhash, pieces, pivots, posting_lists, secrets, suffix_tree, url_lists, whitening,
+)
 from .common import fold, prepare
 
-BYTE_BPE = "byte_bpe_50k.tiktoken"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,6 +83,25 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, parser).withColumn("held_out", held_out)
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = codebooks.compress(table(spark, folder, "embeddings"), keep=["vec_id", "label"])
+    return codebooks.with_group_error(coded, "label").select(
+        "row.vec_id", F.lower(F.hex("code")).alias("code"), "error", F.col("group_error").alias("label_error"),
+        F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.components_of(table(spark, folder, "embeddings"), keep=["vec_id"])
+    return rows.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    coded = pieces.encode(table(spark, folder, "documents"), public_tokenizers.path(PIECE_BPE), decoded=True)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_exact_topk": op2_exact_topk,
@@ -92,10 +113,14 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_chunks": op9_line_chunks,
     "op10_language": op10_language,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op1_url_filters": url_lists.oracle(),
     "op7_mixing": mixing.oracle(),
     "op9_line_chunks": line_chunks.oracle(),
+    "op11_vector_codes": codebooks.oracle(),
 }

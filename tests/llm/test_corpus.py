@@ -24,7 +24,7 @@ def docs_of(spark, pairs, source=lambda i: "s"):
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "events"):
+    for t in ("documents", "pages", "events", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.01/{t}.parquet'")
     want = con.execute(LLM_ORACLES[name])
     columns = [d[0] for d in want.description]
