@@ -1,8 +1,9 @@
 """Byte-level BPE by longest matches and backtracking, and its inverse.
 
 The bytes of a piece are read as Latin-1 so that the trie of an Aho-Corasick automaton over all tokens finds the
-longest token that starts at a byte. From left to right the longest token is taken whose neighbour on the left
-accepts it; where none is left the last token is given up for its next shorter prefix. Two tokens accept each other if
+longest matches from left to right, which mostly are the encoding already. From the first refused pair on the longest token
+is taken whose neighbour on the left accepts it; where none is left the last token is given up for its next shorter prefix.
+Two tokens accept each other if
 no ranked merge crosses their border while they are being merged; the answer is kept per pair. An encoding in which all
 neighbours accept each other is the one that the ranked merges give. Every end position is refused once at
 most, so the work is linear in the piece.
@@ -25,7 +26,8 @@ import regex
 
 from .common import arrow_rows, record_batch, with_columns
 
-# Encodings of pieces kept by a worker, and the longest piece kept; beyond that the store starts anew.
+# Encodings of pieces (and answers on pairs) kept by a worker, twice as many at most: the older half goes when the newer is
+# full. The longest piece kept.
 KEPT_PIECES, KEPT_LENGTH = 200_000, 40
 
 _encoders: dict[tuple[bytes, str], "Encoder"] = {}
@@ -39,12 +41,18 @@ class Encoder(dict):
         self.bytes_of = token_bytes(rank_file)
         self.ranks = {token: rank for rank, token in enumerate(self.bytes_of) if token}
         self.automaton = ahocorasick.Automaton()
-        for token in self.ranks:
-            self.automaton.add_word(token.decode("latin-1"), len(token))
-        self.widest = max(map(len, self.ranks))
+        for token, rank in self.ranks.items():
+            self.automaton.add_word(token.decode("latin-1"), rank)
+        self.automaton.make_automaton()
+        if not all(bytes([b]) in self.ranks for b in range(256)):
+            raise ValueError("the vocabulary lacks a byte")
+        self.size_of = list(map(len, self.bytes_of))
+        # The longest proper prefix that is a token; -1: none.
+        self.shorter = [next((self.ranks[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ranks), -1) for t in self.bytes_of]
         self.split = regex.compile(pattern).findall
-        self.shorter: dict[bytes, int] = {}
+        self.older: dict[str, bytes] = {}
         self.accepted: dict[int, bool] = {}
+        self.older_accepted: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = {}, {}
 
     def encode(self, text: str) -> bytes:
@@ -54,64 +62,69 @@ class Encoder(dict):
         return unpack(ids, self.bytes_of)
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        whole = self.ranks.get(raw)
-        ids = struct.pack("<I", whole) if whole is not None else struct.pack(f"<{len(found := self.tokens(raw))}I", *found)
+        ids = self.older.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            whole = self.ranks.get(raw)
+            found = self.tokens(raw) if whole is None else [whole]
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
     def tokens(self, raw: bytes) -> list[int]:
-        """Ids of a piece."""
-        text, end, ranks, accepted = raw.decode("latin-1"), len(raw), self.ranks, self.accepted
-        taken, refused, at, last, size = [], bytearray(end + 1), 0, None, 0
-        fresh = True  # no token has been tried at this byte
-        while at < end:
-            if fresh:
-                size = self.automaton.longest_prefix(text[at:at + self.widest])
-                token = raw[at:at + size]
-                if token not in ranks:
-                    size = self.prefix(token)
-            while size:
-                token = raw[at:at + size]
-                id_ = ranks[token]
-                if not refused[at + size]:
-                    if last is None:
+        """Ids of a piece: its longest matches if all neighbours accept each other, else mended from the first refused pair on."""
+        text, taken, accepted, last = raw.decode("latin-1"), [], self.accepted, -1
+        for _, token in self.automaton.iter_long(text):
+            if last >= 0:
+                known = accepted.get(last << 32 | token)
+                if not (self.accepts(last, token) if known is None else known):
+                    return self.back(text, taken, token)
+            taken.append(token)
+            last = token
+        return taken
+
+    def back(self, text: str, taken: list[int], token: int) -> list[int]:
+        """The search from the place after ``taken``, where ``token`` has just been refused."""
+        sizes, shorter, longest, end = self.size_of, self.shorter, self.automaton.iter_long, len(text)
+        refused = bytearray(end + 1)
+        at, token, last = sum(map(sizes.__getitem__, taken)), shorter[token], taken[-1]
+        while True:
+            while token >= 0:
+                to = at + sizes[token]
+                if not refused[to]:
+                    if last < 0:
                         break
-                    known = accepted.get(last << 32 | id_)
-                    if self.accepts(last, id_) if known is None else known:
+                    known = self.accepted.get(last << 32 | token)
+                    if self.accepts(last, token) if known is None else known:
                         break
-                size = self.prefix(token)
-            if size:
-                taken.append(id_)
-                at, last, fresh = at + size, id_, True
-            elif taken:
+                token = shorter[token]
+            if token >= 0:
+                taken.append(token)
+                if to == end:
+                    return taken
+                at, last = to, token
+                token = next(longest(text, at))[1]
+            else:  # nothing leads on from here
                 refused[at] = 1
-                token = self.bytes_of[taken.pop()]
-                at, last, size, fresh = at - len(token), taken[-1] if taken else None, self.prefix(token), False
-            else:
-                raise ValueError("the vocabulary lacks a byte of the text")
-        return taken
-
-    def prefix(self, token: bytes) -> int:
-        """Length of the longest token that is a proper prefix; 0 if there is none."""
-        size = self.shorter.get(token)
-        if size is None:
-            if len(self.shorter) >= KEPT_PIECES:
-                self.shorter.clear()
-            size = next((k for k in range(len(token) - 1, 0, -1) if token[:k] in self.ranks), 0)
-            self.shorter[token] = size
-        return size
+                token = taken.pop()
+                at, last, token = at - sizes[token], taken[-1] if taken else -1, shorter[token]
 
     def accepts(self, left: int, right: int) -> bool:
+        key = left << 32 | right
+        known = self.older_accepted.get(key)
+        if known is None:
+            known = not any(
+                rank < dies and rank <= ends
+                for x, born, dies in self.edge(left, 1) for y, starts, ends in self.edge(right, 0)
+                if born <= ends and starts < dies and (rank := self.ranks.get(x + y)) is not None)
         if len(self.accepted) >= KEPT_PIECES:
+            self.older_accepted = dict(self.accepted)
             self.accepted.clear()
-        known = self.accepted[left << 32 | right] = not any(
-            rank < dies and rank <= ends
-            for x, born, dies in self.edge(left, 1) for y, starts, ends in self.edge(right, 0)
-            if born <= ends and starts < dies and (rank := self.ranks.get(x + y)) is not None)
+        self.accepted[key] = known
         return known
 
     def edge(self, id_: int, side: int) -> list[tuple[bytes, int, float]]:
