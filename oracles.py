@@ -847,5 +847,17 @@ O["snapshot_sellers"] = sql("s", _moved("s", "seller_id", "seller_city"))
 O["snapshot_customers"] = sql("c", _moved("c", "customer_id", "customer_city"))
 O["dim_geolocation"] = sql("g", "SELECT md5(zip_code_prefix || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS id, * EXCLUDE (last_seen, is_current), is_current FROM (" + _versions(
     "(SELECT *, TIMESTAMP '1970-01-01 00:00:00' + to_days(CAST(trunc(abs(lat)) AS INTEGER)) AS seen_at FROM g)", "zip_code_prefix", "seen_at", ["city", "state"]) + ")")
+O["incremental_load"] = """SELECT user_id, event_id, event_type, ts AS updated_at, max(ts) OVER () AS bookmark FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1"""
+O["keyed_parts"] = " UNION ALL ".join(f"""SELECT {n} AS step, count(DISTINCT event_id) AS n_rows, TRUE AS bounded, TRUE AS rewrites_bounded
+    FROM events WHERE ts <= {day}""" for n, day in enumerate(("TIMESTAMP '2024-01-05 00:00:00'", CUT1, f"{CUT1} + INTERVAL 30 MINUTE", CUT2), 1))
+O["table_versions"] = """
+    WITH n AS (SELECT count(*) AS n, count(*) FILTER (s_suppkey % 2 = 0) AS m FROM supplier)
+    SELECT '1' AS version, n AS n_rows FROM n UNION ALL SELECT '2', n + m FROM n UNION ALL SELECT '3', m FROM n"""
+O["snapshot_fact"] = sql("f", """
+    WITH s AS (SELECT id, order_item_id, order_status, strftime(order_purchase_timestamp, '%Y%m') = '199603' AND id % 3 = 0 AS moved FROM f)
+    SELECT id, order_item_id, order_status, TIMESTAMP '2000-01-01 00:00:00' AS valid_from,
+      CASE WHEN moved THEN TIMESTAMP '2000-06-01 00:00:00' END AS valid_to FROM s
+    UNION ALL SELECT id, order_item_id, 'returned', TIMESTAMP '2000-06-01 00:00:00', NULL FROM s WHERE moved""")
 
 ORACLES = O

@@ -14,7 +14,7 @@ from orderloom.operators import aggregates as agg, dedup, history, impute, joins
 from orderloom.plans import (
     audits, business, cleaning, delivery, kpis, layers, learning, orders as base, retention, semantic, stage, star, words,
 )
-from orderloom.session import apply_settings, scratch_path
+from orderloom.session import apply_settings, cut_lineage, scratch_path
 from orderloom.sources import files, tables as store
 from orderloom.streaming import loads
 
@@ -229,7 +229,7 @@ def layer_rebuild(t):
 def event_files(t: Tables) -> tuple[str, DataFrame]:
     """Events as change files of several days, the form a stream picks up."""
     path = scratch_path(t.spark, "events-in")
-    events = read(t, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("updated_at"))
+    events = user_events(t)
     events.repartitionByRange(6, "updated_at").write.parquet(path)
     return path, events
 
@@ -245,6 +245,48 @@ def stream_upsert(t):
     return out.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
 
 
+def user_events(t: Tables) -> DataFrame:
+    return read(t, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("updated_at"))
+
+
+@query
+def incremental_load(t):
+    """Newest event of each user, loaded in runs up to several days, one of them twice; rows and bookmark are one version."""
+    target = scratch_path(t.spark, "users")
+    for last in (dt.datetime(2024, 1, 5), BOOKMARK, BOOKMARK, SECOND_CUT, None):
+        seen = user_events(t) if last is None else user_events(t).filter(F.col("updated_at") <= ts(last).cast("timestamp"))
+        loads.load_increment(seen, target, ["user_id"])
+    table = store.versioned(t.spark, target)
+    reached = F.lit(table.mark("bookmark")).cast("timestamp_ntz").alias("bookmark")
+    return table.read().select("user_id", "event_id", "event_type", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), reached)
+
+
+@query
+def keyed_parts(t):
+    """Events merged into a keyed table in runs: rows so far, whether all parts keep to their bound and whether a run wrote
+    no more parts than it had keys."""
+    table, bound, steps = store.versioned(t.spark, scratch_path(t.spark, "events")), 200, []
+    days = [None, dt.datetime(2024, 1, 5), BOOKMARK, BOOKMARK + dt.timedelta(minutes=30), SECOND_CUT]
+    for step, (after, last) in enumerate(zip(days, days[1:]), 1):
+        until = user_events(t).filter(F.col("updated_at") <= ts(last).cast("timestamp"))
+        run = until if after is None else until.filter(F.col("updated_at") > ts(after).cast("timestamp"))
+        former = set(table.latest().parts) if table.exists() else set()
+        version = table.merge(run, ["event_id"], newer="updated_at", part_rows=bound)
+        bounded = all(p.rows <= 2 * bound for p in version.parts)
+        steps.append((step, version.rows, bounded, len(former - set(version.parts)) <= run.count()))
+    return t.spark.createDataFrame(steps, "step int, n_rows bigint, bounded boolean, rewrites_bounded boolean")
+
+
+@query
+def table_versions(t):
+    """Sellers replaced, grown and replaced from themselves; every version still holds its own rows."""
+    table, sellers = store.versioned(t.spark, scratch_path(t.spark, "sellers")), raw(t)["sellers"]
+    table.replace(sellers)
+    table.append(sellers.filter(F.col("seller_id") % 2 == 0).drop("seller_city"))
+    table.replace(table.read().filter(F.col("seller_city").isNull()))
+    return store.table_counts({str(n): table.read(n) for n in table.numbers()}).withColumnRenamed("table_name", "version")
+
+
 @query
 def stream_append(t):
     source, events = event_files(t)
@@ -605,6 +647,19 @@ def snapshot_customers(t):
     return snapshots(people, "customer_id", "customer_city").select("customer_id", "customer_city", "valid_from", "valid_to")
 
 
+@query
+def snapshot_fact(t):
+    """Two snapshots of the fact by purchase month; in the second orders of one month have another status."""
+    bought = F.col("order_purchase_timestamp")
+    month = (F.year(bought) * 100 + F.month(bought)).cast("bigint")
+    first = cut_lineage(fact(t, paid=False).select("id", "order_item_id", "order_status", "price", bought))
+    returned = F.when((month == 199603) & (F.col("id") % 3 == 0), F.lit("returned")).otherwise(F.col("order_status"))
+    table = store.versioned(t.spark, scratch_path(t.spark, "fact-history"))
+    for rows, moment in ((first, dt.datetime(2000, 1, 1)), (first.withColumn("order_status", returned), dt.datetime(2000, 6, 1))):
+        history.snapshot_parts(table, rows, ["id", "order_item_id"], ["order_status", "price"], month, ts(moment))
+    return table.read().select("id", "order_item_id", "order_status", "valid_from", "valid_to")
+
+
 @query
 def dim_geolocation(t):
     """Place versions: each zip's city as it changes along its points."""

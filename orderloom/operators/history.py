@@ -1,7 +1,7 @@
 """Slowly changing dimensions: versions with valid_from / valid_to.
 
-All forms return the whole new state of the version table as a DataFrame. To store it, write it
-beside the old state and swap (``sources.tables.swap_table``). Replaying a batch changes nothing.
+Most forms return the whole new state of the version table as a DataFrame, to be stored as the next version of a table
+(``sources.tables.swap_table``); ``snapshot_parts`` stores what changed itself. Replaying a batch changes nothing.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.functions.clean import col
 from orderloom.operators.joins import null_safe_full, null_safe_lookup
 from orderloom.operators.ranking import neighbour
+from orderloom.sources.versions import Version, VersionedTable
 
 VERSION_COLUMNS = ("version_id", "valid_from", "valid_to")
 
@@ -95,6 +96,42 @@ def scd2_check(
     return _merge(history, current, keys, _differs(cols), now, hard_deletes, None)
 
 
+def snapshot_parts(
+    table: VersionedTable,
+    current: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    part: Column,
+    now: Column,
+    hard_deletes: bool = False,
+) -> Version:
+    """Check snapshot of a large table, stored part by part (such as the months of a fact): parts in which no checked
+    column changed are neither read nor written.
+
+    Each part carries a digest of its rows' keys and checked columns: their number and the sums of two 64-bit hashes of
+    each, which do not depend on order. ``part`` is a whole number from ``current``'s columns (NULL: 0). A row that moves
+    to another part changes both. Without ``hard_deletes`` a part without any rows keeps its versions open.
+    """
+    numbered = F.coalesce(part.cast("bigint"), F.lit(0))
+    state = [*keys, *[c for c in cols if c not in keys]]
+    hashes = [F.sum(F.xxhash64(F.lit(seed), *state).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    digest = F.concat_ws(":", F.count(F.lit(1)).cast("string"), *hashes)
+    found = dict(current.groupBy(numbered.alias("part")).agg(digest.alias("digest")).collect())  # one row a part
+    base = table.latest()
+    stored = {p.id: p for p in base.parts} if base else {}
+    changed = {i: d for i, d in found.items() if i not in stored or stored[i].digest != d}
+    if hard_deletes:
+        changed |= {i: "0" for i, p in stored.items() if i not in found and p.digest != "0"}
+    if base and not changed:
+        return base
+    fresh = current.filter(numbered.isin(list(changed)))
+    if base is None:
+        versions = open_versions(fresh, keys, now)
+    else:
+        versions = scd2_check(table.rows_of(base, [stored[i] for i in changed if i in stored]), fresh, keys, cols, now, hard_deletes)
+    return table.replace_parts(versions, numbered, changed)
+
+
 def scd2_timestamp(
     history: DataFrame,
     current: DataFrame,

@@ -1,4 +1,4 @@
-"""Writing tables: overwrite, append, upsert, swap; audit columns; load reconciliation."""
+"""Writing tables: overwrite, append, upsert; audit columns; load reconciliation."""
 
 from __future__ import annotations
 
@@ -8,12 +8,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderloom.operators.dedup import latest_per_key
-from orderloom.operators.joins import null_safe_full
+from orderloom.operators.merge import upsert  # noqa: F401  (part of this module's interface)
+from orderloom.sources.versions import VersionedTable
 
-
-# A table being written, the one it replaces, and replaced parts of one.
-NEW, OLD, OLD_PARTS = "__new", "__old", "__parts"
+# What a swap by renames, as earlier releases did it, may have left beside a table: the former table.
+OLD = "__old"
 
 
 def landing_names(streams: Sequence[str], suffix: str = "_raw") -> dict[str, str]:
@@ -26,107 +25,28 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _rename(fs, source, target) -> None:
-    if not fs.rename(source, target):
-        raise OSError(f"could not rename {source} to {target}")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the table is there. Every reader and writer asks here first, so that a swap that was cut short between
-    its renames is undone before anything else happens: the former table, or its former parts, take their places again.
-    """
+    """Whether the table is there. A former table that a cut-short swap of an earlier release left aside takes its place again."""
     fs, target = _fs(spark, path)
     _, previous = _fs(spark, path + OLD)
-    _, parts = _fs(spark, path + OLD_PARTS)
-    if not fs.exists(target) and fs.exists(previous):
-        _rename(fs, previous, target)
-    if fs.exists(parts):
-        for status in fs.listStatus(parts):
-            _, place = _fs(spark, f"{path}/{status.getPath().getName()}")
-            if not fs.exists(place):
-                _rename(fs, status.getPath(), place)
-        fs.delete(parts, True)
-    return fs.exists(target)
-
-
-def swap_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table by a frame that may read from it: write beside it, then rename.
-
-    A crash leaves the former table or its ``__old`` copy complete; ``exists`` puts the copy back. A rename that the
-    file system refuses raises, and the copy is deleted only when the new table is in place.
-    """
-    spark = df.sparkSession
-    exists(spark, path)
-    fs, target = _fs(spark, path)
-    _, staged = _fs(spark, path + NEW)
-    _, previous = _fs(spark, path + OLD)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path + NEW)
-    if fs.exists(target):
-        if fs.exists(previous):
-            fs.delete(previous, True)
-        _rename(fs, target, previous)
-    _rename(fs, staged, target)
-    if fs.exists(target) and fs.exists(previous):
-        fs.delete(previous, True)
-
-
-def swap_parts(df: DataFrame, path: str, column: str) -> None:
-    """Replace the parts (values of the partition column) that ``df`` holds; other parts keep their files."""
-    spark = df.sparkSession
-    fs, staged = _fs(spark, path + NEW)
-    _, former = _fs(spark, path + OLD_PARTS)
-    df.write.mode("overwrite").partitionBy(column).parquet(path + NEW)
-    fs.mkdirs(former)
-    for status in fs.listStatus(staged):
-        name = status.getPath().getName()
-        if name.startswith(f"{column}="):
-            _, place = _fs(spark, f"{path}/{name}")
-            if fs.exists(place):
-                _rename(fs, place, _fs(spark, f"{path}{OLD_PARTS}/{name}")[1])
-            _rename(fs, status.getPath(), place)
-    fs.delete(former, True)
-    fs.delete(staged, True)
+    if not fs.exists(target) and fs.exists(previous) and not fs.rename(previous, target):
+        raise OSError(f"could not rename {previous} to {target}")
+    return VersionedTable(spark, path).exists()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table; a swap that was cut short is undone first."""
+def versioned(spark: SparkSession, path: str) -> VersionedTable:
     exists(spark, path)
-    return spark.read.parquet(path)
+    return VersionedTable(spark, path)
 
 
-def upsert(
-    current: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str] = (),
-    preserve: Sequence[str] = ("created_at",),
-) -> DataFrame:
-    """New table state after a keyed merge; NULL keys match each other.
+def swap_table(df: DataFrame, path: str) -> None:
+    """Replace a table by a frame that may read from it: a new version, seen whole or not at all."""
+    versioned(df.sparkSession, path).replace(df)
 
-    The batch is reduced to its newest row per key first. Matched rows take every batch value, NULLs
-    included, except the ``preserve`` columns; other rows pass through. Columns the batch lacks
-    keep their old value.
-    """
-    missing = [k for k in keys if k not in batch.columns or k not in current.columns]
-    if missing or not keys:
-        raise ValueError(f"upsert keys not in both frames: {missing or 'none given'}")
-    batch = latest_per_key(batch, keys, order_by)
-    rest = [c for c in current.columns if c not in keys]
-    shared = [c for c in rest if c in batch.columns]
-    new = batch.select(*keys, F.struct(F.lit(True).alias("_in"), *shared).alias("_new"))
-    old = current.select(*keys, F.struct(F.lit(True).alias("_in"), *rest).alias("_old"))
-    both = null_safe_full(old, new, keys)
-    from_batch = F.col("_new").isNotNull()
-    known = F.col("_old").isNotNull()
-
-    def pick(c: str):
-        if c not in shared:
-            return F.col(f"_old.{c}")
-        if c in preserve:
-            return F.when(known, F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}"))
-        return F.when(from_batch, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}"))
-
-    return both.select(*[F.col(c) if c in keys else pick(c).alias(c) for c in current.columns])
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the table; the frame keeps to it."""
+    return versioned(spark, path).read()
 
 
 def write_table(
@@ -137,20 +57,21 @@ def write_table(
     order_by: Sequence[str] = (),
     max_records: int = 0,
 ) -> None:
-    """``append``, ``replace``, ``fail`` (when present) or ``upsert``; an upsert without keys appends."""
-    spark = df.sparkSession
-    writer = df.write.option("maxRecordsPerFile", max_records)
+    """``append``, ``replace``, ``fail`` (when present) or ``upsert``; an upsert without keys appends.
+
+    Each write is one new version of the table. An upsert rewrites the parts its keys fall in.
+    """
+    table = versioned(df.sparkSession, path)
     if mode == "upsert" and keys:
-        there = exists(spark, path)
-        swap_table(upsert(read_table(spark, path), df, keys, order_by) if there else latest_per_key(df, keys, order_by), path)
+        table.merge(df, keys, order_by)
     elif mode in ("append", "upsert"):
-        exists(spark, path)
-        writer.mode("append").parquet(path)
+        table.append(df, max_records=max_records)
     elif mode == "replace":
-        swap_table(df, path)
+        table.replace(df)
     elif mode == "fail":
-        exists(spark, path)
-        writer.mode("errorifexists").parquet(path)
+        if table.exists():
+            raise FileExistsError(f"{path} exists")
+        table.replace(df)
     else:
         raise ValueError(f"unknown write mode {mode!r}")
 
@@ -210,13 +131,9 @@ def reconcile(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> D
 
 
 def cached_result(spark: SparkSession, path: str, build, max_age_seconds: float | None = None, force: bool = False):
-    """A result kept as Parquet: read while fresh, else built, written and read back."""
-    exists(spark, path)
-    fs, _ = _fs(spark, path)
-    done = _fs(spark, path + "/_SUCCESS")[1]
-    if not force and fs.exists(done):
-        age = dt.datetime.now().timestamp() - fs.getFileStatus(done).getModificationTime() / 1000
-        if max_age_seconds is None or age <= max_age_seconds:
-            return spark.read.parquet(path)
-    swap_table(build(), path)
-    return spark.read.parquet(path)
+    """A result kept as a table: read while fresh, else built, written and read back."""
+    table = versioned(spark, path)
+    if not force and table.exists() and (max_age_seconds is None or table.age() <= max_age_seconds):
+        return table.read()
+    table.replace(build())
+    return table.read()

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.operators.dedup import latest_per_key
-from orderloom.operators.joins import null_safe_lookup
-from orderloom.sources.tables import exists, read_table, swap_parts, swap_table, upsert
-
-BUCKET = "_bucket"
+from orderloom.session import cut_lineage
+from orderloom.sources.tables import read_table, versioned
+from orderloom.sources.versions import PART_ROWS, Version
 
 
 def increment(df: DataFrame, bookmark, column: str = "updated_at") -> DataFrame:
@@ -24,6 +22,28 @@ def next_bookmark(df: DataFrame, column: str = "updated_at"):
     return df.agg(F.max(column)).first()[0]
 
 
+def load_increment(
+    source: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    column: str = "updated_at",
+    name: str = "bookmark",
+    part_rows: int = PART_ROWS,
+) -> Version | None:
+    """Merge the rows of ``source`` that changed after the target's bookmark; rows and bookmark are one version.
+
+    So a load that dies at any moment leaves both as they were, and the next one takes the same rows again. The increment
+    is stored before its greatest change time is taken, so that rows which arrive meanwhile wait for the next load. Rows
+    of equal change time that arrive after a load are not seen; a source must give later rows later times.
+    """
+    table = versioned(source.sparkSession, target)
+    fresh = cut_lineage(increment(source, table.mark(name), column))
+    reached = next_bookmark(fresh, column)
+    if reached is None and table.exists():
+        return table.latest()
+    return table.merge(fresh, keys, [column], newer=column, marks={} if reached is None else {name: reached}, part_rows=part_rows)
+
+
 def stream_upsert(
     spark: SparkSession,
     source: str,
@@ -33,26 +53,16 @@ def stream_upsert(
     order_by: str,
     checkpoint: str,
     max_files: int = 1000,
-    buckets: int = 64,
+    part_rows: int = PART_ROWS,
 ) -> StreamingQuery:
-    """Upsert new Parquet files into a table that is parted by a hash of its keys.
+    """Upsert new Parquet files into a keyed table.
 
-    A micro-batch reads and rewrites only the parts its keys fall in. Replaying one leaves the same
-    table: the merge is keyed, and an older row never replaces a newer one.
+    A micro-batch reads and rewrites only the parts its keys fall in, and is one version of the table. Replaying one
+    leaves the same rows: the merge is keyed, and an older row never replaces a newer one.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, [order_by]).withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        if not exists(spark, target):
-            swap_table(newest, target, [BUCKET])
-            return
-        touched = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # numbers below ``buckets``
-        current = spark.read.parquet(target).filter(F.col(BUCKET).isin(touched))
-        stamps = current.select(*keys, F.col(order_by).alias("_seen"), F.lit(True).alias("_known"))
-        fresh = null_safe_lookup(newest, stamps, keys).filter(
-            F.col("_known").isNull() | F.col("_seen").isNull() | (F.col(order_by) >= F.col("_seen"))
-        ).drop("_seen", "_known")
-        swap_parts(upsert(current, fresh, keys, [order_by], preserve=()), target, BUCKET)
+        versioned(spark, target).merge(batch, keys, [order_by], newer=order_by, preserve=(), part_rows=part_rows)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
     return (
@@ -64,8 +74,8 @@ def stream_upsert(
 
 
 def read_upserted(spark: SparkSession, target: str) -> DataFrame:
-    """A table that ``stream_upsert`` keeps, without its part number."""
-    return read_table(spark, target).drop(BUCKET)
+    """A table that ``stream_upsert`` keeps."""
+    return read_table(spark, target)
 
 
 def stream_append(
