@@ -51,7 +51,12 @@ def ts(moment: dt.datetime):
 
 
 def fact(t: Tables, paid: bool = True) -> DataFrame:
-    return star.fact_orders(t["orders"], t["order_items"], t["order_payments"] if paid else None, ts(AS_OF))
+    return star.fact_orders(
+        t["orders"], t["order_items"], t["order_payments"] if paid else None, ts(AS_OF), counted=raw(t)["order_items"])
+
+
+def category_sales(t: Tables) -> DataFrame:
+    return base.category_sales(t, raw(t)["order_items"])
 
 
 def categories(t: Tables) -> DataFrame:
@@ -471,7 +476,7 @@ def fact_orders(t):
 @query
 def fact_orders_summed(t):
     """The fact with payment totals instead of the last payment."""
-    df = star.fact_orders(t["orders"], t["order_items"], t["order_payments"], ts(AS_OF), payment_policy="sum")
+    df = star.fact_orders(t["orders"], t["order_items"], t["order_payments"], ts(AS_OF), payment_policy="sum", counted=raw(t)["order_items"])
     per_order = df.select("id", "order_status", "payment_value").distinct()
     return per_order.groupBy("order_status").agg(
         F.count(F.lit(1)).alias("orders"), clean.total("payment_value").alias("paid")
@@ -584,7 +589,7 @@ def analysis_products(t):
 @query
 def denormalised(t):
     reviews = t["order_reviews"].select("order_id", "review_id", "review_score")
-    df = star.denormalised(t["orders"], t["order_items"], t["order_payments"], reviews, t["customers"], t["products"])
+    df = star.denormalised(t["orders"], t["order_items"], t["order_payments"], reviews, t["customers"], t["products"], raw(t))
     return df.groupBy("order_status", "customer_state").agg(
         F.count(F.lit(1)).alias("rows"), F.count("product_id").alias("items"), F.count("review_id").alias("reviews"),
         clean.total("price").alias("price"),
@@ -821,7 +826,7 @@ def enriched_orders(t):
 
 @query
 def category_month(t):
-    return base.category_sales(t)
+    return category_sales(t)
 
 
 @query
@@ -930,17 +935,17 @@ def score_trend(t):
 
 @query
 def top_categories(t):
-    return kpis.top_categories(base.category_sales(t), 3)
+    return kpis.top_categories(category_sales(t), 3)
 
 
 @query
 def bottom_categories(t):
-    return kpis.bottom_categories(base.category_sales(t), 3)
+    return kpis.bottom_categories(category_sales(t), 3)
 
 
 @query
 def category_state_matrix(t):
-    return kpis.category_state_matrix(base.category_sales(t))
+    return kpis.category_state_matrix(category_sales(t))
 
 
 @query
@@ -1026,7 +1031,7 @@ def chart_cohort_heatmap(t):
 
 @query
 def chart_top_categories(t):
-    return semantic.chart("top_categories", {semantic.CATEGORIES: base.category_sales(t)})
+    return semantic.chart("top_categories", {semantic.CATEGORIES: category_sales(t)})
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | dict[str, str]) -> DataFrame:
@@ -30,16 +30,49 @@ def safe_lookup(
     return lookup(fact, to_one(many), on)
 
 
-def keep_all(heads: DataFrame, lines: DataFrame, on: str) -> DataFrame:
-    """Left join of heads (one row per key) to lines, safe for a key that owns most lines.
+# Share of the rows in which hot keys are counted, how often one must be seen there, and into how many pieces a
+# shuffle partition's share is cut, so that pieces that meet in a partition even out.
+COUNTED, SEEN, PIECES = 0.01, 100, 8
 
-    A skewed right side of an outer join cannot be split at run time, both sides of an inner join
-    can. So heads with lines come from an inner join, the others from an anti-join against the
-    distinct line keys, which are reduced before they are shuffled.
+
+def hot_keys(rows: DataFrame, on: str) -> dict:
+    """Keys that own more than a shuffle partition's share of the rows, by a counted sample, each with the number of
+    pieces to deal it in. Fewer keys than there are shuffle partitions can be that frequent.
+
+    One job over the key column; a NULL key is never hot, as it joins nothing.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.select(on).filter(F.col(on).isNotNull()).sample(COUNTED, seed=1).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    shares = F.col("_n") * partitions / F.col("_all")
+    seen = with_scalar(counts.filter(F.col("_n") >= SEEN), counts.agg(F.sum("_n").alias("_all")))
+    return dict(seen.filter(shares > 1).select(on, F.ceil(shares * PIECES).cast("int")).collect())
+
+
+def keep_all(heads: DataFrame, lines: DataFrame, on: str, counted: DataFrame | None = None) -> DataFrame:
+    """Left join of heads to lines, safe for a key that owns most lines; reads either side once.
+
+    A skewed right side of an outer join cannot be split at run time. So hot keys are counted first, their lines are dealt
+    over salts by a hash of their columns, and their heads are copied for each salt. A copy that no line was dealt to
+    goes, as another copy has some: only keys that do occur in ``lines`` are salted. ``counted`` is a frame that shows
+    the same hot keys at less cost, such as the raw rows that ``lines`` are made from.
     """
-    met = heads.join(lines, on)
-    alone = heads.join(lines.select(on).distinct(), on, "left_anti")
-    return met.unionByName(alone, allowMissingColumns=True)
+    hot = hot_keys(lines if counted is None else counted, on)
+    if hot:
+        occurring = lines.filter(F.col(on).isin(list(hot))).select(on).distinct().collect()
+        hot = {key: hot[key] for key, in occurring if hot[key] > 1}
+    rest = [c for c in lines.columns if c != on]
+    if not hot:
+        return heads.join(lines, on, "left").select(on, *[c for c in heads.columns if c != on], *rest)
+    kind = heads.schema[on].dataType
+    known = T.StructType([T.StructField(on, kind), T.StructField("_salts", T.IntegerType())])
+    dealt_over = F.broadcast(heads.sparkSession.createDataFrame(list(hot.items()), known))
+    hashed = [f.name for f in lines.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = lines.join(dealt_over, on, "left").select(
+        *lines.columns, F.pmod(F.xxhash64(*hashed), salts).cast("int").alias("_salt"), F.lit(True).alias("_met"))
+    copied = heads.join(dealt_over, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    met = copied.join(dealt, [on, "_salt"], "left").filter(F.col("_met") | F.col("_salts").isNull())
+    return met.select(on, *[c for c in heads.columns if c != on], *rest)
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

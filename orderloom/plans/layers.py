@@ -56,7 +56,7 @@ def run(
         swap_table(state, history)
     if "gold" in layers:
         gold = {
-            "fact_orders": star.fact_orders(tables["orders"], tables["order_items"], tables["order_payments"], now),
+            "fact_orders": star.fact_orders(tables["orders"], tables["order_items"], tables["order_payments"], now, counted=bronze["order_items"]),
             "dim_customers": star.dim_customers(tables["customers"]),
             "dim_sellers": star.dim_sellers(tables["sellers"], tables["geolocation"]),
             "dim_date": star.dim_date(spark, tables["orders"]),

@@ -138,8 +138,8 @@ def state_list(df: DataFrame) -> DataFrame:
     return df.select("customer_state").filter(F.col("customer_state").isNotNull()).distinct().orderBy("customer_state")
 
 
-def category_sales(tables) -> DataFrame:
-    """Item revenue by month, customer state and English category."""
+def category_sales(tables, counted: DataFrame | None = None) -> DataFrame:
+    """Item revenue by month, customer state and English category; for ``counted`` see ``joins.keep_all``."""
     fact = clean_items(tables["order_items"]).select("order_id", "product_id", "price")
     orders = clean_orders(tables["orders"]).filter(F.col("order_purchase_timestamp").isNotNull()).select(
         "order_id", "customer_id", month_start("order_purchase_timestamp").alias("order_month")
@@ -149,7 +149,7 @@ def category_sales(tables) -> DataFrame:
         tables["products"].select("product_id", "product_category_name"), english, "product_category_name"
     ).select("product_id", "product_category_name_english")
     heads = lookup(orders, tables["customers"].select("customer_id", "customer_state"), "customer_id")
-    df = lookup(keep_all(heads, fact, "order_id"), products, "product_id")
+    df = lookup(keep_all(heads, fact, "order_id", counted), products, "product_id")
     return df.groupBy(
         "order_month", "customer_state",
         F.coalesce("product_category_name_english", F.lit("unknown")).alias("product_category"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.functions.clean import clamp_null, require, total
@@ -66,9 +68,12 @@ def fact_orders(
     as_of: Column,
     payment_policy: str = "last",
     high_value: float = HIGH_VALUE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order item; orders without items stay once with a NULL item.
 
+    Orders that own a great share of the items are looked for in ``counted`` (see ``joins.keep_all``), best the raw items.
+
     Payments are one row per order and meet the order first, so nothing fans out and the only join
     that sees item skew is the last one. Without ``payments`` their columns and flag are left out: an
     unused left join costs a shuffle that the optimizer cannot drop.
@@ -82,10 +87,10 @@ def fact_orders(
     )
     flags = quality_flags(as_of, high_value)
     if payments is None:
-        joined = keep_all(o, i, "order_id")
+        joined = keep_all(o, i, "order_id", counted)
         del flags["has_missing_payment_info"]
     else:
-        joined = keep_all(lookup(o, order_payments(payments, payment_policy), "order_id"), i, "order_id")
+        joined = keep_all(lookup(o, order_payments(payments, payment_policy), "order_id"), i, "order_id", counted)
         joined = joined.withColumn("payment_type", F.lower(F.coalesce("payment_type", F.lit("not_defined"))))
     return joined.withColumns(flags).withColumnRenamed("order_id", "id")
 
@@ -275,15 +280,15 @@ def analysis_products(
 
 
 def denormalised(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, customers: DataFrame, products: DataFrame
+    orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame, customers: DataFrame, products: DataFrame,
+    counted: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Orders with every item, payment and review side by side: the fan-out is wanted here."""
-    return (
-        orders.join(items, "order_id", "left")
-        .join(payments, "order_id", "left")
-        .join(reviews, "order_id", "left")
-        .join(customers, "customer_id", "left")
-        .join(products, "product_id", "left")
-    )
-
+    """Orders with every item, payment and review side by side: the fan-out is wanted here.
 
+    ``counted`` holds the raw tables, if they are at hand (see ``joins.keep_all``). Customers meet the orders while there is one row of each; the items, which an order may have most of, come last but for
+    the products, whose join the optimizer can split.
+    """
+    df = lookup(orders, customers, "customer_id")
+    for lines, name in ((payments, "order_payments"), (reviews, "order_reviews"), (items, "order_items")):
+        df = keep_all(df, lines, "order_id", counted[name] if counted else None)
+    return lookup(df, products, "product_id")

@@ -101,6 +101,41 @@ def test_safe_lookup_keeps_the_row_count(spark):
     assert rows(out) == [(1, 12), (1, 12), (2, None)]
 
 
+def owned(spark, n=60_000):
+    """Heads 0-199 twice over, lines of which head 7 owns half; heads 150-199 and key 500 have no partner."""
+    heads = spark.range(200).select("id", F.col("id").alias("h")).union(spark.range(3).select("id", F.lit(-1).cast("long").alias("h")))
+    lines = spark.range(n).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") == 1, 500).otherwise(F.col("id") % 150).alias("id"), F.col("id").alias("l"))
+    return heads, lines.union(spark.createDataFrame([(None, -1)], lines.schema)).repartition(6)
+
+
+@pytest.mark.parametrize("hot", [{}, {7: 3, 8: 400}, {7: 60_000, 160: 9, 500: 2, 0: 1}])
+def test_keep_all_is_a_left_join(spark, monkeypatch, hot):
+    """With any choice of hot keys: some without lines, some with fewer lines than salts."""
+    heads, lines = owned(spark, 6_000)
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: hot)
+    out = joins.keep_all(heads, lines, "id")
+    want = heads.join(lines, "id", "left")
+    assert out.columns == want.columns
+    assert out.exceptAll(want).count() == want.exceptAll(out).count() == 0
+
+
+def test_hot_keys_are_dealt_evenly(spark):
+    heads, lines = owned(spark)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert joins.hot_keys(lines, "id").keys() == {7}
+        joined = joins.keep_all(heads, lines, "id")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        plain = sorted(r["count"] for r in heads.join(lines, "id", "left").groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == sum(plain) and sizes[-1] <= 3 * sizes[len(sizes) // 2] < plain[-1] / 3
+
+
 def test_histogram_clips_and_pivot_fills(spark):
     df = spark.createDataFrame([(0,), (4,), (5,), (99,), (None,)], "v int")
     assert rows(agg.histogram(df, "v", 5, cap=10)) == [(0, 0.0, 2), (1, 5.0, 1), (2, 10.0, 1)]
