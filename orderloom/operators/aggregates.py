@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderloom.functions.clean import col, mean, total
 from orderloom.operators.joins import share_of_total
-from orderloom.operators.ranking import exact_quantiles
+from orderloom.operators.ranking import column_quantiles, group_quantiles
 
 
 def mode_per_group(df: DataFrame, keys: Sequence[str], column: str, out: str | None = None) -> DataFrame:
@@ -140,10 +140,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """column_name, p25, p50, p75: exact interpolated quartiles of each column."""
-    parts = [
-        exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(F.lit(c).alias("column_name"), "p25", "p50", "p75") for c in columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return column_quantiles(df, columns, [0.25, 0.5, 0.75])
 
 
 def first_present(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -166,13 +163,8 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def weighted_median(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
-    """Exact median per group of a whole-number measure, from its frequency table.
-
-    The aggregation buffer holds distinct values only (days of lead time: a few hundred).
-    """
-    freq = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    median = F.percentile(F.col(column), F.lit(0.5), F.col("_n")).alias(out)
-    return freq.groupBy(*keys).agg(median) if keys else freq.agg(median)
+    """Exact median per group, from its frequency table."""
+    return group_quantiles(df, keys, column, [0.5], [out])
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderloom.operators.aggregates import mode_per_group
 from orderloom.operators.joins import with_scalar
-from orderloom.operators.ranking import exact_quantiles
+from orderloom.operators.ranking import column_quantiles
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    for name in columns:
-        one = exact_quantiles(df, name, [0.5], ["_median"])
-        filled = F.coalesce(F.col(name).cast("double"), F.col("_median"))
-        df = with_scalar(df, one).withColumn(name, filled).drop("_median")
-    return df
+    """The medians of all columns come from one frequency table; a column without values stays NULL."""
+    if not columns:
+        return df
+    medians = column_quantiles(df, columns, [0.5])
+    one = medians.agg(*[F.max(F.when(F.col("column_name") == c, F.col("p50"))).alias(f"_median_{c}") for c in columns])
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")) for c in columns}
+    return with_scalar(df, one).withColumns(filled).drop(*[f"_median_{c}" for c in columns])
 
 
 def fill_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

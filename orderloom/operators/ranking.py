@@ -2,8 +2,10 @@
 
 * ``global_rank``/``running_total`` range-partition the rows, number them inside each partition
   and add the sizes of the partitions before it. What is broadcast is one row per partition.
-* ``sequence_in_group``/``neighbour`` use windows per slice of a group, for example its days, and carry
-  one row of each slice along. They run no job of their own.
+* ``sequence_in_group``/``neighbour`` cut hot groups into slices at bounds taken from their rows, use windows per slice and
+  carry one row of each slice along. They run no job of their own; without hot groups Spark finds the bounds empty at run time
+  and only the windows are left.
+* ``group_quantiles`` counts values, range-partitions the counts by group and value and picks the places asked for.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderloom.operators.joins import null_safe_lookup
+from orderloom.operators.joins import SEEN, null_safe_lookup, with_scalar
 from orderloom.session import cut_lineage
 
-# Slices of a group: so many numbers, or texts that share so many first characters.
-SLICE_NUMBERS, SLICE_CHARS = 1_000_000, 4
+# One row of so many is counted to find hot groups (how often one must be seen: ``joins.SEEN``). A hot group is cut into so many
+# slices for each shuffle partition's share it owns, and each bound is picked from so many of its rows.
+ONE_OF, SLICES, PICKED_FROM = 100, 2, 16
 
 
 def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -68,35 +71,47 @@ def running_totals(df: DataFrame, order: Sequence[Column], measures: dict[str, s
     )
 
 
-def _slice(df: DataFrame, name: str) -> Column:
-    """A coarser value that grows with the column: the day of a moment, a block of numbers, the start of a text."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(name)
-    if isinstance(kind, T.DateType):
-        return F.trunc(name, "month")
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(name) / SLICE_NUMBERS)
-    return F.substring(F.col(name).cast("string"), 1, SLICE_CHARS)
+def _bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Bounds (``_bounds``: rising ``order`` structs) of the slices of hot groups; groups that are not hot have no row.
 
-
-def _sliced(df: DataFrame, keys: Sequence[str], first: str) -> DataFrame:
-    return df.withColumn("_slice", _slice(df, first))
+    Rows are counted and picked by their hash, so every evaluation finds the same ones. Fewer groups than there are shuffle
+    partitions can own more than a partition's share, and they share ``SLICES`` bounds for each partition.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*order).alias("_place")
+    counted = df.select(*keys, place, F.xxhash64(*keys, *order).alias("_hash")).filter(F.pmod("_hash", F.lit(ONE_OF)) == 0)
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    of_all = F.col("_n") * partitions / F.col("_all")
+    hot = with_scalar(counts.filter(F.col("_n") >= SEEN), counts.agg(F.sum("_n").alias("_all"))).filter(of_all > 1).select(
+        *keys, "_n", F.ceil(of_all * SLICES).alias("_slices"))
+    met = null_safe_lookup(counted, F.broadcast(hot), keys).filter(F.col("_n").isNotNull())
+    picked = met.filter(F.pmod(F.xxhash64("_hash"), F.col("_n")) < F.col("_slices") * PICKED_FROM)
+    places = F.sort_array(F.collect_set("_place"))
+    return picked.groupBy(*keys).agg(F.filter(places, lambda _, i: i % PICKED_FROM == PICKED_FROM - 1).alias("_bounds"))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the slice of each row (0 in groups that are not hot), and the rows of hot groups alone."""
+    place = F.struct(*order)
+    met = null_safe_lookup(df, F.broadcast(_bounds(df, keys, order)), keys)
+    cut = F.size(F.filter("_bounds", lambda bound: bound <= place))
+    sliced = met.withColumn("_slice", F.when(F.col("_bounds").isNull(), 0).otherwise(cut))
+    return sliced.drop("_bounds"), sliced.filter(F.col("_bounds").isNotNull()).drop("_bounds")
 
 
 def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq") -> DataFrame:
     """1-based position of each row inside its group, ascending by the columns ``order``, NULLs first.
 
-    Rows are numbered inside (group, slice of the first column); the sizes of the slices before it are added.
-    Only the sizes of a group's slices meet in one task, so a group that holds most rows is spread.
+    Rows are numbered inside (group, slice); the sizes of the slices before it are added. So the rows of a hot group are
+    spread whatever they look like, as long as they differ in ``order``.
     """
-    sliced = _sliced(df, keys, order[0])
+    sliced, hot = _sliced(df, keys, order)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    placed = null_safe_lookup(sliced.withColumn("_place", F.row_number().over(inside)), starts, [*keys, "_slice"])
-    return placed.withColumn(out, (F.col("_start") + F.col("_place")).cast("int")).select(*df.columns, out)
+    sizes = hot.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select(*keys, "_slice", F.sum("_n").over(earlier).alias("_start"))  # one row a slice
+    placed = null_safe_lookup(sliced.withColumn("_at", F.row_number().over(inside)), F.broadcast(starts), [*keys, "_slice"])
+    return placed.withColumn(out, (F.coalesce("_start", F.lit(0)) + F.col("_at")).cast("int")).select(*df.columns, out)
 
 
 def neighbour(
@@ -104,17 +119,17 @@ def neighbour(
 ) -> DataFrame:
     """Adds a struct of ``values`` of the row before (``step`` -1) or after (1) in the group, NULL where there is none.
 
-    Ascending by the columns ``order``, NULLs first. The row at the edge of a slice of the first column takes the
-    nearest edge row of the group's other slices, so no task sees a whole group.
+    Ascending by the columns ``order``, NULLs first. The row at the edge of a slice takes the nearest edge row of the group's
+    other slices, so no task sees a whole hot group.
     """
-    sliced = _sliced(df, keys, order[0])
+    sliced, hot = _sliced(df, keys, order)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     near = (F.lag if step < 0 else F.lead)(F.struct(*values)).over(inside)
     edge = (F.max if step < 0 else F.min)(F.struct(F.struct(*order).alias("o"), F.struct(*values).alias("v")))
-    slices = sliced.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
+    slices = hot.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
     along = Window.partitionBy(*keys).orderBy("_slice")
-    carried = slices.withColumn("_carried", (F.lag if step < 0 else F.lead)("_edge.v").over(along)).drop("_edge")
-    met = null_safe_lookup(sliced.withColumn(out, near), carried, [*keys, "_slice"])
+    carried = slices.select(*keys, "_slice", (F.lag if step < 0 else F.lead)("_edge.v").over(along).alias("_carried"))
+    met = null_safe_lookup(sliced.withColumn(out, near), F.broadcast(carried), [*keys, "_slice"])
     return met.withColumn(out, F.coalesce(out, "_carried")).select(*df.columns, out)
 
 
@@ -166,32 +181,50 @@ def quantile_bucket(
 def exact_quantiles(
     df: DataFrame, column: str, probs: Sequence[float], names: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row with exact linearly interpolated quantiles.
+    """One row with exact linearly interpolated quantiles."""
+    return group_quantiles(df, [], column, probs, names)
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """column_name, p25, ...: quantiles of many columns from one frequency table; NULL for a column without values."""
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]))
+    found = group_quantiles(df.select(values.alias("_c")).select("_c.*"), ["column_name"], "value", probs)
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return named.join(F.broadcast(found), "column_name", "left")  # one row a column
+
+
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float], names: Sequence[str] | None = None
+) -> DataFrame:
+    """Exact linearly interpolated quantiles of each group, NULLs left out; without keys one row for all rows.
 
-    Values are counted first, so ties cost one row; the counts are then accumulated in range
-    order and only the rows that hold a wanted position are kept: no task sees all values.
+    Values are counted first, so ties cost one row. The counts are range-partitioned by group and value and accumulated along
+    each group, with one row carried for each partition a group reaches into, and only the rows that hold a wanted position
+    are kept. So no task or buffer holds all values of a group.
     """
     names = list(names or [f"p{round(p * 100)}" for p in probs])
     freq = (
         df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("_v"))
+        .groupBy(*keys, F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    cumulated = running_total(freq, [F.col("_v").asc()], "_c", "_upto")
-    spots = cumulated.crossJoin(F.broadcast(cumulated.agg(F.max("_upto").alias("_n"))))
+    ranged = _ranged(freq, [*[F.col(k).asc() for k in keys], F.col("_v").asc()])
+    whole, inside = Window.partitionBy(*keys), Window.partitionBy("_pid", *keys).orderBy("_place")
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_s")).select(
+        "_pid", *keys, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start"), F.sum("_s").over(whole).alias("_n"))
+    spots = null_safe_lookup(ranged.withColumn("_in", F.sum("_c").over(inside)), starts, ["_pid", *keys])
+    upto = F.col("_start") + F.col("_in")
     holds = []
     for p in probs:
         spot = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(spot), F.ceil(spot)
-        at = lambda i: (F.col("_upto") - F.col("_c") <= i) & (i < F.col("_upto"))
-        holds.append((spot, at(lo), at(hi)))
-    any_spot = holds[0][1] | holds[0][2]
-    for _, lo, hi in holds[1:]:
-        any_spot = any_spot | lo | hi
+        at = lambda i: (upto - F.col("_c") <= i) & (i < upto)
+        holds.append((spot, at(F.floor(spot)), at(F.ceil(spot))))
+    any_spot = reduce(Column.__or__, [at for _, *both in holds for at in both])
     out = []
     for name, (spot, at_lo, at_hi) in zip(names, holds):
         lo_value = F.max(F.when(at_lo, F.col("_v")))
         hi_value = F.max(F.when(at_hi, F.col("_v")))
         part = F.max(spot - F.floor(spot))
         out.append((lo_value + (hi_value - lo_value) * part).alias(name))
-    return spots.filter(any_spot).agg(*out)
+    return spots.filter(any_spot).groupBy(*keys).agg(*out)

@@ -44,13 +44,28 @@ def test_global_rank_and_running_total(spark):
     assert total["s"].tolist() == total["t"].cumsum().tolist()
 
 
+@pytest.fixture
+def hot(spark, request, monkeypatch):
+    """Whether groups count as hot easily."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if request.param:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        for name, value in (("SEEN", 3), ("ONE_OF", 4), ("PICKED_FROM", 2)):
+            monkeypatch.setattr(ranking, name, value)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+@pytest.mark.parametrize("hot", [False, True], indirect=True)
 @pytest.mark.parametrize("first", ["t", "moment", "day", "word", "far"])
-def test_slices_give_the_same_sequence_and_neighbours(spark, first):
+def test_slices_give_the_same_sequence_and_neighbours(spark, first, hot):
     df = skewed(spark).withColumns({
         "moment": F.timestamp_seconds(F.col("t") * 40_000), "day": F.date_add(F.lit(T0).cast("date"), (F.col("t") * 3).cast("int")),
         "word": F.concat(F.lit("w"), F.lpad(F.col("t").cast("string"), 9, "0")), "far": F.when(F.col("t") > 3, F.col("t") * 10**6),
     })
     order = [first, "id"]
+    bounds = {r.k: len(r._bounds) for r in ranking._bounds(df, ["k"], order).collect()}
+    assert bounds.keys() == ({0, None} if hot else set()) and all(n >= 1 for n in bounds.values())
     window = Window.partitionBy("k").orderBy(*order)
     want = df.select("k", "id", F.row_number().over(window).alias("seq"), F.lag("id").over(window).alias("b"), F.lead("id").over(window).alias("a"))
     got = ranking.sequence_in_group(df, ["k"], order, "seq")
@@ -58,6 +73,20 @@ def test_slices_give_the_same_sequence_and_neighbours(spark, first):
     assert rows(got.select("k", "id", "seq", F.col("b.id").alias("b"), F.col("a.id").alias("a")), "id", "k", "seq", "b", "a") == rows(want, "id", "k", "seq", "b", "a")
 
 
+@pytest.mark.parametrize("first", ["one day", "one start"])
+def test_a_hot_group_of_any_shape_is_spread(spark, first):
+    """200,000 rows of one key within one second, or texts with one common start, fall into even slices."""
+    n = F.col("id")
+    place = F.timestamp_micros(n + 10**15) if first == "one day" else F.concat(F.lit("a common start "), F.lpad(n.cast("string"), 7, "0"))
+    df = spark.range(200_000).select(F.lit(1).alias("k"), place.alias("o"), n)
+    sliced, hot = ranking._sliced(df, ["k"], ["o"])
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2] and hot.count() == 200_000
+    placed = ranking.sequence_in_group(df, ["k"], ["o"])
+    assert placed.agg(F.min("seq"), F.max("seq"), F.count_distinct("seq"), F.max(F.col("seq") - n)).first() == (
+        1, 200_000, 200_000, 1)
+
+
 @pytest.mark.parametrize("n,q", [(7, 4), (10, 5), (101, 5), (64, 4)])
 def test_buckets_equal_quantile_cuts(spark, n, q):
     rng = np.random.default_rng(n)
@@ -77,6 +106,40 @@ def test_exact_quantiles(spark):
     assert np.allclose(list(got), want)
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "h"], []])
+def test_group_quantiles_equal_numpy(spark, keys):
+    """Continuous and repeated values, a NULL group, groups of one value and groups of NULLs only."""
+    rng = np.random.default_rng(3)
+    data = [(None if i % 3 == 0 else i % 5, i % 2, float(rng.normal()) if i % 4 else float(i % 7)) for i in range(2_000)]
+    data += [(77, 0, 5.0), (78, 0, None), (79, 1, None), (79, 1, 1.0), (79, 1, 2.0)]
+    got = ranking.group_quantiles(spark.createDataFrame(data, "k int, h int, v double").repartition(5), keys, "v", [0, 0.1, 0.5, 0.99]).collect()
+    groups = {}
+    for k, h, v in data:
+        if v is not None:
+            groups.setdefault((k, h)[:len(keys)], []).append(v)
+    assert len(got) == len(groups)
+    for r in got:
+        assert np.allclose(list(r[len(keys):]), np.quantile(groups[tuple(r[:len(keys)])], [0, 0.1, 0.5, 0.99]))
+
+
+def test_quantiles_of_a_group_over_many_partitions(spark):
+    """A group of 300,000 distinct values reaches into every partition of the range; its median is exact."""
+    df = spark.range(300_001).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("k"), (F.col("id") / 7).alias("v"))
+    held = ranking._ranged(df, [F.col("k"), F.col("v")])
+    assert held.filter("k = 'a'").select("_pid").distinct().count() > 1
+    assert rows(agg.weighted_median(df, ["k"], "v", "m")) == [("a", pytest.approx(150_000 / 7)), ("b", pytest.approx(150_000 / 7))]
+
+
+def test_quantiles_of_many_columns_take_one_range(spark, monkeypatch):
+    ranged = []
+    plain = ranking._ranged
+    monkeypatch.setattr(ranking, "_ranged", lambda *a: (ranged.append(1), plain(*a))[1])
+    df = spark.range(101).select("id", (F.col("id") * 2.5).alias("x"), F.lit(None).cast("int").alias("none"), (F.col("id") % 3).alias("y"))
+    assert rows(ranking.column_quantiles(df, ["id", "x", "none", "y"], [0.25, 0.5])) == [("id", 25, 50), ("none", None, None), ("x", 62.5, 125), ("y", 0, 1)]
+    filled = impute.fill_median(df.withColumn("x", F.when(F.col("id") > 90, F.col("x"))), ["x", "none", "y"])
+    assert len(ranged) == 2 and filled.filter("x is null").count() == 0 and filled.filter("none is not null").count() == 0
+
+
 def test_mode_takes_the_smallest_of_ties(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z"), (2, "z"), (2, "a"), (3, None)], "k int, v string")
     assert rows(agg.mode_per_group(df, ["k"], "v")) == [(1, "a", 1), (2, "z", 2)]
