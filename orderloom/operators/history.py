@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.functions.clean import col
 from orderloom.operators.joins import null_safe_full, null_safe_lookup
-from orderloom.operators.ranking import neighbour
+from orderloom.operators.ranking import hot_bounds, neighbour
 from orderloom.sources.versions import Version, VersionedTable
 
 VERSION_COLUMNS = ("version_id", "valid_from", "valid_to")
@@ -163,11 +163,12 @@ def scd2_rebuild(
     """
     order = [ts, *tiebreak, *[c for c in cols if c not in tiebreak]]
     rows = log.select(*dict.fromkeys([*keys, *order]))
-    seen = neighbour(rows, keys, order, [ts, *cols], -1, "_before")
+    bounds = hot_bounds(rows, keys, order)
+    seen = neighbour(rows, keys, order, [ts, *cols], -1, "_before", bounds)
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_before.{c}")) for c in cols])
     opened = seen.filter(F.col("_before").isNull() | ~same)
     # The row before the next version's first one is the last that still held this version.
-    out = neighbour(opened.withColumnRenamed("_before", "_former"), keys, order, [ts, "_former"], 1, "_after")
+    out = neighbour(opened.withColumnRenamed("_before", "_former"), keys, order, [ts, "_former"], 1, "_after", bounds)
     newest = rows.groupBy(*keys).agg(F.max(ts).alias("_newest"))
     return null_safe_lookup(out, newest, keys).select(
         *keys, *cols, F.col(ts).alias("valid_from"),
@@ -178,7 +179,8 @@ def scd2_rebuild(
 
 def scd2_changes(log: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Every log row as a version, ended by the key's next row."""
-    out = neighbour(log, keys, [ts, *tiebreak], [ts], 1, "_after")
+    order = [ts, *tiebreak]
+    out = neighbour(log, keys, order, [ts], 1, "_after", hot_bounds(log, keys, order))
     return out.select(
         *[F.col(c).alias("valid_from") if c == ts else F.col(c) for c in log.columns],
         F.col(f"_after.{ts}").alias("valid_to"), F.col("_after").isNull().alias("is_current"),

@@ -2,9 +2,8 @@
 
 * ``global_rank``/``running_total`` range-partition the rows, number them inside each partition
   and add the sizes of the partitions before it. What is broadcast is one row per partition.
-* ``sequence_in_group``/``neighbour`` cut hot groups into slices at bounds taken from their rows, use windows per slice and
-  carry one row of each slice along. They run no job of their own; without hot groups Spark finds the bounds empty at run time
-  and only the windows are left.
+* ``sequence_in_group``/``neighbour`` look for hot groups in one job over a counted sample, cut those into slices at bounds
+  taken from their rows, use windows per slice and carry one row of each slice along. Without hot groups they are plain windows.
 * ``group_quantiles`` counts values, range-partitions the counts by group and value and picks the places asked for.
 """
 
@@ -71,29 +70,36 @@ def running_totals(df: DataFrame, order: Sequence[Column], measures: dict[str, s
     )
 
 
-def _bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Bounds (``_bounds``: rising ``order`` structs) of the slices of hot groups; groups that are not hot have no row.
+def hot_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """Bounds (``_bounds``: rising ``order`` structs) of the slices of hot groups, None if there is no hot group.
 
-    Rows are counted and picked by their hash, so every evaluation finds the same ones. Fewer groups than there are shuffle
-    partitions can own more than a partition's share, and they share ``SLICES`` bounds for each partition.
+    Rows are counted and picked by their hash. Fewer groups than there are shuffle partitions can own more than a partition's
+    share, and they share ``SLICES`` bounds for each partition; so many are held on the driver. The bounds of a frame also
+    serve frames that have much the same rows.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.struct(*order).alias("_place")
     counted = df.select(*keys, place, F.xxhash64(*keys, *order).alias("_hash")).filter(F.pmod("_hash", F.lit(ONE_OF)) == 0)
     counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     of_all = F.col("_n") * partitions / F.col("_all")
-    hot = with_scalar(counts.filter(F.col("_n") >= SEEN), counts.agg(F.sum("_n").alias("_all"))).filter(of_all > 1).select(
+    found = with_scalar(counts.filter(F.col("_n") >= SEEN), counts.agg(F.sum("_n").alias("_all"))).filter(of_all > 1).select(
         *keys, "_n", F.ceil(of_all * SLICES).alias("_slices"))
+    rows = found.collect()
+    if not rows:
+        return None
+    hot = spark.createDataFrame(rows, found.schema)
     met = null_safe_lookup(counted, F.broadcast(hot), keys).filter(F.col("_n").isNotNull())
     picked = met.filter(F.pmod(F.xxhash64("_hash"), F.col("_n")) < F.col("_slices") * PICKED_FROM)
     places = F.sort_array(F.collect_set("_place"))
-    return picked.groupBy(*keys).agg(F.filter(places, lambda _, i: i % PICKED_FROM == PICKED_FROM - 1).alias("_bounds"))
+    bounds = picked.groupBy(*keys).agg(F.filter(places, lambda _, i: i % PICKED_FROM == PICKED_FROM - 1).alias("_bounds"))
+    return spark.createDataFrame(bounds.collect(), bounds.schema)
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``df`` with the slice of each row (0 in groups that are not hot), and the rows of hot groups alone."""
     place = F.struct(*order)
-    met = null_safe_lookup(df, F.broadcast(_bounds(df, keys, order)), keys)
+    met = null_safe_lookup(df, F.broadcast(bounds), keys)
     cut = F.size(F.filter("_bounds", lambda bound: bound <= place))
     sliced = met.withColumn("_slice", F.when(F.col("_bounds").isNull(), 0).otherwise(cut))
     return sliced.drop("_bounds"), sliced.filter(F.col("_bounds").isNotNull()).drop("_bounds")
@@ -105,7 +111,10 @@ def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Rows are numbered inside (group, slice); the sizes of the slices before it are added. So the rows of a hot group are
     spread whatever they look like, as long as they differ in ``order``.
     """
-    sliced, hot = _sliced(df, keys, order)
+    bounds = hot_bounds(df, keys, order)
+    if bounds is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    sliced, hot = _sliced(df, keys, order, bounds)
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = hot.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -115,20 +124,22 @@ def sequence_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def neighbour(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], step: int, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], step: int, out: str, bounds: DataFrame | None
 ) -> DataFrame:
     """Adds a struct of ``values`` of the row before (``step`` -1) or after (1) in the group, NULL where there is none.
 
-    Ascending by the columns ``order``, NULLs first. The row at the edge of a slice takes the nearest edge row of the group's
-    other slices, so no task sees a whole hot group.
+    Ascending by the columns ``order``, NULLs first. ``bounds`` are those of ``hot_bounds``: the row at the edge of a slice takes
+    the nearest edge row of the group's other slices, so no task sees a whole hot group.
     """
-    sliced, hot = _sliced(df, keys, order)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    near = (F.lag if step < 0 else F.lead)(F.struct(*values)).over(inside)
+    shift = F.lag if step < 0 else F.lead
+    if bounds is None:
+        return df.withColumn(out, shift(F.struct(*values)).over(Window.partitionBy(*keys).orderBy(*order)))
+    sliced, hot = _sliced(df, keys, order, bounds)
+    near = shift(F.struct(*values)).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
     edge = (F.max if step < 0 else F.min)(F.struct(F.struct(*order).alias("o"), F.struct(*values).alias("v")))
     slices = hot.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
     along = Window.partitionBy(*keys).orderBy("_slice")
-    carried = slices.select(*keys, "_slice", (F.lag if step < 0 else F.lead)("_edge.v").over(along).alias("_carried"))
+    carried = slices.select(*keys, "_slice", shift("_edge.v").over(along).alias("_carried"))
     met = null_safe_lookup(sliced.withColumn(out, near), F.broadcast(carried), [*keys, "_slice"])
     return met.withColumn(out, F.coalesce(out, "_carried")).select(*df.columns, out)
 

@@ -49,7 +49,7 @@ def hot(spark, request, monkeypatch):
     """Whether groups count as hot easily."""
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     if request.param:
-        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
         for name, value in (("SEEN", 3), ("ONE_OF", 4), ("PICKED_FROM", 2)):
             monkeypatch.setattr(ranking, name, value)
     yield request.param
@@ -64,12 +64,12 @@ def test_slices_give_the_same_sequence_and_neighbours(spark, first, hot):
         "word": F.concat(F.lit("w"), F.lpad(F.col("t").cast("string"), 9, "0")), "far": F.when(F.col("t") > 3, F.col("t") * 10**6),
     })
     order = [first, "id"]
-    bounds = {r.k: len(r._bounds) for r in ranking._bounds(df, ["k"], order).collect()}
-    assert bounds.keys() == ({0, None} if hot else set()) and all(n >= 1 for n in bounds.values())
+    bounds = ranking.hot_bounds(df, ["k"], order)
+    assert (bounds is None) != hot and (not hot or {r.k for r in bounds.collect()} >= {0, None})
     window = Window.partitionBy("k").orderBy(*order)
     want = df.select("k", "id", F.row_number().over(window).alias("seq"), F.lag("id").over(window).alias("b"), F.lead("id").over(window).alias("a"))
     got = ranking.sequence_in_group(df, ["k"], order, "seq")
-    got = ranking.neighbour(ranking.neighbour(got, ["k"], order, ["id"], -1, "b"), ["k"], order, ["id"], 1, "a")
+    got = ranking.neighbour(ranking.neighbour(got, ["k"], order, ["id"], -1, "b", bounds), ["k"], order, ["id"], 1, "a", bounds)
     assert rows(got.select("k", "id", "seq", F.col("b.id").alias("b"), F.col("a.id").alias("a")), "id", "k", "seq", "b", "a") == rows(want, "id", "k", "seq", "b", "a")
 
 
@@ -79,7 +79,7 @@ def test_a_hot_group_of_any_shape_is_spread(spark, first):
     n = F.col("id")
     place = F.timestamp_micros(n + 10**15) if first == "one day" else F.concat(F.lit("a common start "), F.lpad(n.cast("string"), 7, "0"))
     df = spark.range(200_000).select(F.lit(1).alias("k"), place.alias("o"), n)
-    sliced, hot = ranking._sliced(df, ["k"], ["o"])
+    sliced, hot = ranking._sliced(df, ["k"], ["o"], ranking.hot_bounds(df, ["k"], ["o"]))
     sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
     assert len(sizes) >= 7 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2] and hot.count() == 200_000
     placed = ranking.sequence_in_group(df, ["k"], ["o"])
