@@ -1,8 +1,8 @@
 """URL filters: every capture is judged by the list entries that were active when it was fetched.
 
 A list's log holds dated entries (``list``, ``verdict`` block or allow, ``kind`` domain or path, ``pattern``, ``action``
-add or remove, ``dated``). One list has at most one state of a pattern a day: if it is added and removed on one day, it
-is added. The log becomes validity intervals [valid_from, valid_to); an entry added twice opens one interval, one never
+add or remove, ``dated``: a day or a moment). One list has one state of a pattern a day, that of the day's last entry; of entries
+of one moment an add counts. The log becomes validity intervals [valid_from, valid_to); an entry added twice opens one interval, one never
 removed has no end. A domain entry matches that host and all hosts below it; a path entry (host/path, no scheme, query,
 fragment or last slash) matches that path and all below it.
 
@@ -38,8 +38,8 @@ def path_of(url: Column) -> Column:
 def validity_intervals(log: DataFrame) -> DataFrame:
     """``list, verdict, kind, pattern, valid_from, valid_to`` (null: still active) from a log of dated entries."""
     columns = [F.col(c) for c in ENTRY]
-    days = log.select(*columns, F.to_date("dated").alias("day"), (F.col("action") == "add").alias("on")).dropna().groupBy(
-        *ENTRY, "day").agg(F.max("on").alias("on"))
+    entries = log.select(*columns, F.col("dated").cast("timestamp").alias("at"), (F.col("action") == "add").alias("on")).dropna()
+    days = entries.groupBy(*ENTRY, F.to_date("at").alias("day")).agg(F.max(F.struct("at", "on"))["on"].alias("on"))
     by_day = Window.partitionBy(*ENTRY).orderBy("day")  # a row for each day at most
     turns = days.withColumn("before", F.lag("on", 1, False).over(by_day)).where("on != before")
     return turns.withColumn("valid_to", F.lead("day").over(by_day)).where("on").select(
@@ -96,15 +96,16 @@ def judge(captures: DataFrame, log: DataFrame, *, url_col: str = "url", fetched_
 
 
 # The pages table has neither fetch days nor lists. A page is taken as fetched (page_id * 7919) mod 30 days after
-# FIRST_DAY; the log is what the events with the page's number report on its host, host/first segment or URL path.
+# FIRST_DAY. The log is what all events report, each about the page whose number is the event's modulo the number after the
+# last page's: on its host, host/first segment or URL path. Every second round over the pages, purchases end their takedowns.
 FIRST_DAY, DAYS = "2024-01-01", 30
-# event type -> (list, verdict, kind, action)
+# event type -> (list, verdict, kind, action); without an action it depends on the round
 REPORTS = {
     "error": ("reports", "block", "domain", "add"),
     "signup": ("reports", "block", "domain", "remove"),
     "click": ("partners", "allow", "path", "add"),
     "view": ("partners", "allow", "path", "remove"),
-    "purchase": ("takedowns", "block", "path", "add"),
+    "purchase": ("takedowns", "block", "path", None),
 }
 
 
@@ -113,30 +114,38 @@ def page_captures(pages: DataFrame) -> DataFrame:
 
 
 def report_log(pages: DataFrame, events: DataFrame) -> DataFrame:
-    reports = F.create_map(*(x for k, v in REPORTS.items() for x in (F.lit(k), F.struct(*(F.lit(s).alias(n) for s, n in zip(v, ("list", "verdict", "kind", "action")))))))
-    first = F.concat(host_of(F.col("url")), F.regexp_extract(path_of(F.col("url")), "^(/[^/]*)", 1))
-    rows = pages.select("page_id", "url").join(
-        events.select(F.col("event_id").alias("page_id"), "event_type", "ts"), "page_id").withColumn("r", reports[F.col("event_type")])
-    pattern = F.when(F.col("r.kind") == "domain", host_of(F.col("url"))).when(F.col("r.list") == "partners", first).otherwise(
-        F.concat(host_of(F.col("url")), path_of(F.col("url"))))
-    return rows.where("r is not null").select("r.list", "r.verdict", "r.kind", pattern.alias("pattern"), "r.action", F.to_date("ts").alias("dated"))
+    """The dated entries that the events stand for; an empty table of pages gives none."""
+    names = ("list", "verdict", "kind", "action")
+    reports = F.create_map(*(x for k, v in REPORTS.items() for x in (F.lit(k), F.struct(*(F.lit(s).cast("string").alias(n) for s, n in zip(v, names))))))
+    round_ = F.when(F.floor(F.col("event_id") / F.col("n")) % 2 == 0, "add").otherwise("remove")
+    asked = events.select("event_id", "ts", reports[F.col("event_type")].alias("r")).where("r is not null").crossJoin(
+        F.broadcast(pages.agg((F.max("page_id") + 1).alias("n"))))  # one row
+    entries = asked.select(
+        F.pmod("event_id", "n").alias("page_id"), "r.list", "r.verdict", "r.kind", F.coalesce("r.action", round_).alias("action"), F.col("ts").alias("dated"))
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    places = pages.select("page_id", host.alias("host"), F.concat(host, F.regexp_extract(path, "^(/[^/]*)", 1)).alias("first"), F.concat(host, path).alias("whole"))
+    pattern = F.when(F.col("kind") == "domain", F.col("host")).when(F.col("list") == "partners", F.col("first")).otherwise(F.col("whole"))
+    return entries.join(places, "page_id").select("list", "verdict", "kind", pattern.alias("pattern"), "action", "dated")
 
 
 def oracle() -> str:
     """The query's rows as DuckDB SQL: each capture against each interval of its patterns."""
-    reports = ", ".join(f"('{k}', '{v[0]}', '{v[1]}', '{v[2]}', '{v[3]}')" for k, v in REPORTS.items())
+    reports = ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in (k, *v)) + ")" for k, v in REPORTS.items())
     return rf"""
 WITH page AS (
   SELECT page_id, url, CAST(DATE '{FIRST_DAY}' + CAST(((page_id * 7919) % {DAYS}) AS INTEGER) AS DATE) AS fetched,
     regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.$', '') AS host,
     regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/+$', '') AS path
   FROM pages),
+n AS (SELECT max(page_id) + 1 AS n FROM pages),
 log AS (
-  SELECT r.list, r.verdict, r.kind, r.action, CAST(e.ts AS DATE) AS dated,
+  SELECT r.list, r.verdict, r.kind, coalesce(r.action, CASE WHEN (e.event_id // n) % 2 = 0 THEN 'add' ELSE 'remove' END) = 'add' AS adds, e.ts,
     CASE WHEN r.kind = 'domain' THEN host WHEN r.list = 'partners' THEN host || regexp_extract(path, '^(/[^/]*)', 1) ELSE host || path END AS pattern
-  FROM page p JOIN events e ON e.event_id = p.page_id
+  FROM events e, n JOIN page p ON p.page_id = e.event_id % n
   JOIN (VALUES {reports}) r(event_type, list, verdict, kind, action) ON r.event_type = e.event_type),
-days AS (SELECT list, verdict, kind, pattern, dated, max(action = 'add') AS is_on FROM log GROUP BY ALL),
+days AS (
+  SELECT list, verdict, kind, pattern, CAST(ts AS DATE) AS dated, arg_max(adds, struct_pack(at := ts, adds := adds)) AS is_on
+  FROM log GROUP BY list, verdict, kind, pattern, CAST(ts AS DATE)),
 turns AS (
   SELECT * FROM (SELECT *, lag(is_on, 1, false) OVER (PARTITION BY list, verdict, kind, pattern ORDER BY dated) AS was FROM days) WHERE is_on <> was),
 intervals AS (

@@ -7,6 +7,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderloom.llm import line_chunks, mixing, order_minhash, pivots, posting_lists, url_lists
@@ -231,6 +232,33 @@ def test_validity_and_as_of(spark):
     assert url_lists.judge(captures.limit(0), log).count() == 0
 
 
+def test_the_last_entry_of_a_day_counts(spark):
+    log = spark.createDataFrame([
+        ("l", "block", "domain", "x.org", action, f"2024-01-{day} {at}:00:00") for day, at, action in (
+            ("05", "09", "remove"), ("05", "11", "add"), ("06", "10", "add"), ("06", "12", "remove"), ("08", "07", "add"), ("08", "07", "remove"))],
+        "list string, verdict string, kind string, pattern string, action string, dated string")
+    spans = {(str(r.valid_from), str(r.valid_to)) for r in url_lists.validity_intervals(log).collect()}
+    assert spans == {("2024-01-05", "2024-01-06"), ("2024-01-08", "None")}
+
+
+def test_every_event_is_an_entry_and_time_decides(spark):
+    pages, events = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("pages", "events"))
+    log = url_lists.report_log(pages, events)
+    assert log.count() == events.count()
+    assert url_lists.report_log(pages.limit(0), events).count() == url_lists.report_log(pages, events.limit(0)).count() == 0
+    spans = url_lists.validity_intervals(log).toPandas()
+    closed = spans[spans.valid_to.notna()]
+    assert closed.pattern.nunique() > spans.pattern.nunique() / 2
+    judged = url_lists.judge(url_lists.page_captures(pages), log).toPandas()
+    assert (judged.verdict.value_counts() > 250).all() and set(judged.verdict) == {"allow", "block", "none"}
+    # For one takedown list's pattern captures fall before, inside and after its intervals.
+    takedowns = closed[closed.list == "takedowns"].merge(
+        url_lists.page_captures(pages).select("fetched", url_lists.host_of(F.col("url")).alias("host"), url_lists.path_of(F.col("url")).alias("path")).toPandas().assign(
+            pattern=lambda d: d.host + d.path), on="pattern")
+    inside = (takedowns.valid_from <= takedowns.fetched) & (takedowns.fetched < takedowns.valid_to)
+    assert (takedowns.fetched < takedowns.valid_from).sum() > 50 and inside.sum() > 50 and (takedowns.fetched >= takedowns.valid_to).sum() > 50
+
+
 # Vectors
 
 def vectors_of(spark, rows):
