@@ -379,11 +379,11 @@ O["dim_customers"] = sql("c", "SELECT customer_id AS id, * EXCLUDE (customer_id)
 O["dim_sellers"] = sql("s gz", """SELECT seller_id AS id, seller_zip_code_prefix, seller_city, seller_state, avg_lat AS geo_lat, avg_lng AS geo_lng
     FROM s LEFT JOIN gz ON seller_zip_code_prefix = zip_code_prefix""")
 O["dim_products"] = sql("pr", """
-    SELECT md5(CAST(product_id AS VARCHAR) || '|2000-01-01 00:00:00.000000') AS surrogate_key, product_id, product_category, product_weight_g,
-      TIMESTAMP '2000-01-01' AS valid_from, CASE WHEN product_weight_g >= 2500 THEN TIMESTAMP '2000-06-01' END AS valid_to,
+    SELECT md5(CAST(product_id AS VARCHAR) || '|2000-01-01 00:00:00.000000') AS surrogate_key, product_id, product_category,
+      coalesce(product_category, product_category_name, 'unknown') AS category, product_weight_g, TIMESTAMP '2000-01-01' AS valid_from, CASE WHEN product_weight_g >= 2500 THEN TIMESTAMP '2000-06-01' END AS valid_to,
       NOT coalesce(product_weight_g >= 2500, false) AS is_current FROM pr
-    UNION ALL SELECT md5(CAST(product_id AS VARCHAR) || '|2000-06-01 00:00:00.000000'), product_id, product_category, product_weight_g + 1000,
-      TIMESTAMP '2000-06-01', NULL, true FROM pr WHERE product_weight_g >= 2500""")
+    UNION ALL SELECT md5(CAST(product_id AS VARCHAR) || '|2000-06-01 00:00:00.000000'), product_id, product_category,
+      coalesce(product_category, product_category_name, 'unknown'), product_weight_g + 1000, TIMESTAMP '2000-06-01', NULL, true FROM pr WHERE product_weight_g >= 2500""")
 O["current_product_sales"] = sql("i pr", """SELECT product_category_name, count(*) AS items, CAST(sum(price) AS DOUBLE) AS revenue,
     CAST(sum(CASE WHEN product_weight_g >= 2500 THEN product_weight_g + 1000 ELSE product_weight_g END) AS BIGINT) AS weight_g
     FROM i LEFT JOIN pr USING (product_id) GROUP BY 1""")
@@ -556,8 +556,8 @@ O["bottom_categories"] = sql("cat", "SELECT product_category, CAST(sum(n_items)
 _cells = """SELECT product_category, customer_state, round(sum(gmv), 2) AS gmv FROM cat
     WHERE product_category IN (SELECT product_category FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 10)
       AND customer_state IN (SELECT customer_state FROM cat GROUP BY 1 ORDER BY round(sum(gmv), 2) DESC NULLS LAST, 1 LIMIT 10) GROUP BY 1, 2"""
-O["category_state_matrix"] = sql("cat", f"""SELECT product_category, coalesce(COLUMNS(* EXCLUDE (product_category)), 0)
-    FROM (PIVOT ({_cells}) ON customer_state USING first(gmv) GROUP BY product_category)""")
+O["category_state_matrix"] = sql("cat", "SELECT product_category, " + ", ".join(
+    f"coalesce(max(gmv) FILTER (customer_state = 'NATION_{i}'), 0) AS NATION_{i}" for i in range(25)) + f" FROM ({_cells}) GROUP BY 1")
 O["lane_scorecard"] = sql("e i pr", f"""
     SELECT customer_state, coalesce(product_category, 'unknown') AS product_category, count(*) AS items, {rate('is_late')} AS late_rate,
       CAST(sum(price) AS DOUBLE) AS gmv, {rate('is_late')} * CAST(sum(price) AS DOUBLE) AS risk
@@ -599,8 +599,8 @@ O["chart_reorder_by_delivery"] = sql("h", f"SELECT delivery_bucket, {rate('has_s
 
 # Retention
 O["cohort_long"] = sql("cl", "SELECT * FROM cl")
-O["cohort_wide"] = sql("cl", """SELECT * FROM (PIVOT (SELECT cohort_month, 'm' || months_since AS m, retention FROM cl)
-    ON m USING first(retention) GROUP BY cohort_month)""")
+O["cohort_wide"] = sql("cl", "SELECT cohort_month, " + ", ".join(
+    f"max(retention) FILTER (months_since = {k}) AS m{k}" for k in range(84)) + " FROM cl GROUP BY 1")
 _opc = "(SELECT customer_unique_id, count(*) AS n FROM b WHERE customer_unique_id IS NOT NULL GROUP BY 1)"
 O["repeat_rate"] = sql("b", f"""SELECT count(*) AS customers, count(*) FILTER (n > 1) AS repeat_customers, CAST(sum(n) AS BIGINT) AS orders,
     count(*) FILTER (n > 1) / CAST(count(*) AS DOUBLE) AS repeat_rate, CAST(sum(n) - count(*) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS repeat_order_share FROM {_opc}""")
@@ -859,5 +859,16 @@ O["snapshot_fact"] = sql("f", """
     SELECT id, order_item_id, order_status, TIMESTAMP '2000-01-01 00:00:00' AS valid_from,
       CASE WHEN moved THEN TIMESTAMP '2000-06-01 00:00:00' END AS valid_to FROM s
     UNION ALL SELECT id, order_item_id, 'returned', TIMESTAMP '2000-06-01 00:00:00', NULL FROM s WHERE moved""")
+O["ml_folds"] = sql("o", """SELECT CAST(('0x' || md5(label || '|' || order_id)[1:8])::BIGINT % 3 AS INTEGER) AS fold, label, count(*) AS n_rows,
+      count(DISTINCT order_id) AS n_orders
+    FROM (SELECT order_id, CAST(delivered_ts > estimated_ts AS INTEGER) AS label FROM o WHERE order_status = 'delivered' AND delivered_ts IS NOT NULL)
+    GROUP BY 1, 2""")
+O["payments_latest"] = sql("p o", """SELECT order_id, count(*) AS payment_record_count, max(purchase_ts + to_hours(payment_sequential)) AS latest_update
+    FROM p JOIN o USING (order_id) GROUP BY 1""")
+O["geo_latest"] = sql("g c o", """SELECT zip_code_prefix, city, state, count(*) AS n_points, max(newest) AS latest_update
+    FROM g LEFT JOIN (SELECT customer_zip_code_prefix AS zip_code_prefix, max(purchase_ts) AS newest FROM o JOIN c USING (customer_id) GROUP BY 1) USING (zip_code_prefix)
+    GROUP BY 1, 2, 3""")
+O["marked_csv"] = sql("s", "SELECT seller_id, seller_city, seller_state FROM s")
+O["stream_tables"] = "SELECT DISTINCT 'public-' || event_type AS stream, event_type || '_raw' AS table_name FROM events"
 
 ORACLES = O

@@ -47,9 +47,11 @@ def value_counts(df: DataFrame, column: str, normalise: bool = True) -> DataFram
     return share_of_total(counts, "n") if normalise else counts
 
 
-def payments_rollup(payments: DataFrame) -> DataFrame:
-    """One row per order. The type set is bounded by the payment-type list."""
+def payments_rollup(payments: DataFrame, updated: str | None = None) -> DataFrame:
+    """One row per order. The type set is bounded by the payment-type list; ``updated`` names the moment of which
+    ``latest_update`` is the newest."""
     return payments.groupBy("order_id").agg(
+        *_latest(updated),
         F.count(F.lit(1)).alias("payment_record_count"),
         total("payment_value").alias("total_payment_value"),
         F.max("payment_installments").alias("max_payment_installments"),
@@ -70,9 +72,16 @@ def reviews_rollup(reviews: DataFrame) -> DataFrame:
     )
 
 
-def geo_rollup(geo: DataFrame, keys: Sequence[str] = ("zip_code_prefix", "city", "state")) -> DataFrame:
-    """Mean point per place with the number of raw points."""
+def _latest(updated: str | None) -> list[Column]:
+    return [] if updated is None else [F.max(updated).alias("latest_update")]
+
+
+def geo_rollup(
+    geo: DataFrame, keys: Sequence[str] = ("zip_code_prefix", "city", "state"), updated: str | None = None
+) -> DataFrame:
+    """Mean point per place with the number of raw points, and the newest ``updated`` moment as ``latest_update``."""
     return geo.groupBy(*keys).agg(
+        *_latest(updated),
         mean("lat").alias("avg_lat"), mean("lng").alias("avg_lng"), F.count(F.lit(1)).alias("n_points")
     )
 

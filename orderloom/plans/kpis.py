@@ -130,8 +130,17 @@ def category_state_cells(sales: DataFrame, categories: int = 10, states: int = 1
     )
 
 
-def category_state_matrix(sales: DataFrame, categories: int = 10, states: int = 10) -> DataFrame:
-    """Wide form: a column for each of the top states; a pair without sales is 0."""
+def category_state_matrix(
+    sales: DataFrame, categories: int = 10, states: int = 10, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Wide form: a column for each of the top states; a pair without sales is 0.
+
+    With ``columns`` (all states there are) the columns do not depend on the data: a state that is not a top one has 0.
+    """
+    if columns is not None:
+        cells = category_state_cells(sales, categories, states)
+        wide = cells.groupBy("product_category").pivot("customer_state", list(columns)).agg(F.first("gmv"))
+        return wide.fillna(0.0, subset=list(columns))
     cells = cut_lineage(category_state_cells(sales, categories, states))  # categories x states rows
     names = sorted(str(row[0]) for row in cells.select("customer_state").distinct().collect())
     wide = cells.withColumn("customer_state", F.coalesce("customer_state", F.lit("None")))

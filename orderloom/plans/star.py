@@ -191,8 +191,9 @@ def product_attributes(products: DataFrame, translation: DataFrame) -> DataFrame
 
 
 def dim_products(versions: DataFrame, translation: DataFrame) -> DataFrame:
-    """Product versions with English category and ``is_current``."""
-    df = product_attributes(versions, translation).drop("product_category_name")
+    """Product versions with the English category (NULL where none is known), ``category`` that falls back to the raw one,
+    and ``is_current``."""
+    df = product_attributes(versions, translation).withColumn("category", category_or_default()).drop("product_category_name")
     return df.withColumnRenamed("version_id", "surrogate_key").withColumn("is_current", F.col("valid_to").isNull())
 
 
