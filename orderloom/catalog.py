@@ -12,7 +12,7 @@ from orderloom.bindings import RAW, Tables
 from orderloom.functions import clean, dates, labels
 from orderloom.operators import aggregates as agg, dedup, history, impute, joins, quality, ranking
 from orderloom.plans import (
-    audits, business, cleaning, delivery, kpis, layers, learning, orders as base, retention, semantic, stage, star, words,
+    audits, boosting, business, cleaning, delivery, kpis, layers, learning, orders as base, retention, semantic, stage, star, words,
 )
 from orderloom.session import apply_settings, cut_lineage, scratch_path
 from orderloom.sources import files, tables as store
@@ -1562,6 +1562,13 @@ def ml_boosted_search(t):
     return t.spark.createDataFrame(rows, "draw int, max_depth double, max_iter double, step_size double, pr_auc double")
 
 
+@query
+def ml_histogram_boosting(t):
+    """The second kind of boosting: histograms of binned features, trees grown leaf by leaf."""
+    train, test = learning.prepared(t, "late_delivery")
+    return learning.metrics(boosting.score(boosting.fit(train), test))
+
+
 @query
 def ml_folds(t):
     """Rows of each fold and label of the training frame; every row is in one fold."""

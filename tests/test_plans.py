@@ -1,12 +1,13 @@
 import datetime as dt
 from decimal import Decimal
+import random
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from orderloom.operators.history import open_versions
-from orderloom.plans import audits, delivery, kpis, layers, learning, orders, retention, semantic, stage, star, words
+from orderloom.plans import audits, boosting, delivery, kpis, layers, learning, orders, retention, semantic, stage, star, words
 from orderloom.schemas import raw_schema
 
 D = dt.datetime
@@ -259,6 +260,58 @@ def test_typed_tables_null_what_does_not_read(spark):
     assert rows(stage.typed_table("order_payments", pay)) == [("o", None, "voucher", None, None)]
 
 
+def ml_rows(spark, n=4_000):
+    """Late if a number is high in some states; a NULL and a level that training does not hold."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        numbers = [rng.random() if rng.random() > 0.05 else None for _ in learning.NUMERIC]
+        levels = [rng.choice("abcd") for _ in learning.CATEGORICAL]
+        late = (numbers[0] or 0) > 0.6 and levels[0] in "ab" or rng.random() < 0.05
+        rows.append((i, int(late), 1.0, *numbers, *levels))
+    rows += [(n, 0, 1.0, *[None] * len(learning.NUMERIC), *["new"] * len(learning.CATEGORICAL))]
+    columns = ["order_id bigint", "label int", "weight double", *[f"{c} double" for c in learning.NUMERIC], *[f"{c} string" for c in learning.CATEGORICAL]]
+    return spark.createDataFrame(rows, ", ".join(columns))
+
+
+def test_histogram_boosting_learns_what_trees_can(spark):
+    data = ml_rows(spark)
+    train, test = data.filter("order_id < 3000"), data.filter("order_id >= 3000")
+    model = boosting.fit(train, trees=4, leaves=4)
+    assert all(len(t.values) <= 4 and t.values.keys() == {c for n in t.splits for c in (2 * n, 2 * n + 1)} - t.splits.keys() for t in model.trees)
+    figures = learning.metrics(boosting.score(model, test)).first()
+    plain = learning.metrics(learning.score(learning.fit(train, "gradient_boosting", {"maxIter": 4, "maxDepth": 2}), test)).first()
+    assert figures.n_test == 1001 and figures.roc_auc > 0.85 and figures.pr_auc > plain.pr_auc - 0.02
+    again = boosting.fit(train.repartition(7), trees=4, leaves=4)
+    assert [t.splits for t in again.trees] == [t.splits for t in model.trees]  # whatever the order of the rows
+    used = [r.feature for r in boosting.importances(model, test).collect() if r.splits]
+    assert {learning.NUMERIC[0], learning.CATEGORICAL[0]} <= set(used[:3])
+    margins = boosting.score(model, test).filter("order_id = 4000").first()
+    assert 0 < margins.score < 1
+
+
+def test_histogram_boosting_without_rows_or_splits(spark):
+    data = ml_rows(spark, 50)
+    flat = boosting.fit(data.filter("label = 0"), trees=2)
+    assert all(t.splits == {} for t in flat.trees)
+    assert boosting.score(boosting.fit(data.limit(0), trees=1), data).filter("score is null").count() == 0
+
+
+def test_folds_hold_every_row_once_and_keep_shares(spark):
+    data = spark.range(9_000).select(F.col("id").alias("order_id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
+    held = learning.with_folds(data, 3)
+    shares = held.groupBy("fold").agg(F.count("*").alias("n"), F.avg("label").alias("share")).collect()
+    assert held.count() == 9_000 and {r.fold for r in shares} == {0, 1, 2}
+    assert all(abs(r.n - 3_000) < 200 and abs(r.share - 0.1) < 0.02 for r in shares)
+
+
+def test_random_search_judges_on_folds(spark):
+    data = learning.with_folds(ml_rows(spark, 600), 2).drop("fold")
+    model, tried = learning.random_search(data, "logistic_regression", {"regParam": (0.0, 0.1, 10.0)}, draws=3, folds=2)
+    assert len(tried) == 3 and all(0 < area <= 1 for _, area in tried)
+    assert learning.score(model, data).count() == 601
+
+
 def test_random_search_repeats_its_draws(spark):
     space, first = {"a": range(100), "b": (1, 2, 3)}, []
     for _ in range(2):
