@@ -19,7 +19,8 @@ NAMES = (
 
 def test_every_sql_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {"ml_scored", "ml_metrics", "ml_importances", "ml_boosted_search"}
+    assert set(catalog.QUERIES) - set(oracles.ORACLES) == {
+        "ml_scored", "ml_metrics", "ml_importances", "ml_boosted_search", "ml_histogram_boosting"}
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="driver tables absent")
