@@ -29,6 +29,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGNED = 6
+# What a lower-cased text must hold for ASSIGN to match at all.
+ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
 # The sample: so many texts, so many windows of their tokens, and so many tokens on each side of a match.
 SAMPLE_TEXTS, SAMPLE_WINDOWS, SIDE = 4096, 1024, 12
@@ -43,7 +45,9 @@ MARKS = "\"'`,;:.()[]{}<>!?="
 
 def pattern_spans(text: str) -> list[tuple[int, int, int, int]]:
     """(start, kind, end, start of the secret part) of all pattern matches, in order."""
-    found = [(m.start(), 0, m.end(), m.start(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_ASSIGNED]
+    found, low = [], text.lower()
+    if any(word in low for word in ASSIGN_WORDS):
+        found += [(m.start(), 0, m.end(), m.start(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_ASSIGNED]
     found += [(m.start(), kind, m.end(), m.start()) for kind, pattern in ((1, ACCESS), (2, HEX)) for m in pattern.finditer(text)]
     return sorted(found)
 
@@ -51,6 +55,13 @@ def pattern_spans(text: str) -> list[tuple[int, int, int, int]]:
 def token_features(token: str) -> list[int]:
     """Numbers of the features that a token's shape has."""
     n = len(token)
+    if token.isalpha():  # what is left of the checks below for a plain word
+        out = [min(n, 64).bit_length(), 8, 12, 16 + min(3, len(set(token)) * 4 // n), 20]
+        checks = (
+            (21, token.islower()), (22, token.isupper()), (23, token[0].isupper()), (25, not token.strip("abcdef")),
+            (26, not token.strip("ABCDEFGHIJKLMNOPQRSTUVWXYZ")), (35, HINT.search(token)), (36, token.startswith("AKIA")), (37, n >= 16), (38, n >= 24),
+        )
+        return out + [feature for feature, holds in checks if holds]
     core = token.strip(MARKS)
     if core.isalpha():
         digits = turns = 0
