@@ -10,13 +10,14 @@ once, it is the longest increasing run of positions. Only pairs of positions in
 similarity ``SIMILAR`` can use are aligned. Texts of similarity ``SIMILAR`` or more are linked; classes are the
 connected components.
 
-Byte-equal texts are one node from the start. In a bucket of more than ``FEW`` texts each proposes the bucket's most
-central text, never all pairs. In buckets that still hold several classes the texts outside the largest one then propose the
-one, the ``NEAREST``, twice as many, ... texts of other classes that agree best, until a bucket holds one class or
-every pair of its classes with enough agreement has been tested. Buckets of more than ``CELL`` texts are first
-split by a further entry, and then evenly; afterwards their texts outside the bucket's largest class meet all its texts, block by
-block, in the same way. What this can lose are pairs that share no band (at 0.8: 3 in a million) or
-agree in less than ``LEAST_AGREED`` of the entries (4 standard deviations).
+Byte-equal texts are one node from the start, and buckets of the same texts are one bucket. A bucket's texts meet in one cell
+with their k-mers: a text counts the k-mers it shares with all others through the cell's postings, and those that share as many as
+the similarity asks for are aligned, unless both are in one class already. Texts of the class of the most central text need not
+ask, since every pair across classes has another end. So all pairs of a bucket are settled, and what leaves a cell
+is a spanning tree of each class, never more rows than texts. Buckets of more than ``CELL`` texts or ``CELL_KMERS`` k-mers are dealt
+over cells; afterwards their texts outside the bucket's largest class meet all its texts, block by block, in the same way.
+The only pairs that can be lost are those that share no band (at 0.8: 3 in a million). A bucket of more than a cell whose texts are
+mostly unlike costs blocks in the square of its size.
 
 Null texts and texts without a word are classes of their own. Rows that share an id but not the text are told apart;
 repeated rows fall into one class. An empty table gives an empty result; very long texts are hashed and aligned whole.
@@ -29,16 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 import xxhash
 
 from orderloom.session import cut_lineage, scratch_path
 
-from .common import arrow_rows, blocks, boxed, record_batch, unboxed
+from .common import arrow_rows, blocks, boxed, record_batch, unboxed, with_columns
 
 K, SIMILAR = 5, 0.8
 ENTRIES, ROWS = 48, 2
-FEW, NEAREST, CELL, LEAST_AGREED = 4, 16, 1024, 0.35
+CELL, CELL_KMERS = 1024, 2_000_000
 STRIDE, KEPT_WORDS, PART_ROWS = 65_536, 200_000, 200_000
 
 _random = np.random.default_rng(20240229)
@@ -123,67 +124,87 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``text_key``, ``n`` (k-mers), ``keys`` (one for each band), ``coarse`` (a byte of each entry) of ``text_key``, ``text``."""
+    """``text_key``, ``doc_id``, ``n`` (k-mers), ``keys`` (one for each band) of ``text_key``, ``doc_id``, ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("text_key", pa.binary()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("coarse", pa.binary())])
         hashes = Words()
         for batch in batches:
-            out = []
-            for key, text in zip(arrow_rows(batch, "text_key"), arrow_rows(batch, "text")):
+            at, n, keys = [], [], []
+            for i, text in enumerate(arrow_rows(batch, "text")):
                 grams = kmers(text, hashes)
                 if len(grams):
-                    entries = sketch(grams)
-                    bands = entries.reshape(-1, ROWS)
-                    keys = mixed(bands[:, 0] * _ODD[5] + bands[:, 1] * _ODD[6] + np.arange(len(bands), dtype=np.uint64))
-                    out.append((key, len(grams), keys.view(np.int64), (entries >> np.uint64(56)).astype(np.uint8).tobytes()))
-            yield record_batch(schema, list(zip(*out)) if out else [[]] * 4)
-
-    return docs.select("text_key", "text").mapInArrow(run, "text_key binary, n long, keys array<long>, coarse binary")
-
-
-def propose(rows: DataFrame, most: int) -> DataFrame:
-    """Distinct pairs ``a`` < ``b``, the ``most`` best of each text (0: the centre), from ``cell``, ``node``, ``n``,
-    ``weight``, ``label``, ``asks`` and ``coarse``; a cell is one bucket or a part of one."""
-
-    def pairs(nodes: list, n: np.ndarray, weight: np.ndarray, label: np.ndarray, asks: np.ndarray, coarse: np.ndarray) -> Iterator[tuple]:
-        centre = int(np.lexsort((np.arange(len(n)), -weight))[0])
-        names, sizes = np.unique(label, return_counts=True)
-        # Every pair across classes has an end outside the largest class, so that one need not ask if all others do.
-        asks = asks & (label != names[sizes.argmax()]) if sizes.max() > 1 and asks.all() else asks
-        for at in range(0, len(nodes), 128):
-            part = slice(at, at + 128)
-            agreed = (coarse[part, None, :] == coarse[None, :, :]).mean(axis=2)
-            fits = np.minimum(n[part, None], n) >= SIMILAR * np.maximum(n[part, None], n) - 1e-9
-            agreed[(label[part, None] == label) | ~fits | (agreed < LEAST_AGREED) | ~asks[part, None]] = 0
-            if len(nodes) > FEW:
-                # Among equals the more central text, so that a text names the same partner in all its buckets.
-                rank = agreed + weight * (0.5 / ENTRIES / (weight.max() + 1)) * (agreed > 0)
-                best = np.argpartition(-rank, min(most, len(nodes)) - 1, axis=1)[:, :most] if most else np.full((len(rank), 1), centre)
-            else:
-                best = np.broadcast_to(np.arange(len(nodes)), (len(agreed), len(nodes)))
-            for i, j in zip(*np.nonzero(np.take_along_axis(agreed, best, 1))):
-                a, b = nodes[at + i], nodes[best[i, j]]
-                yield (a, b) if a < b else (b, a)
+                    bands = sketch(grams).reshape(-1, ROWS)
+                    band = mixed(bands[:, 0] * _ODD[5] + bands[:, 1] * _ODD[6] + np.arange(len(bands), dtype=np.uint64))
+                    at.append(i), n.append(len(grams)), keys.append(band.view(np.int64))
+            rows = batch.select(["text_key", "doc_id"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["text_key", "doc_id", "n", "keys"])
+
+    return docs.select("text_key", "doc_id", "text").mapInArrow(run, with_columns(docs, "text_key, doc_id", "n long, keys array<long>"))
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """``node`` and ``grams``, its labelled k-mers in order, eight bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, hashes = pa.schema([("node", pa.binary()), ("grams", pa.binary())]), Words()
+        for batch in batches:
+            yield record_batch(schema, [batch.column("node"), [kmers(t, hashes).tobytes() for t in arrow_rows(batch, "text")]])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, grams binary")
+
+
+def settle(label: np.ndarray, asks: np.ndarray, grams: list[np.ndarray]) -> np.ndarray:
+    """The labels after every pair with an asking end has been tested, or found to be in one class already."""
+    label, n = label.copy(), np.array([len(g) for g in grams])
+    ends = np.cumsum(n)
+    _, ids = np.unique(np.concatenate(grams), return_inverse=True)
+    owners = np.repeat(np.arange(len(n)), n)[np.argsort(ids, kind="stable")]
+    held = np.bincount(ids)
+    first = np.cumsum(held) - held
+    centre = int(np.add.reduceat(held[ids], ends - n).argmax())
+    for i in [centre, *range(len(n))]:
+        # Where all ask, those of the centre's class may stay silent: a pair across classes has an end outside it.
+        if not asks[i] or (asks.all() and i != centre and label[i] == label[centre]):
+            continue
+        own = ids[ends[i] - n[i]:ends[i]]
+        many = held[own]
+        at = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        shared = np.bincount(owners[at], minlength=len(n))
+        for j in np.flatnonzero((shared >= SIMILAR / (1 + SIMILAR) * (n[i] + n) - 1e-9) & (label != label[i])).tolist():
+            if label[i] != label[j] and similarity(grams[i], grams[j]) >= SIMILAR - 1e-9:
+                label[label == label[j]] = label[i]
+    return label
+
+
+def links(cells: DataFrame, grams: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of roots that became one class in a cell, from ``cell``, ``node``, ``root``, ``asks``: a star for each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
         for table in whole_cells(batches):
-            cells = table.column("cell").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-            ends = np.concatenate([starts[1:], [len(cells)]])
-            nodes = table.column("node").to_pylist()
-            n, weight, label, asks = (table.column(c).to_numpy() for c in ("n", "weight", "label", "asks"))
-            coarse = np.frombuffer(b"".join(table.column("coarse").to_pylist()), np.uint8).reshape(-1, ENTRIES)
-            found = {p for s, e in zip(starts.tolist(), ends.tolist()) if e - s > 1
-                     for p in pairs(nodes[s:e], n[s:e], weight[s:e], label[s:e], asks[s:e], coarse[s:e])}
+            cell = table.column("cell").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])).tolist()
+            roots, asks = table.column("root").to_pylist(), table.column("asks").to_numpy()
+            packs = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
+            found = set()
+            for s, e in zip(starts, [*starts[1:], len(cell)]):
+                number = {root: i for i, root in enumerate(sorted(set(roots[s:e])))}
+                names = list(number)
+                before = np.array([number[r] for r in roots[s:e]])
+                after = settle(before, asks[s:e], packs[s:e])
+                centre: dict[int, int] = {}
+                for old, new in sorted(set(zip(before.tolist(), after.tolist()))):
+                    if centre.setdefault(new, old) != old:
+                        found.add((names[centre[new]], names[old]))
             yield record_batch(schema, list(zip(*found)) if found else [[], []])
 
-    return rows.select("cell", "node", "n", "weight", "label", "asks", "coarse").mapInArrow(run, "a binary, b binary").distinct()
+    rows = cells.select("cell", "node", "root", "asks").join(grams, "node").select("cell", "root", "asks", "grams")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows sorted by cell, cut between cells; no cell has more than a few times CELL rows."""
+    """Rows sorted by cell, cut between cells; no cell has more than a few times CELL rows or CELL_KMERS k-mers, or two texts."""
     held: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
@@ -199,28 +220,6 @@ def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held.combine_chunks()
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar."""
-    left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, hashes, known = pa.schema([("a", pa.binary()), ("b", pa.binary())]), Words(), {}
-
-        def grams(node: bytes, text: str) -> np.ndarray:
-            if node not in known:
-                if len(known) >= 16:
-                    known.pop(next(iter(known)))
-                known[node] = kmers(text, hashes)
-            return known[node]
-
-        for batch in batches:
-            a, b, texts_a, texts_b = (arrow_rows(batch, c) for c in ("a", "b", "a_text", "b_text"))
-            ok = [(x, y) for x, y, s, t in zip(a, b, texts_a, texts_b) if similarity(grams(x, s), grams(y, t)) >= SIMILAR - 1e-9]
-            yield record_batch(schema, list(zip(*ok)) if ok else [[], []])
-
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the shared folder, in as many partitions as its rows need."""
     kept = cut_lineage(df)
@@ -254,58 +253,29 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(out.unionByName(fresh))
 
 
-def linked(cells: DataFrame, texts: DataFrame, labels: DataFrame | None, tested: DataFrame | None, most: int) -> tuple[DataFrame, DataFrame]:
-    """The labels and the tested pairs after all pairs of classes that meet in ``cells`` have been tested as far as they agree.
+def slots(rows: Column, kmers: Column, share: int = 1) -> Column:
+    """Over how many cells, or shares of one, so many texts with so many k-mers are dealt."""
+    return F.greatest(F.ceil(rows * share / CELL), F.ceil(kmers * share / CELL_KMERS))
 
-    Each round takes more partners for each text that asks. A cell of no more texts than that has proposed all it can.
-    """
-    done = 0
-    while True:
-        now = cells.withColumn("label", F.xxhash64("node"))
-        if labels is not None:
-            now = cells.join(labels, "node", "left").withColumn("label", F.xxhash64(F.coalesce("root", "node"))).drop("root")
-            several = stored(now.groupBy("cell").agg((F.min("label") != F.max("label")).alias("open"), F.count("*").alias("rows")).where(
-                F.col("open") & (F.col("rows") > done)).select("cell"))
-            if several.isEmpty():
-                return labels, tested
-            now = now.join(several, "cell")
-        pairs = propose(now.repartition("cell").sortWithinPartitions("cell"), most)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        found = stored(verify(pairs, texts))
-        tested = pairs if tested is None else tested.union(pairs)
-        if labels is None:
-            labels = components(found)
-        elif not found.isEmpty():
-            labels = joined(labels, found)
-        done = max(most, FEW)
-        most = 2 * most if most >= NEAREST else NEAREST if most else 1
-
-
-def meetings(rows: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame | None:
-    """Cells in which the texts of buckets above ``CELL`` that are outside the bucket's largest class ask all its texts.
-
-    Two blocks of about half of ``CELL`` texts at most make a cell. None if no such bucket holds several classes.
+
+def meetings(shared: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Cells in which the texts of dealt buckets that are outside the bucket's largest class ask all its texts.
+
+    Two blocks of about half a cell at most make a cell. None if no such bucket holds several classes.
     """
-    block = CELL // 2
-    big = sizes.where(F.col("size") > CELL)
-    if big.isEmpty():
-        return None
-    held = rows.where(F.col("size") > CELL).select("key", "size", "node", "n", "weight", "coarse").join(labels, "node", "left")
-    held = held.withColumn("label", F.coalesce("root", "node")).drop("root")
-    largest = held.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.max(F.struct("c", "label"))["label"].alias("largest"), F.sum("c").alias("all"), F.max("c").alias("c"))
-    several = largest.where("all > c").select("key", "largest", F.ceil((F.col("all") - F.col("c")) / block).alias("askers"), F.ceil(F.col("all") / block).alias("blocks"))
-    met = stored(held.join(several, "key").select(
-        "key", "node", "n", "weight", "coarse", "askers", "blocks", (F.col("label") != F.col("largest")).alias("outside")))
-    if met.isEmpty():
+    big = shared.where(slots(F.col("size"), F.col("kmers")) > 1)
+    held = stored(big.join(labels, "node", "left").select("key", "node", "n", "size", "kmers", F.coalesce("root", "node").alias("root")))
+    if held.isEmpty():
         return None
+    largest = held.groupBy("key", "root").agg(F.count("*").alias("c"), F.sum("n").alias("k")).groupBy("key").agg(
+        F.max(F.struct("c", "k", "root")).alias("top"))
+    met = held.join(largest, "key").where("top.c < size").select(
+        "key", "node", "root", (F.col("root") != F.col("top.root")).alias("outside"),
+        slots(F.col("size") - F.col("top.c"), F.col("kmers") - F.col("top.k"), 2).alias("askers"), slots(F.col("size"), F.col("kmers"), 2).alias("blocks"))
     hashed = F.xxhash64("node", "key")
     ask = met.where("outside").select("*", F.pmod(hashed, F.col("askers")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
     answer = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("askers") - 1)).alias("i"), F.pmod(hashed, F.col("blocks")).alias("j"), F.lit(False).alias("asks"))
-    both = ask.unionByName(answer).select(F.xxhash64("key", F.lit("meet"), "i", "j").alias("cell"), "node", "n", "weight", "coarse", "asks")
-    return stored(both)
+    return ask.unionByName(answer).select(F.xxhash64("key", F.lit("meet"), "i", "j").alias("cell"), "node", "root", "asks")
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -320,34 +290,27 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     held = rows.where("text_key is not null")
     path = scratch_path(spark, "order-minhash")
     sketches(held).write.parquet(path)
-    known = spark.read.parquet(path).dropDuplicates(["text_key"])
-    bands = known.select(F.col("text_key").alias("node"), F.explode("keys").alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    known = spark.read.parquet(path).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    bands = known.select(F.col("text_key").alias("node"), "doc_id", "n", F.explode("keys").alias("key"))
+    # Buckets of the same texts have the same size and the same two sums of hashes.
+    sizes = bands.groupBy("key").agg(
+        F.count("*").alias("size"), F.sum("n").alias("kmers"), *(F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"sum{i}") for i in (1, 2)))
+    sizes = sizes.where("size > 1").groupBy("size", "kmers", "sum1", "sum2").agg(F.min("key").alias("key"))
     path = scratch_path(spark, "order-minhash")
-    bands.join(sizes, "key").write.parquet(path)
+    bands.join(sizes.select("key", "size", "kmers"), "key").write.parquet(path)
     shared = spark.read.parquet(path)
-    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = known.withColumnRenamed("text_key", "node").select("node", "n", "coarse").join(weights, "node")
-    # A further entry splits a large bucket; what still is large is dealt out evenly.
-    entry = F.substring("coarse", F.pmod("key", F.lit(ENTRIES)).cast("int") + 1, F.lit(1))
-    rows_ = shared.join(members, "node").withColumn("part", F.when(F.col("size") > CELL, entry).otherwise(F.lit(b"")))
-    parts = rows_.where(F.col("size") > CELL).groupBy("key", "part").agg(F.count("*").alias("in_part"))
-    slot = F.pmod(F.xxhash64("node", "key"), F.ceil(F.coalesce("in_part", F.lit(1)) / CELL))
-    path = scratch_path(spark, "order-minhash")
-    rows_.join(parts, ["key", "part"], "left").select(
-        F.xxhash64("key", "part", slot).alias("cell"), "node", "n", "weight", "coarse").write.parquet(path)
-    cells = spark.read.parquet(path)
+    chosen = shared.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id")).distinct()
     path = scratch_path(spark, "order-minhash")
-    first = held.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
-    chosen = weights.select(F.col("node").alias("text_key")).join(first, "text_key")
-    near = held["text_key"] == chosen["text_key"]
-    held.join(chosen, near & held["doc_id"].eqNullSafe(chosen["doc_id"])).select(
-        held["text_key"].alias("node"), held["text"]).dropDuplicates(["node"]).write.parquet(path)
-    texts = spark.read.parquet(path)
-    labels, tested = linked(cells.withColumn("asks", F.lit(True)), texts, None, None, 0)
-    crossed = meetings(rows_, labels, sizes)
+    texts = held.join(chosen, (held["text_key"] == F.col("_node")) & held["doc_id"].eqNullSafe(F.col("_id"))).select(held["text_key"].alias("node"), "text")
+    packed(texts.dropDuplicates(["node"])).write.parquet(path)
+    grams = spark.read.parquet(path)
+    slot = F.pmod(F.xxhash64("node", "key"), slots(F.col("size"), F.col("kmers")))
+    cells = shared.select(F.xxhash64("key", slot).alias("cell"), "node", F.col("node").alias("root"), F.lit(True).alias("asks"))
+    labels = components(stored(links(cells, grams)))
+    crossed = meetings(shared, labels)
     if crossed is not None:
-        labels, _ = linked(crossed, texts, labels, tested, NEAREST)
+        found = stored(links(crossed, grams))
+        labels = labels if found.isEmpty() else joined(labels, found)
     of = rows.select("doc_id", "text_key")
     members = of.join(labels, of["text_key"] == labels["node"], "left").select(
         "doc_id", "text_key", F.coalesce("root", "text_key").alias("root"))

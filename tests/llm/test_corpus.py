@@ -128,9 +128,8 @@ def test_one_large_group(spark):
 
 
 def test_every_pair_of_a_large_bucket_is_tested(spark, monkeypatch):
-    """Texts about the threshold, with bounds so low that the buckets are split and most of a text's nearest fail."""
+    """Texts about the threshold, with bounds so low that the buckets are dealt over many cells."""
     monkeypatch.setattr(order_minhash, "CELL", 16)
-    monkeypatch.setattr(order_minhash, "NEAREST", 2)
     rng = random.Random(11)
     base = [f"b{i}" for i in range(100)]
     docs = [(i, " ".join(edited(base, 2, rng))) for i in range(160)]
