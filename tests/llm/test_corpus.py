@@ -302,6 +302,26 @@ def test_exact_search(spark):
     assert pivots.search(vectors_of(spark, rows[:1]), pivots.F.col("id") % 100 == 0).count() == 0
 
 
+def test_thresholds_leave_groups_unread(spark, monkeypatch):
+    """Clusters far apart, groups of several blocks, copies and ties: the whole result, from a small share of the candidates."""
+    monkeypatch.setattr(pivots, "CANDIDATES", 64)
+    monkeypatch.setattr(pivots, "QUERIES", 2)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 8)) * 20
+    rows = [(i, (centres[i % 6] + rng.normal(size=8) * 0.2).astype(np.float32).tolist()) for i in range(1200)]
+    rows += [(5000 + i, rows[100][1]) for i in range(150)]
+
+    def score(a, b):
+        return sum(int(np.floor(1024 * x)) * int(np.floor(1024 * y)) for x, y in zip(a, b))
+
+    got, share = {}, {}
+    for r in pivots.search(vectors_of(spark, rows), pivots.F.col("id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+        share[r.query_id] = r.evaluated / (len(rows) - 1)
+    assert got == brute(rows, lambda q: q % 100 == 0, 10, score)
+    assert max(share.values()) <= 1 and np.mean(list(share.values())) < 0.6
+
+
 def test_bounds_stop_the_search_early():
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(8, 6)) * 4000
