@@ -145,6 +145,24 @@ def test_every_pair_of_a_large_bucket_is_tested(spark, monkeypatch):
     assert got == dict(enumerate(root))
 
 
+def test_a_cell_settles_every_pair_that_is_asked_for():
+    rng = random.Random(6)
+    hashes = order_minhash.Words()
+    for size in (1, 2, 40):
+        for share in (0.3, 1):
+            bases = [[f"w{rng.randrange(60)}" for _ in range(n)] for n in (1, 30, 32, 80)]
+            grams = [order_minhash.kmers(" ".join(edited(rng.choice(bases), rng.randrange(2), rng)), hashes) for _ in range(size)]
+            asks = np.array([rng.random() < share for _ in grams])
+            before = np.array([rng.choice([i, max(0, i - 1)]) for i in range(size)])
+            after = order_minhash.settle(before, asks, grams)
+            want = before.copy()
+            for i in range(size):
+                for j in range(size):
+                    if asks[i] and order_minhash.similarity(grams[i], grams[j]) >= 0.8 - 1e-9:
+                        want[want == want[j]] = want[i]
+            assert [[a == b for b in after] for a in after] == [[a == b for b in want] for a in want]
+
+
 def test_similarity_is_the_banded_alignment():
     rng = np.random.default_rng(2)
     for _ in range(200):
