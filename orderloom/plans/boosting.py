@@ -2,9 +2,10 @@
 
 Features become bins once: numbers by quantiles of the training rows, levels in the order of their share of positives, absent
 values and levels not seen have a bin of their own. A round of a tree is one aggregation: the sums of gradients and
-curvatures by (leaf, feature, bin) of the leaves that are new; the driver gets leaves x features x bins numbers at most, whatever
-the rows, and splits the leaves that gain most. So a tree grows where it pays, not level by level. Sums are decimals, so that
-a model does not depend on the order of the rows. The rows with their bins and scores are stored every few trees.
+curvatures by (leaf, feature, bin) of the smaller halves of the leaves that were split, as those of the other halves are what is
+left of the whole; the driver gets leaves x features x bins numbers at most, whatever the rows, and splits the leaves that
+gain most. So a tree grows where it pays, not level by level. Sums are whole numbers of 1e-12, so that a model does not depend
+on the order of the rows. The rows with their bins and scores are stored as a table every few trees.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderloom.plans.learning import CATEGORICAL, NUMERIC
-from orderloom.session import cut_lineage
+from orderloom.session import scratch_path
 
 BINS, STORED_EVERY = 32, 4
 
@@ -42,7 +43,7 @@ class Bins:
         for name, ranks in self.ranks.items():
             known = F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair)) if ranks else None
             out.append(F.lit(0) if known is None else F.coalesce(F.try_element_at(known, F.col(name)), F.lit(0)))
-        return {f"_b{i}": c.cast("int") for i, c in enumerate(out)}
+        return {f"_b{i}": c.cast("smallint") for i, c in enumerate(out)}
 
 
 def fit_bins(train: DataFrame, bins: int = BINS) -> Bins:
@@ -88,24 +89,42 @@ class Booster:
         return reduce(Column.__add__, [t.walk(t.values.__getitem__) for t in self.trees], F.lit(self.base))
 
 
-def _histograms(rows: DataFrame, tree: Tree, fresh: Sequence[int], features: int) -> dict[int, dict[int, list]]:
-    """node -> feature -> [(bin, gradient, curvature, rows)], bins ascending, of the given leaves."""
+# A histogram: feature -> bin -> (gradient, curvature, rows), the first two as whole numbers of 1 / UNIT ** 2.
+UNIT = 1_000_000
+Histogram = dict[int, dict[int, tuple[int, int, int]]]
+
+
+def _histograms(rows: DataFrame, tree: Tree, fresh: Sequence[int], features: int) -> dict[int, Histogram]:
+    """The histograms of the given leaves."""
     chance = 1 / (1 + F.exp(-F.col("_margin")))
-    exact = lambda c: c.cast("decimal(20,12)")
+    whole = lambda c: F.floor(F.col(c) * UNIT)
+    rest = lambda c: F.round((F.col(c) * UNIT - whole(c)) * UNIT).cast("bigint")
     placed = rows.withColumn("_leaf", tree.walk(int)).filter(F.col("_leaf").isin(list(fresh))).select(
-        "_leaf", exact(F.col("weight") * (chance - F.col("label"))).alias("g"), exact(F.col("weight") * chance * (1 - chance)).alias("h"),
+        "*", (F.col("weight") * (chance - F.col("label"))).alias("_g"), (F.col("weight") * chance * (1 - chance)).alias("_h"))
+    dealt = placed.select(
+        "_leaf", whole("_g").alias("g"), rest("_g").alias("g_rest"), whole("_h").alias("h"), rest("_h").alias("h_rest"),
         F.posexplode(F.array(*[f"_b{i}" for i in range(features)])).alias("f", "b"))
-    out: dict[int, dict[int, list]] = {n: {} for n in fresh}
-    sums = placed.groupBy("_leaf", "f", "b").agg(F.sum("g"), F.sum("h"), F.count(F.lit(1))).collect()
-    for leaf, f, b, g, h, n in sorted(sums, key=lambda r: r[:3]):
-        out[leaf].setdefault(f, []).append((b, float(g), float(h), n))
+    out: dict[int, Histogram] = {n: {} for n in fresh}
+    parts = [F.sum(c) for c in ("g", "g_rest", "h", "h_rest")]
+    for leaf, f, b, g, g_rest, h, h_rest, n in dealt.groupBy("_leaf", "f", "b").agg(*parts, F.count(F.lit(1))).collect():
+        out[leaf].setdefault(f, {})[b] = g * UNIT + g_rest, h * UNIT + h_rest, n
     return out
 
 
-def _best_split(histogram: dict[int, list], smooth: float, least_rows: int) -> tuple[float, int, int, tuple[float, float]] | None:
-    """gain, feature, cut and the two leaf weights of the best split; None if none gains."""
+def _without(whole: Histogram, part: Histogram) -> Histogram:
+    """What is left of a leaf's histogram without one of its halves."""
+    out: Histogram = {}
+    for f, bins in whole.items():
+        left = {b: tuple(x - y for x, y in zip(sums, part.get(f, {}).get(b, (0, 0, 0)))) for b, sums in bins.items()}
+        out[f] = {b: sums for b, sums in left.items() if sums[2]}
+    return out
+
+
+def _best_split(histogram: Histogram, smooth: float, least_rows: int) -> tuple[float, int, int, tuple[float, float], bool] | None:
+    """gain, feature, cut, the two leaf weights of the best split and whether its first half has fewer rows; None if none gains."""
     best = None
-    for f, bins in histogram.items():
+    for f, sums in sorted(histogram.items()):
+        bins = [(b, g / UNIT**2, h / UNIT**2, n) for b, (g, h, n) in sorted(sums.items())]
         total_g, total_h, total_n = (sum(b[k] for b in bins) for k in (1, 2, 3))
         g = h = n = 0.0
         for b, dg, dh, dn in bins[:-1]:
@@ -115,10 +134,17 @@ def _best_split(histogram: dict[int, list], smooth: float, least_rows: int) -> t
             other_g, other_h = total_g - g, total_h - h
             gain = g * g / (h + smooth) + other_g * other_g / (other_h + smooth) - total_g * total_g / (total_h + smooth)
             if gain > 1e-9 and (best is None or gain > best[0]):
-                best = gain, f, b, (-g / (h + smooth), -other_g / (other_h + smooth))
+                best = gain, f, b, (-g / (h + smooth), -other_g / (other_h + smooth)), 2 * n <= total_n
     return best
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, which every round reads."""
+    path = scratch_path(rows.sparkSession, "boosting")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def fit(
     train: DataFrame, trees: int = 16, leaves: int = 8, rate: float = 0.3, smooth: float = 1.0, least_rows: int = 20, per_round: int = 2
 ) -> Booster:
@@ -128,27 +154,29 @@ def fit(
     positives = train.agg(F.sum(F.col("weight") * F.col("label")).alias("p"), F.sum("weight").alias("w")).first()
     share = min(max((positives.p or 0.0) / (positives.w or 1.0), 1e-6), 1 - 1e-6)
     base = math.log(share / (1 - share))
-    rows = cut_lineage(train.select(F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"),
-                                    *[c.alias(n) for n, c in columns.items()], F.lit(base).alias("_margin")))
+    rows = _stored(train.select(F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"),
+                                *[c.alias(n) for n, c in columns.items()], F.lit(base).alias("_margin")))
     grown: list[Tree] = []
     for number in range(1, trees + 1):
-        tree, fresh, open_ = Tree(), [1], {}
+        tree, fresh, open_, known = Tree(), [1], {}, {}
         while fresh and len(tree.values) < leaves:
-            for node, histogram in _histograms(rows, tree, fresh, len(columns)).items():
-                if found := _best_split(histogram, smooth, least_rows):
-                    open_[node] = found
+            found = _histograms(rows, tree, fresh, len(columns))
+            known |= found | {node ^ 1: _without(known.pop(node // 2), found[node]) for node in fresh if node > 1}
+            for node in sorted({n for node in fresh for n in (node, node ^ 1) if n > 0 and n in known}):
+                if best_split := _best_split(known[node], smooth, least_rows):
+                    open_[node] = best_split
             fresh = []
             best = sorted(open_, key=lambda node: (-open_[node][0], node))[:min(per_round, leaves - len(tree.values))]
             for node in best:
-                _, feature, cut, (left, right) = open_.pop(node)
+                _, feature, cut, (left, right), first_smaller = open_.pop(node)
                 tree.splits[node] = feature, cut
                 del tree.values[node]
                 tree.values |= {2 * node: rate * left, 2 * node + 1: rate * right}
-                fresh += [2 * node, 2 * node + 1]
+                fresh.append(2 * node if first_smaller else 2 * node + 1)
         grown.append(tree)
         rows = rows.withColumn("_margin", F.col("_margin") + tree.walk(tree.values.__getitem__))
         if number % STORED_EVERY == 0:
-            rows = cut_lineage(rows)
+            rows = _stored(rows)
     return Booster(bins, base, grown)
 
 

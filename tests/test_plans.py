@@ -290,6 +290,24 @@ def test_histogram_boosting_learns_what_trees_can(spark):
     assert 0 < margins.score < 1
 
 
+def test_histogram_boosting_reads_the_smaller_half_of_a_split_only(spark, monkeypatch):
+    asked, whole = [], boosting._histograms
+
+    def watched(rows, tree, fresh, features):
+        found = whole(rows, tree, fresh, features)
+        if fresh != [1] and not asked:  # sums of the other half follow exactly
+            node = fresh[0]
+            top, both = whole(rows, boosting.Tree(), [1], features)[1], whole(rows, tree, [node, node ^ 1], features)
+            assert node // 2 == 1 and both[node] == found[node] and boosting._without(top, found[node]) == both[node ^ 1]
+            assert sum(n for *_, n in found[node][0].values()) <= sum(n for *_, n in both[node ^ 1][0].values())
+        asked.append(list(fresh))
+        return found
+
+    monkeypatch.setattr(boosting, "_histograms", watched)
+    boosting.fit(ml_rows(spark, 800), trees=1, leaves=4)
+    assert asked[0] == [1] and len(asked) > 1 and not any(node ^ 1 in fresh for fresh in asked for node in fresh)
+
+
 def test_histogram_boosting_without_rows_or_splits(spark):
     data = ml_rows(spark, 50)
     flat = boosting.fit(data.filter("label = 0"), trees=2)
