@@ -3,6 +3,10 @@ from decimal import Decimal
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Imputer
+from pyspark.ml.tuning import CrossValidator
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -343,3 +347,20 @@ def test_exact_thresholds_and_areas(spark):
     row = learning.metrics(scored, min_recall=0.6).first()
     assert (row.threshold, row.tp, row.fp, row.fn, row.tn) == (0.4, 3, 1, 0, 2)
     assert row.roc_auc == pytest.approx(7.5 / 9) and row.pr_auc == pytest.approx((1 + 2 / 3 + 3 / 4) / 3)
+
+
+def test_random_search_prepares_each_fold_once(spark, monkeypatch):
+    train = ml_rows(spark, 400).coalesce(1)
+    space = {"maxDepth": (2, 3), "maxIter": (1, 2)}
+    last, fits, plain = learning.estimator("gradient_boosting"), [], Imputer.fit
+    monkeypatch.setattr(Imputer, "fit", lambda self, *a: (fits.append(1), plain(self, *a))[1])
+    model, tried = learning.random_search(train, "gradient_boosting", space, draws=5, folds=2)
+    assert len(fits) == 3  # one a fold and one of all rows, however many draws there are
+    monkeypatch.undo()
+    known = CrossValidator(
+        estimator=Pipeline(stages=[*learning.preparation(), last]), numFolds=2, foldCol="fold",
+        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR", numBins=0),
+        estimatorParamMaps=[{getattr(last, n): v for n, v in params.items()} for params, _ in tried],
+    ).fit(learning.with_folds(train, 2))
+    assert [area for _, area in tried] == pytest.approx(known.avgMetrics)
+    assert model.stages[-1].toDebugString.split("\n", 1)[1] == known.bestModel.stages[-1].toDebugString.split("\n", 1)[1]
