@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.operators.history import open_versions, scd2_check
 from orderloom.plans import audits, star
-from orderloom.plans.orders import enriched_orders
+from orderloom.plans.orders import enrich, order_base, order_base_from_fact
 from orderloom.plans.stage import stage
+from orderloom.session import stored
 from orderloom.sources.tables import audit_columns, exists, read_table, reconcile, swap_table
 
 LAYERS = ("bronze", "stage", "snapshot", "gold", "checks")
@@ -68,10 +69,12 @@ def run(
             )
         for name, df in gold.items():
             swap_table(df, path("gold", name))
-        swap_table(enriched_orders(tables), path("gold", "orders_enriched"))
-    stored = ("fact_orders", "dim_customers", "dim_sellers", "dim_date", "orders_enriched")
+        # The fact has the items and payments of each order already; the history reads the base several times.
+        base = order_base_from_fact(read_table(spark, path("gold", "fact_orders")), tables["customers"], tables["order_reviews"])
+        swap_table(enrich(stored(base.select(order_base(tables).columns), "orders")), path("gold", "orders_enriched"))
+    kept = ("fact_orders", "dim_customers", "dim_sellers", "dim_date", "orders_enriched")
     if {"gold", "checks"} & set(layers):
-        out.update({name: read_table(spark, path("gold", name)) for name in stored})
+        out.update({name: read_table(spark, path("gold", name)) for name in kept})
         if exists(spark, path("gold", "dim_products")):  # needs a snapshot
             out["dim_products"] = read_table(spark, path("gold", "dim_products"))
     if "checks" in layers:

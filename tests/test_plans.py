@@ -201,6 +201,15 @@ def test_layers_can_be_rebuilt_and_replayed(spark, t, tmp_path):
         layers.run(spark, raw, root, D(2020, 7, 1), layers=("silver",))
 
 
+def test_the_order_layer_is_made_from_the_stored_fact(spark, t, tmp_path, monkeypatch):
+    read, plain = {}, layers.swap_table
+    monkeypatch.setattr(layers, "swap_table", lambda df, path: (read.update({path.rsplit("/", 1)[1]: df.inputFiles()}), plain(df, path)))
+    out = layers.run(spark, t["raw"], str(tmp_path / "w"), D(2020, 6, 1))
+    assert read["orders_enriched"] and not [f for f in read["orders_enriched"] if "/bronze/" in f]
+    known = orders.enriched_orders(stage.stage(t["raw"]))
+    assert out["orders_enriched"].columns == known.columns and rows(out["orders_enriched"]) == rows(known)
+
+
 # Models ------------------------------------------------------------------------------------------
 
 
