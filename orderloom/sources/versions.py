@@ -9,7 +9,9 @@ version during and after any write, and rows and marks succeed or fail together.
 Keyed tables grow by a hash directory. A part holds the rows whose key hash starts with the bits of the part; a merge reads
 and rewrites only the parts that keys of the batch fall in, at most one for each key, and cuts a part that might pass
 ``part_rows`` into halves, quarters and so on. Parts thus stay bounded at any size of the table, and the directory has
-about two entries for each ``part_rows`` rows.
+about two entries for each ``part_rows`` rows. Parts are not files: a merge puts neighbouring small parts into files of about
+``FILE_ROWS`` rows, so files grow with the rows and not with the parts. Rows carry their part and their write; a part that is
+rewritten stays behind in its old file, where nobody names it, and readers leave those rows out.
 
 The manifest takes its number by a rename that must not replace a file, which HDFS and local disks do in one step. A store
 that cannot needs one writer at a time. A plain folder of Parquet files counts as a table with one part; the first write
@@ -18,10 +20,11 @@ makes it version 1.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 import datetime as dt
 from decimal import Decimal
+from functools import reduce
 import json
 import math
 import time
@@ -30,16 +33,18 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from orderloom.operators.dedup import latest_per_key
 from orderloom.operators.merge import upsert
 from orderloom.session import cut_lineage
 
-VERSIONS, DATA, PART = "_versions", "_data", "_part"
+VERSIONS, DATA, PART, FILE, WRITE = "_versions", "_data", "_part", "_file", "_write"
 
 # A part of a keyed table may hold so many rows before it is cut; seconds for which replaced versions stay readable.
 PART_ROWS, KEPT_SECONDS = 2_000_000, 86_400
+# Parts of a keyed table share files of about so many rows; a larger part has a file of its own.
+FILE_ROWS = 50_000
 
 
 class ConcurrentWrite(RuntimeError):
@@ -49,7 +54,8 @@ class ConcurrentWrite(RuntimeError):
 @dataclass(frozen=True)
 class Part:
     """Folders below the table that hold a part's rows. ``id`` is 1 for the root of the directory and 2 i, 2 i + 1 for the halves
-    of i; parts of tables without keys have whatever numbers their writer gives them. ``digest`` is the writer's."""
+    of i; parts of tables without keys have whatever numbers their writer gives them. ``_file=../_part=..``
+    are a part's rows in the folder ``_file=..``, which may hold other parts, too. ``digest`` is the writer's."""
 
     id: int
     rows: int
@@ -157,8 +163,18 @@ class VersionedTable:
 
     def rows_of(self, version: Version, parts: Sequence[Part]) -> DataFrame:
         schema = StructType.fromJson(version.schema)
-        folders = [f"{self.path}/{f}".rstrip("/") for p in parts for f in p.folders]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        named = [f for p in parts for f in p.folders]
+        shared, own = [f.split(f"/{PART}=") for f in named if f"/{FILE}=" in f], [f for f in named if f"/{FILE}=" not in f]
+        frames = [self.spark.read.schema(schema).parquet(*self._paths(own))] if own else []
+        if shared:
+            rows = self.spark.read.schema(_dealt(schema)).parquet(*self._paths(f for f, _ in shared))
+            live = self.spark.createDataFrame([(int(i), _write_of(f)) for f, i in shared], f"{PART} long, {WRITE} long")
+            # The directory, which this process holds already.
+            frames.append(rows.join(F.broadcast(live), [PART, WRITE], "left_semi").select(*map(_quoted, schema.names)))
+        return reduce(DataFrame.union, frames) if frames else self.spark.createDataFrame([], schema)
+
+    def _paths(self, folders: Iterable[str]) -> list[str]:
+        return [f"{self.path}/{f}".rstrip("/") for f in dict.fromkeys(folders)]
 
     def mark(self, name: str):
         """The mark that the newest version carries; None if there is none."""
@@ -248,8 +264,9 @@ class VersionedTable:
         depths = {p.id: p.id.bit_length() - 1 + max(0, math.ceil(math.log2(max(p.rows + counts[p.id], 1) / part_rows))) for p in touched}
         current = self.rows_of(replace(base, schema=schema.jsonValue()), touched) if base else None
         merged = fresh if current is None else upsert(current, fresh, keys, reduced=True, newer=newer, preserve=preserve)
-        dealt = self._leaves(merged, keys, depths) if touched else merged.withColumn(PART, F.lit(1).cast("long"))
-        written = self._write_parts(dealt.drop(PART), None, dealt)
+        rows = sum(p.rows + counts[p.id] for p in touched)
+        dealt = self._leaves(merged, keys, depths or {1: 0}, max(0, math.ceil(math.log2(max(rows, 1) / FILE_ROWS))))
+        written = self._write_parts(dealt, F.col(PART), F.col(FILE))
         new = dict(directory)
         for id_, depth in depths.items():
             del new[id_]
@@ -294,16 +311,22 @@ class VersionedTable:
     def _count(self, df: DataFrame, folder: str) -> int:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()
 
-    def _write_parts(self, df: DataFrame, part: Column | None, dealt: DataFrame | None = None) -> dict[int, Part]:
-        """Writes rows with their part's number, one task to a part, and counts each part's rows from the files' footers."""
-        folder = f"{DATA}/{uuid.uuid4().hex}"
-        dealt = df.withColumn(PART, part.cast("long")) if dealt is None else dealt
-        dealt.repartition(PART).write.partitionBy(PART).parquet(f"{self.path}/{folder}")
-        counts = self.spark.read.schema(dealt.schema).parquet(f"{self.path}/{folder}").groupBy(PART).count().collect()
-        return {r[0]: Part(r[0], r[1], (f"{folder}/{PART}={r[0]}",)) for r in counts}
-
-    def _leaves(self, df: DataFrame, keys: Sequence[str], depths: Mapping[int, int]) -> DataFrame:
-        """Adds each row's part: that of its directory entry, cut to the depth wanted for it.
+    def _write_parts(self, df: DataFrame, part: Column, file: Column | None = None) -> dict[int, Part]:
+        """Writes rows with their part's number, one task to a part, and counts each part's rows. With ``file`` parts share files:
+        a task writes all parts of a file, in their order."""
+        folder, by = f"{DATA}/{uuid.uuid4().hex}", PART if file is None else FILE
+        dealt = df.withColumn(PART, part.cast("long"))
+        if file is not None:
+            dealt = dealt.withColumns({WRITE: F.lit(_write_of(folder)).cast("long"), FILE: file.cast("long")})
+        placed = dealt.repartition(by)
+        (placed if file is None else placed.sortWithinPartitions(FILE, PART)).write.partitionBy(by).parquet(f"{self.path}/{folder}")
+        counts = self.spark.read.schema(dealt.schema).parquet(f"{self.path}/{folder}").groupBy(*dict.fromkeys((PART, by))).count().collect()
+        within = "" if file is None else f"/{FILE}={{}}"
+        return {r[0]: Part(r[0], r["count"], (f"{folder}{within.format(r[by])}/{PART}={r[0]}",)) for r in counts}
+
+    def _leaves(self, df: DataFrame, keys: Sequence[str], depths: Mapping[int, int], shared: int = 0) -> DataFrame:
+        """Adds each row's part: that of its directory entry, cut to the depth wanted for it; and its file: the part's ancestor of
+        the depth ``shared``, or the part if that is not as deep.
 
         ``depths`` maps the directory's numbers (one of which every row's hash starts with) to the depths.
         """
@@ -315,10 +338,11 @@ class VersionedTable:
             return F.expr(f"shiftleft(1L, {depth}) | shiftrightunsigned(shiftrightunsigned(_hash, 1), 63 - {depth})")
 
         if len(set(depths.values())) == len(own) == 1 and len(depths) == 1 << own[0]:  # a full directory of one depth
-            return hashed.select(*columns, node(str(next(iter(depths.values())))).alias(PART))
+            depth = next(iter(depths.values()))
+            return hashed.select(*columns, node(str(depth)).alias(PART), node(str(min(depth, shared))).alias(FILE))
         entries = self.spark.createDataFrame(list(depths.items()), "_entry long, _depth int")
         nodes = hashed.withColumn("_entry", F.explode(F.array(*(node(str(d)) for d in own))))
-        return nodes.join(entries, "_entry").select(*columns, node("_depth").alias(PART))
+        return nodes.join(entries, "_entry").select(*columns, node("_depth").alias(PART), node(f"least(_depth, {shared})").alias(FILE))
 
     def _commit(self, build: Callable[[Version | None], Version], base: Version | None, again: bool = False) -> Version:
         """Publishes what ``build`` makes of the newest version, if that is still ``base`` (None: no table); if another came
@@ -335,6 +359,20 @@ class VersionedTable:
             base = self.latest()
 
 
+def _write_of(folder: str) -> int:
+    """The number of a write, as its rows carry it, from a folder that it made."""
+    return int(folder.split("/")[1][:15], 16)
+
+
+def _dealt(schema: StructType) -> StructType:
+    """The columns of files that parts share."""
+    return StructType([*schema.fields, StructField(PART, LongType()), StructField(WRITE, LongType())])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def publish(table: VersionedTable, version: Version) -> bool:
     """Puts the manifest under its number, whole; False if that number is taken."""
     jvm, gateway = table.spark._jvm, table.spark.sparkContext._gateway

@@ -243,3 +243,20 @@ def test_snapshot_writes_changed_parts_only(spark, tmp_path):
     assert take(gone, at(3)).number == number  # rows that are gone stay open
     take(gone, at(3), hard_deletes=True)
     assert table.read().filter("valid_to is null").count() == 33 and table.read().filter("month = 4 and valid_to is null").count() == 0
+
+
+def test_small_parts_share_files(spark, tmp_path, monkeypatch):
+    """Files grow with the rows, not with the parts; rows that a rewritten part left behind in a shared file are not read."""
+    monkeypatch.setattr(versions, "FILE_ROWS", 500)
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    first = table.merge(batch_of(spark, [(i, "old") for i in range(2_000)], 0), ["k"], part_rows=10)
+    assert len(first.parts) == 256 and len(list((tmp_path / "t").glob("_data/*/*/*.parquet"))) == 4
+    second = table.merge(batch_of(spark, [(5, "new"), (2_000, "new")], 1), ["k"], part_rows=10)
+    assert len(set(first.parts) - set(second.parts)) <= 2 and second.rows == 2_001 == table.read().count()
+    assert len(list((tmp_path / "t").glob("_data/*/*/*.parquet"))) == 5
+    table.merge(batch_of(spark, [(i, "all") for i in range(0, 2_000, 2)], 2), ["k"], part_rows=2)  # cuts parts
+    state = {**{i: "old" for i in range(2_000)}, 5: "new", 2_000: "new", **{i: "all" for i in range(0, 2_000, 2)}}
+    assert rows(table.read(), "k", "v") == sorted(state.items())
+    assert rows(table.read(1), "v") == [("old",)] * 2_000 and table.read(2).filter("v = 'new'").count() == 2
+    one = second.parts[7]  # a part by itself, out of a file of many
+    assert table.rows_of(second, [one]).count() == one.rows < 30
