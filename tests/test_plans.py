@@ -250,6 +250,18 @@ def test_models_learn_a_plain_rule_and_keep_their_scores(spark, tmp_path):
     assert rows(again) == rows(scored)
 
 
+def test_orders_are_labelled_before_their_items_are_summed(spark, t):
+    """The same rows as from all orders; items of orders that are not wanted go first."""
+    late = orders.order_base(t, ("customers",))
+    for target in ("late_delivery", "repeat_purchase"):
+        after = learning.label(learning.ml_base(t), target)
+        labelled = learning.label(late, target)
+        before = learning.with_items(labelled, t, labelled.select("order_id"))
+        assert set(before.columns) == set(after.columns) and before.count() > 0
+        assert rows(before, *after.columns) == rows(after)
+    assert learning.with_items(late, t, labelled.select("order_id").limit(0)).filter("item_count is not null").count() == 0
+
+
 def test_leaks_are_not_features():
     assert not set(learning.NUMERIC + learning.CATEGORICAL) & set(learning.LEAKS)
 
